@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataflow.llm import bpe
+from strataflow.llm import bpe, decontaminate, jaccard_join, line_dedup, substring_dedup
 from strataflow.llm.graph import read
 
 
@@ -16,11 +16,27 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(read(spark, sf_dir, "documents"))
+
+
 def op5_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(read(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(read(spark, sf_dir, "documents"))
+
+
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_join(read(spark, sf_dir, "documents"))
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op5_bpe_encode_decode": op5_bpe_encode_decode,
+    f.__name__: f for f in (op2_substring_dedup, op5_bpe_encode_decode, op7_line_dedup, op9_jaccard_join, op10_decontamination)
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op7_line_dedup": line_dedup.ORACLE}
