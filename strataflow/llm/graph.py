@@ -8,12 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def keep(df: DataFrame) -> DataFrame:
-    """Cuts the lineage with a checkpoint in the folder that spark.checkpoint.dir names; a temporary one of this
-    machine only where the setting is missing (local mode, tests)."""
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names; a temporary one of this machine only where the setting is missing
+    (local mode, tests)."""
+    sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="strataflow-"))
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="strataflow-"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def keep(df: DataFrame) -> DataFrame:
+    """Cuts the lineage with a checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataflow.llm import bpe, decontaminate, jaccard_join, line_dedup, substring_dedup
+from strataflow.llm import bpe, chat_pairs, decontaminate, jaccard_join, language_id, license_scan, line_dedup, multi_index, substring_dedup, surrogates
 from strataflow.llm.graph import read
 
 
@@ -16,18 +16,38 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_pairs.preference_pairs(read(spark, sf_dir, "conversations"))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.substring_dedup(read(spark, sf_dir, "documents"))
 
 
+def op3_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.search(read(spark, sf_dir, "embeddings"))
+
+
+def op4_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.replace_entities(read(spark, sf_dir, "documents"))
+
+
 def op5_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(read(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(read(spark, sf_dir, "documents"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(read(spark, sf_dir, "documents"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.licenses(read(spark, sf_dir, "documents"))
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(read(spark, sf_dir, "documents"))
 
@@ -37,6 +57,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_substring_dedup, op5_bpe_encode_decode, op7_line_dedup, op9_jaccard_join, op10_decontamination)
+    f.__name__: f
+    for f in (op1_preference_pairs, op2_substring_dedup, op3_multi_index, op4_surrogates, op5_bpe_encode_decode, op6_language_id, op7_line_dedup, op8_license_scan, op9_jaccard_join, op10_decontamination)
 }
 ORACLES: dict[str, str] = {"op7_line_dedup": line_dedup.ORACLE}

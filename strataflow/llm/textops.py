@@ -56,10 +56,9 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(texts.buffers()[2], dtype=np.uint8)[off[0] : off[-1]], off - off[0]
 
 
-def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: int = 1) -> Iterator[pa.RecordBatch]:
     """Parts of a batch of about CHUNK bytes of text each, no row split."""
-    at = batch.schema.get_field_index(column)
-    _, off = text_bytes(batch.column(at))
+    _, off = text_bytes(batch.column(column))
     i, n = 0, batch.num_rows
     while i < n:
         j = max(i + 1, int(np.searchsorted(off, off[i] + CHUNK, side="right")) - 1)
