@@ -2,8 +2,8 @@
 
 1. Each document becomes its set of distinct k-word shingles (64-bit fingerprints). Documents of equal sets are one
    class, held by its smallest doc_id; only classes go on.
-2. Shingles are dealt by fingerprint to shards as packed arrays; each shard finds the shingles of two classes or more
-   and their frequency. A class with fewer shared shingles than the threshold asks for links with nothing and ends here.
+2. Shingles are dealt by fingerprint to shards as packed arrays; each shard finds the shingles of two documents or
+   more and their frequency. A class with fewer shared shingles than the threshold asks for links with nothing and ends here.
 3. Sets are put in one global order, rare shingles first. Linked sets share a shingle among the first
    n - ceil(t n) + 1 of each; classes that share one there are joined into candidate groups (components of
    star-shaped edges, never all pairs).
@@ -254,8 +254,9 @@ def jaccard_join(docs: DataFrame, num: int = NUM, den: int = DEN, k: int = K) ->
     classes = sets.where("n > 0 and doc_id is not null").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep"))
     chars = own.agg(F.sum(F.length("text"))).first()[0] or 0
     shards = max(32, chars // SHARD_CHARS)
-    single = own.where("text is not null and doc_id is not null").join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
-    common = shared(packed(single, k, shards)).groupBy("doc_id").agg(F.max("n").alias("n"), F.sum("m").alias("m"), F.collect_list("grams").alias("grams"), F.collect_list("dfs").alias("dfs"))
+    # Copies are counted along (texts need no shuffle then); only classes' smallest members go on from here.
+    rows = shared(packed(own.where("text is not null and doc_id is not null"), k, shards))
+    common = rows.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").groupBy("doc_id").agg(F.max("n").alias("n"), F.sum("m").alias("m"), F.collect_list("grams").alias("grams"), F.collect_list("dfs").alias("dfs"))
     common = common.where(f"{den} * m >= {num} * n").select("doc_id", "n", "grams", "dfs")
     left = keep(order_sets(common, num, den))
     first = left.select("doc_id", F.explode("prefix").alias("g"))
