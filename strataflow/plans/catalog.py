@@ -1,4 +1,263 @@
-"""Registry of the library's own queries and their SQL."""
+"""The library's own queries with their SQL. The driver's tables stand in for the layers: lineitem is the long fact,
+embeddings the wide matrix, labels a dimension that misses part of documents."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from __future__ import annotations
+
+import tempfile
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from strataflow.functions.scalars import digest, is_zero, null_class, share, skew_class, strip
+from strataflow.operators import features, join, metrics, profiling, reshape
+from strataflow.sources import readers, sinks
+from strataflow.sources.readers import table
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+MODES = {"A": "returned", "N": "open", "X": "unused"}
+
+
+def query(sql: str):
+    def add(f: Callable[[SparkSession, str], DataFrame]):
+        QUERIES[f.__name__], ORACLES[f.__name__] = f, sql
+        return f
+
+    return add
+
+
+def feature_sql(keys: str, value: str, source: str) -> str:
+    return f"""select {keys}, round(avg(ln(1 + v)), 9) mean_log1p, round(case when count(*) >= 2 then stddev_pop(ln(1 + v)) end, 9) std_log1p,
+      round(median(ln(1 + v)), 9) median_log1p, cast(count(*) as integer) sample_count, round(avg(case when v = 0 then 1.0 else 0.0 end), 9) zero_fraction
+      from (select {keys}, cast({value} as double) v from {source} where {value} is not null) group by {keys}"""
+
+
+def rounded(df: DataFrame, places: int = 9) -> DataFrame:
+    return df.select(*(F.round(F.col(c), places).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes))
+
+
+@query(feature_sql("l_suppkey, l_returnflag", "l_tax", "lineitem"))
+def gold_features(spark, sf):
+    return rounded(features.group_features(table(spark, sf, "lineitem"), ["l_suppkey", "l_returnflag"], "l_tax", double=True))
+
+
+@query(feature_sql("l_suppkey, l_partkey", "l_discount", "lineitem"))
+def gold_features_sparse(spark, sf):
+    return rounded(features.group_features(table(spark, sf, "lineitem"), ["l_suppkey", "l_partkey"], "l_discount", double=True))
+
+
+@query(feature_sql("user_id, event_type", "value", "events"))
+def event_features(spark, sf):
+    return rounded(features.group_features(table(spark, sf, "events"), ["user_id", "event_type"], "value", double=True))
+
+
+@query("""with r as (select l_suppkey, l_returnflag, l_tax, row_number() over (partition by l_suppkey, l_returnflag order by md5(concat_ws('-', l_orderkey, l_linenumber, l_partkey)), l_tax) seq from lineitem)
+  select l_suppkey, l_returnflag, round(median(ln(1 + l_tax)), 9) reservoir_median, count(*) reservoir_size from r where seq <= 10 group by all""")
+def reservoir_median(spark, sf):
+    order = [F.md5(F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey")), F.col("l_tax")]
+    return rounded(features.reservoir_median(table(spark, sf, "lineitem"), ["l_suppkey", "l_returnflag"], "l_tax", order))
+
+
+@query("select l_orderkey, l_linenumber, l_partkey, sample_id, tpm_value from (select l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice, l_discount, l_tax from lineitem) unpivot include nulls (tpm_value for sample_id in (l_quantity, l_extendedprice, l_discount, l_tax))")
+def unpivot_lineitem(spark, sf):
+    return reshape.to_long(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber", "l_partkey"], MEASURES, kind="double")
+
+
+@query("select vec_id, generate_subscripts(embedding, 1)::integer - 1 as pos, cast(unnest(embedding) as double) as value from embeddings")
+def posexplode_embeddings(spark, sf):
+    long = reshape.array_to_long(table(spark, sf, "embeddings"), ["vec_id"], "embedding")
+    return long.withColumn("value", F.col("value").cast("double"))
+
+
+@query("""select pos, cast(count(*) as integer) sample_count, round(avg(ln(1 + v)), 7) mean_log1p, round(case when count(*) >= 2 then stddev_pop(ln(1 + v)) end, 7) std_log1p, round(median(ln(1 + v)), 7) median_log1p, round(avg(case when v = 0 then 1.0 else 0.0 end), 7) zero_fraction
+  from (select generate_subscripts(embedding, 1)::integer - 1 as pos, cast(unnest(embedding) as double) v from embeddings) group by pos""")
+def wide_features(spark, sf):
+    return rounded(features.group_features(reshape.array_to_long(table(spark, sf, "embeddings"), ["vec_id"], "embedding"), ["pos"], "value", double=True), 7)
+
+
+def _modes(spark):
+    return spark.createDataFrame(list(MODES.items()), "l_returnflag string, mode string")
+
+
+MODE_SQL = "(values ('A', 'returned'), ('N', 'open'), ('X', 'unused')) m(l_returnflag, mode)"
+
+
+@query(f"select mode, count(*) n, round(sum(l_quantity), 4) quantity from lineitem join {MODE_SQL} using (l_returnflag) group by mode")
+def long_join_dim(spark, sf):
+    matched, _ = join.attach(table(spark, sf, "lineitem"), _modes(spark), "l_returnflag")
+    return matched.groupBy("mode").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("l_quantity"), 4).alias("quantity"))
+
+
+@query("select doc_id, lang, source, n_chars, 'no_label_match' reason from documents d where not exists (select 1 from labels l where l.doc_id = d.doc_id)")
+def quarantine_docs(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars")
+    return join.attach(docs, table(spark, sf, "labels"), "doc_id", "no_label_match")[1]
+
+
+@query("select d.doc_id, lang, source, n_chars, quality, toxic from documents d join labels using (doc_id)")
+def matched_docs(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars")
+    return join.attach(docs, table(spark, sf, "labels"), "doc_id")[0]
+
+
+@query("select user_id, event_type from (select user_id, event_type, row_number() over (partition by user_id order by event_id desc) seq from events) where seq = 1")
+def dim_last_wins(spark, sf):
+    return readers.last_wins(table(spark, sf, "events"), "user_id", "event_type", "event_id")
+
+
+@query("select l_orderkey, l_linenumber, l_partkey, coalesce(mode, 'unknown') as mode from lineitem left join " + MODE_SQL + " using (l_returnflag)")
+def lookup_fallback(spark, sf):
+    return join.lookup(table(spark, sf, "lineitem"), _modes(spark), "l_returnflag", "mode", "unknown").select("l_orderkey", "l_linenumber", "l_partkey", "mode")
+
+
+@query("""select (select count(*) from documents join labels using (doc_id)) * 2 silver_count, (select count(*) from documents d where not exists (select 1 from labels l where l.doc_id = d.doc_id)) * 2 quarantine_count,
+  (select count(*) from documents) source_count, (select count(*) from documents) * 2 expected_total, true closes""")
+def closure_check(spark, sf):
+    docs = table(spark, sf, "documents").selectExpr("doc_id", "cast(n_chars as double) n_chars", "cast(length(text) as double) n_text")
+    long = reshape.to_long(docs, ["doc_id"], ["n_chars", "n_text"])
+    matched, lost = join.attach(long, table(spark, sf, "labels").select("doc_id"), "doc_id")
+    return metrics.closure(matched, lost, docs, 2)
+
+
+@query("select count(*) total, count(*) filter (where l.doc_id is null) quarantined, round(case when count(*) = 0 then 0 else count(*) filter (where l.doc_id is null) / count(*)::double end, 9) fraction from documents d left join labels l using (doc_id)")
+def quarantine_ratio(spark, sf):
+    joined = table(spark, sf, "documents").select("doc_id").join(join.sized(table(spark, sf, "labels").select("doc_id", F.lit(1).alias("hit"))), "doc_id", "left")
+    one = joined.agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("hit").isNull()).alias("quarantined"))
+    return one.withColumn("fraction", F.round(share(F.col("quarantined"), F.col("total")), 9))
+
+
+@query("""select count(*) row_count, count(*) filter (where l_orderkey is null) nulls_l_orderkey, count(*) filter (where l_returnflag is null) nulls_l_returnflag, count(*) filter (where l_tax is null) nulls_value,
+  count(*) filter (where isnan(l_tax)) nan_value, count(*) filter (where l_tax = 0) zero_count, count(distinct l_returnflag) group_count, round(count(*) filter (where l_tax = 0) / count(*)::double, 9) zero_fraction from lineitem""")
+def silver_metrics(spark, sf):
+    return rounded(metrics.silver(table(spark, sf, "lineitem"), ["l_orderkey", "l_returnflag"], "l_tax", "l_returnflag"))
+
+
+@query(f"""select count(*) row_count, count(*) filter (where l_suppkey is null) nulls_l_suppkey, count(*) filter (where l_returnflag is null) nulls_l_returnflag, count(distinct l_returnflag) group_count, min(sample_count) min_sample_count, round(avg(z), 7) mean_zero_fraction
+  from (select l_suppkey, l_returnflag, cast(count(*) as integer) sample_count, avg(case when l_tax = 0 then 1.0 else 0.0 end) z from lineitem where l_tax is not null group by all)""")
+def gold_metrics(spark, sf):
+    f = features.group_features(table(spark, sf, "lineitem"), ["l_suppkey", "l_returnflag"], "l_tax", double=True)
+    return rounded(metrics.gold(f, ["l_suppkey", "l_returnflag"], "l_returnflag"), 7)
+
+
+@query("""with m as (select count(*) n, count(*) filter (where l_orderkey is null) k, count(*) filter (where l_tax = 0) / count(*)::double z, count(*) - count(distinct (l_orderkey, l_linenumber)) d from lineitem)
+  select 'row_count' as name, 'critical' severity, n > 0 passed from m union all select 'nulls_l_orderkey', 'critical', k = 0 from m
+  union all select 'duplicates_line', 'critical', d = 0 from m union all select 'zero_fraction', 'warning', z between 0.5189 - 0.05 and 0.5189 + 0.05 from m""")
+def quality_report_rows(spark, sf):
+    t = table(spark, sf, "lineitem")
+    d = profiling.duplicates(t, ["l_orderkey", "l_linenumber"]).select("duplicates")
+    m = metrics.silver(t, ["l_orderkey"], "l_tax", "l_returnflag").join(d)
+    return m.selectExpr("""stack(4, 'row_count', 'critical', row_count > 0, 'nulls_l_orderkey', 'critical', nulls_l_orderkey = 0,
+      'duplicates_line', 'critical', duplicates = 0, 'zero_fraction', 'warning', zero_fraction between 0.4689 and 0.5689) as (name, severity, passed)""")
+
+
+@query("select cast(count(*) as bigint) total, count(distinct (l_orderkey, l_linenumber)) distinct_keys, count(*) - count(distinct (l_orderkey, l_linenumber)) duplicates from lineitem")
+def duplicates_index(spark, sf):
+    return profiling.duplicates(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+def _profile_sql(column: str) -> str:
+    return f"""select '{column}' as "column", count(*) total, count(*) filter (where {column} is null) nulls, count(*) filter (where {column} = 0) zeros, round(count(*) filter (where {column} is null) * 100.0 / count(*), 4)::double null_pct,
+      round(count(*) filter (where {column} = 0) * 100.0 / count(*), 2)::double zero_pct, case when count(*) filter (where {column} is null) * 100.0 / count(*) < 0.1 then 'clean' when count(*) filter (where {column} is null) * 100.0 / count(*) < 1 then 'acceptable' else 'review' end verdict from lineitem"""
+
+
+@query(" union all ".join(_profile_sql(c) for c in MEASURES))
+def null_zero_profile(spark, sf):
+    return profiling.null_zero(table(spark, sf, "lineitem"), MEASURES)
+
+
+@query("select event_type, count(*) n from events where event_type is not null group by event_type")
+def value_counts(spark, sf):
+    return profiling.value_counts(table(spark, sf, "events"), "event_type")
+
+
+@query("select l_suppkey, count(*) n from lineitem where l_suppkey is not null group by l_suppkey order by n desc, l_suppkey limit 10")
+def top10(spark, sf):
+    return profiling.top(table(spark, sf, "lineitem"), "l_suppkey")
+
+
+@query("select l_suppkey, count(*) n from lineitem where l_suppkey is not null group by l_suppkey order by n, l_suppkey limit 5")
+def bottom5(spark, sf):
+    return profiling.bottom(table(spark, sf, "lineitem"), "l_suppkey")
+
+
+@query("""with c as (select l_suppkey v, count(*) n from lineitem where l_suppkey is not null group by 1), a as (select count(*) distinct_values, max(n) largest, min(n) smallest from c)
+  select distinct_values, largest, smallest, (select v from c order by n desc, v limit 1) largest_value, (select v from c order by n, v limit 1) smallest_value, round(largest / smallest::double, 1) ratio,
+  case when round(largest / smallest::double, 1) > 10 then 'SEVERE' when round(largest / smallest::double, 1) > 5 then 'MODERATE' else 'LOW' end skew from a""")
+def skew_ratio(spark, sf):
+    return profiling.skew(table(spark, sf, "lineitem"), "l_suppkey")
+
+
+@query("select count(*) filter (where l_tax = 0) l_tax_zeros, count(*) filter (where l_discount = 0) l_discount_zeros from lineitem")
+def zero_count_when(spark, sf):
+    return profiling.zero_counts(table(spark, sf, "lineitem"), ["l_tax", "l_discount"])
+
+
+@query("select l_returnflag, count(*) as groups from (select distinct l_suppkey, l_returnflag from lineitem where l_tax is not null) group by l_returnflag")
+def groups_per_tissue(spark, sf):
+    f = features.group_features(table(spark, sf, "lineitem"), ["l_suppkey", "l_returnflag"], "l_tax")
+    return features.groups_per(f, "l_returnflag")
+
+
+@query("select l_linestatus, count(*) n, round(sum(l_tax), 4) tax from (select * from lineitem where l_returnflag = 'A' union all select * from lineitem where l_returnflag <> 'A') group by l_linestatus")
+def union_all_chunks(spark, sf):
+    t = table(spark, sf, "lineitem")
+    both = t.where("l_returnflag = 'A'").unionByName(t.where("l_returnflag <> 'A'"))
+    return both.groupBy("l_linestatus").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("l_tax"), 4).alias("tax"))
+
+
+@query("select distinct o_custkey as key from orders where exists (select 1 from customer where c_custkey = o_custkey)")
+def overlap_semi(spark, sf):
+    return join.overlap(table(spark, sf, "orders").select(F.col("o_custkey").alias("key")), table(spark, sf, "customer").select(F.col("c_custkey").alias("key")), "key")
+
+
+@query("select o_custkey as key from orders intersect select c_custkey from customer")
+def overlap_intersect(spark, sf):
+    return table(spark, sf, "orders").select(F.col("o_custkey").alias("key")).intersect(table(spark, sf, "customer").select(F.col("c_custkey").alias("key")))
+
+
+@query("""select l_suppkey, round(min(m), 9) min_mean, round(max(z), 9) max_zero_fraction from (select l_suppkey, l_returnflag, avg(ln(1 + l_tax)) m, avg(case when l_tax = 0 then 1.0 else 0.0 end) z from lineitem where l_tax is not null group by all) group by l_suppkey""")
+def gene_validation(spark, sf):
+    f = features.group_features(table(spark, sf, "lineitem"), ["l_suppkey", "l_returnflag"], "l_tax", double=True)
+    return rounded(features.validate_genes(f, "l_suppkey"))
+
+
+@query("select n_rows, n_rows * 64 long_rows, round(n_rows * 64 * 40 / 1073741824.0::double, 6) long_gb, n_rows * 10 feature_rows from (select count(*) n_rows from embeddings)")
+def reshape_sizing(spark, sf):
+    one = table(spark, sf, "embeddings").agg(F.count(F.lit(1)).alias("n_rows"))
+    return one.select("n_rows", (F.col("n_rows") * 64).alias("long_rows"), F.round(F.col("n_rows") * 64 * 40 / F.lit(1073741824.0), 6).alias("long_gb"), (F.col("n_rows") * 10).alias("feature_rows"))
+
+
+@query("select count(*) n_rows, 11 n_columns, 9 n_value_columns, 'Long' topology from lineitem")
+def schema_dims(spark, sf):
+    return profiling.dimensions(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@query("select o_custkey, o_orderstatus, count(*) n, round(sum(o_totalprice), 2) total from orders group by all")
+def sink_roundtrip(spark, sf):
+    """Written by status, checked, published, and read back with string partitions."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="strataflow-")
+    back = sinks.publish(spark, table(spark, sf, "orders").select("o_custkey", "o_totalprice", "o_orderstatus"), f"{root}/layer-{uuid.uuid4().hex}", "o_orderstatus", lambda df: None)
+    return back.groupBy("o_custkey", "o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+
+
+@query("select source, lang, count(*) n, substring(sha256(source), 1, 16) digest from (select trim(source) source, lang from documents) group by all")
+def scalar_functions(spark, sf):
+    d = table(spark, sf, "documents").select(strip(F.col("source")).alias("source"), "lang")
+    return d.groupBy("source", "lang").agg(F.count(F.lit(1)).alias("n")).withColumn("digest", digest(F.col("source")))
+
+
+@query("""select l_returnflag, round(n0 * 1.0::double / n1, 6) ratio, case when n0 * 1.0 / n1 > 10 then 'SEVERE' when n0 * 1.0 / n1 > 5 then 'MODERATE' else 'LOW' end skew, case when z < 0.1 then 'clean' when z < 1 then 'acceptable' else 'review' end verdict
+  from (select l_returnflag, count(*) n0, count(*) filter (where l_tax = 0) + 1 n1, count(*) filter (where l_tax = 0) * 100.0 / count(*) z from lineitem group by 1)""")
+def verdict_classes(spark, sf):
+    g = table(spark, sf, "lineitem").groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n0"), F.count_if(is_zero(F.col("l_tax"))).alias("z"))
+    ratio = F.col("n0") / (F.col("z") + 1)
+    return g.select("l_returnflag", F.round(ratio, 6).alias("ratio"), skew_class(ratio).alias("skew"), null_class(F.col("z") * 100.0 / F.col("n0")).alias("verdict"))
+
+
+@query("select quality, toxic, lang, count(*) n, round(avg(n_chars), 6) mean_chars from documents join labels using (doc_id) group by all")
+def labelled_summary(spark, sf):
+    matched, _ = join.attach(table(spark, sf, "documents").select("doc_id", "lang", "n_chars"), table(spark, sf, "labels"), "doc_id")
+    return matched.groupBy("quality", "toxic", "lang").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("n_chars"), 6).alias("mean_chars"))
