@@ -21,20 +21,21 @@ MIN_LINES = 2
 
 
 def doubled(depth: int) -> list[str]:
-    """SQL steps that turn h (line ids) into names of `depth` lines: powers of two, then the overlapping rest."""
+    """SQL steps that turn z.h (line ids) into names of `depth` lines: powers of two, then the overlapping rest."""
     steps, have = [], 1
     while have < depth:
         jump = min(have, depth - have)
-        steps.append(f"case when size(h) > {jump} then transform(sequence(0, size(h) - 1 - {jump}), i -> named_struct('x', xxhash64(h[i], h[i + {jump}]), 'y', xxhash64(h[i + {jump}], h[i], {have}))) else array() end")
+        steps.append(f"case when size(z.h) > {jump} then transform(sequence(0, size(z.h) - 1 - {jump}), i -> named_struct('x', xxhash64(z.h[i], z.h[i + {jump}]), 'y', xxhash64(z.h[i + {jump}], z.h[i], {have}))) else array() end")
         have += jump
     return steps
 
 
 def names(docs: DataFrame, depth: int) -> DataFrame:
     """(doc_id, pos, x, y): the name of the depth lines at each position."""
-    ids = docs.where("text is not null and doc_id is not null").selectExpr("doc_id", "transform(split(text, '\\n', -1), l -> named_struct('x', xxhash64(l), 'y', xxhash64(l, length(l), 7))) h")
-    for step in doubled(depth):
-        ids = ids.selectExpr("doc_id", f"{step} h")
+    h = "transform(split(text, '\\n', -1), l -> named_struct('x', xxhash64(l), 'y', xxhash64(l, length(l), 7)))"
+    for step in doubled(depth):  # the ids are bound to a lambda's variable: else each use would make them anew
+        h = f"transform(array(named_struct('h', {h})), z -> {step})[0]"
+    ids = docs.where("text is not null and doc_id is not null").selectExpr("doc_id", f"{h} h")
     return ids.select("doc_id", F.posexplode("h").alias("pos", "n")).selectExpr("doc_id", "pos", "n.x x", "n.y y")
 
 
@@ -46,18 +47,20 @@ def later_copies(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
     return later.groupBy("doc_id").agg(F.sort_array(F.collect_list("pos")).alias("gone"))
 
 
-def kept_lines(lines: Column, gone: Column, min_lines: int) -> Column:
-    """lines without those that a window of min_lines lines starting in gone covers."""
-    covered = F.array_distinct(F.flatten(F.transform(gone, lambda p: F.sequence(p, p + F.lit(min_lines - 1)))))
-    flags = F.map_from_arrays(covered, F.transform(covered, lambda p: F.lit(True)))
-    return F.when(gone.isNull(), lines).otherwise(F.filter(lines, lambda _, i: ~F.map_contains_key(flags, i)))
+def kept_lines(text: str, gone: str, min_lines: int) -> Column:
+    """The lines of text outside the windows of min_lines lines that start in gone (rising): the pieces between one
+    window's end and the next one's start."""
+    start = f"case when j = 0 then 0 else z.g[j - 1] + {min_lines} end"
+    stop = "case when j = size(z.g) then size(z.l) else z.g[j] end"
+    pieces = f"flatten(transform(sequence(0, size(z.g)), j -> slice(z.l, 1 + {start}, greatest(0, {stop} - ({start})))))"
+    return F.expr(f"transform(array(named_struct('l', split({text}, '\\n', -1), 'g', coalesce({gone}, array()))), z -> {pieces})[0]")
 
 
 def line_dedup(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
     """doc_id, n_lines, n_kept, text_kept per document."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     lines = F.split("text", "\n", -1)
-    out = own.join(later_copies(own, min_lines), "doc_id", "left").withColumn("kept", kept_lines(lines, F.col("gone"), min_lines))
+    out = own.join(later_copies(own, min_lines), "doc_id", "left").withColumn("kept", kept_lines("text", "gone", min_lines))
     return out.select("doc_id", F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"), F.when(F.col("text").isNull(), 0).otherwise(F.size("kept")).cast("long").alias("n_kept"), F.array_join("kept", "\n").alias("text_kept"))
 
 
