@@ -13,8 +13,8 @@ that combine before their shuffle: a passage in a third of all documents is a co
 
 Equality is that of 128 bits (64 of the anchor and 64 of the context or window).
 Nulls and empty texts have no words. Texts shorter than a window lose nothing. Repeated rows count as documents of
-their own and so lose all their windows, if doc_id differs; doc_id identifies a document and may not be repeated.
-Other columns are left out.
+their own and so lose all their windows, if doc_id differs; doc_id identifies a document and may not be repeated; rows of a null
+doc_id keep all their words. Other columns are left out.
 """
 
 from __future__ import annotations
@@ -25,9 +25,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from numpy.lib.stride_tricks import sliding_window_view
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strataflow.llm.graph import keep
 from strataflow.llm.textops import Words, signed, slices
 
 WINDOW, GRAM = 35, 8
@@ -60,15 +61,24 @@ def contexts(words: Words, window: int, gram: int) -> tuple[np.ndarray, ...]:
     return grams[anchor], whole, row, lo - base, hi - base, lo
 
 
-def find_contexts(docs: DataFrame, window: int, gram: int) -> DataFrame:
+def find_contexts(docs: DataFrame, window: int, gram: int, combine: bool = False) -> DataFrame:
+    """(a, c, doc_id, lo, hi, n) of each context; with combine, equal ones of one slice of texts are one row of n."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 a, c, row, lo, hi, _ = contexts(Words(part.column(1)), window, gram)
-                if len(a):
-                    yield pa.RecordBatch.from_arrays([pa.array(signed(a)), pa.array(signed(c)), part.column(0).take(pa.array(row)), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32))], ["a", "c", "doc_id", "lo", "hi"])
+                if not len(a):
+                    continue
+                n = np.ones(len(a), np.int64)
+                if combine:
+                    order = np.lexsort((c, a))
+                    first = np.flatnonzero(np.append(True, (np.diff(a[order]) != 0) | (np.diff(c[order]) != 0)))
+                    n = np.diff(np.append(first, len(a)))
+                    a, c, row, lo, hi = (x[order[first]] for x in (a, c, row, lo, hi))
+                yield pa.RecordBatch.from_arrays([pa.array(signed(a)), pa.array(signed(c)), part.column(0).take(pa.array(row)), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32)), pa.array(n)], ["a", "c", "doc_id", "lo", "hi", "n"])
 
-    return docs.mapInArrow(run, "a long, c long, doc_id long, lo int, hi int")
+    return docs.mapInArrow(run, "a long, c long, doc_id long, lo int, hi int, n long")
 
 
 def window_rows(docs: DataFrame, window: int) -> DataFrame:
@@ -130,18 +140,22 @@ def strip_spans(docs: DataFrame, window: int) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """(doc_id, spans): runs of first words of windows that also start elsewhere."""
-    docs = docs.selectExpr("cast(doc_id as long) doc_id", "text")
-    found = find_contexts(docs.where("text is not null"), window, gram)
-    index = found.groupBy("a", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "lo", "hi")).alias("at"))
-    blocks = index.groupBy("a").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
-    edge = index.join(blocks, "a", "left_semi")
-    asked = edge.select(F.col("at.doc_id").alias("doc_id"), F.struct("a", F.col("at.lo").alias("lo"), F.col("at.hi").alias("hi"), "n").alias("s"))
+    """(doc_id, spans): runs of first words of windows that also start elsewhere. docs: doc_id, text, no nulls in
+    doc_id."""
+    # The index is dealt by anchor once, after equal contexts were combined slice by slice; what only one place has
+    # ends here.
+    dealt = find_contexts(docs, window, gram, combine=True).repartition("a")
+    index = dealt.groupBy("a", "c").agg(F.sum("n").alias("n"), F.min(F.struct("doc_id", "lo", "hi")).alias("at"))
+    index = index.withColumn("kinds", F.count(F.lit(1)).over(Window.partitionBy("a"))).where("n > 1 or kinds > 1")
+    index = keep(index)
+    asked = index.where("kinds > 1").select(F.col("at.doc_id").alias("doc_id"), F.struct("a", F.col("at.lo").alias("lo"), F.col("at.hi").alias("hi"), "n").alias("s"))
     asked = asked.groupBy("doc_id").agg(F.collect_list("s").alias("spans"))
+    # Read twice below; the shuffled texts are one exchange, shared with the last join.
     windows = window_rows(docs.join(asked, "doc_id"), window)
     # Contexts of several copies are decided; their windows only count for the others.
     twice = windows.groupBy("a", "w").agg(F.sum("n").alias("total"), F.min("n").alias("least")).where("total > 1 and least = 1")
     inside = windows.where("n = 1").join(twice.select("a", "w"), ["a", "w"], "left_semi").select("doc_id", F.struct(F.col("pos").alias("lo"), F.col("pos").alias("hi")).alias("s"))
+    found = find_contexts(docs, window, gram).select("a", "c", "doc_id", "lo", "hi")
     whole = found.join(index.where("n > 1").select("a", "c"), ["a", "c"], "left_semi").select("doc_id", F.struct("lo", "hi").alias("s"))
     return whole.union(inside).groupBy("doc_id").agg(F.collect_list("s").alias("spans"))
 
@@ -149,4 +163,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
 def substring_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """Per document: words, words removed and the digest of the words kept."""
     own = docs.selectExpr("cast(doc_id as long) doc_id", "text")
-    return strip_spans(own.join(repeated_spans(docs, window, gram), "doc_id", "left"), window)
+    known = own.where("doc_id is not null")
+    spans = repeated_spans(known, window, gram)
+    rest = own.where("doc_id is null").withColumn("spans", F.lit(None).cast(spans.schema["spans"].dataType))
+    return strip_spans(known.join(spans, "doc_id", "left").unionByName(rest), window)
