@@ -35,7 +35,7 @@ K, NUM, DEN = 5, 75, 100
 #: Shingles that one task of the tree join holds for a side.
 LIMIT = 2_000_000
 #: Shingles gathered before packed arrays are sent, and characters of text for one shard.
-FLUSH, SHARD_CHARS = 3_000_000, 12_000_000
+FLUSH, SHARD_CHARS = 1_000_000, 12_000_000
 
 
 def set_rows(docs: DataFrame, k: int) -> DataFrame:
