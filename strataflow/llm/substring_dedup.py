@@ -61,8 +61,8 @@ def contexts(words: Words, window: int, gram: int) -> tuple[np.ndarray, ...]:
     return grams[anchor], whole, row, lo - base, hi - base, lo
 
 
-def find_contexts(docs: DataFrame, window: int, gram: int, combine: bool = False) -> DataFrame:
-    """(a, c, doc_id, lo, hi, n) of each context; with combine, equal ones of one slice of texts are one row of n."""
+def find_contexts(docs: DataFrame, window: int, gram: int) -> DataFrame:
+    """(a, c, docs, lo, hi): contexts with their places; equal ones of one slice of texts are one row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -70,15 +70,14 @@ def find_contexts(docs: DataFrame, window: int, gram: int, combine: bool = False
                 a, c, row, lo, hi, _ = contexts(Words(part.column(1)), window, gram)
                 if not len(a):
                     continue
-                n = np.ones(len(a), np.int64)
-                if combine:
-                    order = np.lexsort((c, a))
-                    first = np.flatnonzero(np.append(True, (np.diff(a[order]) != 0) | (np.diff(c[order]) != 0)))
-                    n = np.diff(np.append(first, len(a)))
-                    a, c, row, lo, hi = (x[order[first]] for x in (a, c, row, lo, hi))
-                yield pa.RecordBatch.from_arrays([pa.array(signed(a)), pa.array(signed(c)), part.column(0).take(pa.array(row)), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32)), pa.array(n)], ["a", "c", "doc_id", "lo", "hi", "n"])
+                order = np.lexsort((c, a))
+                a, c, row, lo, hi = (x[order] for x in (a, c, row, lo, hi))
+                first = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (c[1:] != c[:-1])))
+                ends = pa.array(np.append(first, len(a)).astype(np.int32))
+                lists = [pa.ListArray.from_arrays(ends, x) for x in (part.column(0).take(pa.array(row)), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32)))]
+                yield pa.RecordBatch.from_arrays([pa.array(signed(a[first])), pa.array(signed(c[first])), *lists], ["a", "c", "docs", "lo", "hi"])
 
-    return docs.mapInArrow(run, "a long, c long, doc_id long, lo int, hi int, n long")
+    return docs.mapInArrow(run, "a long, c long, docs array<long>, lo array<int>, hi array<int>")
 
 
 def window_rows(docs: DataFrame, window: int) -> DataFrame:
@@ -144,19 +143,20 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
     doc_id."""
     # The index is dealt by anchor once, after equal contexts were combined slice by slice; what only one place has
     # ends here.
-    dealt = find_contexts(docs, window, gram, combine=True).repartition("a")
-    index = dealt.groupBy("a", "c").agg(F.sum("n").alias("n"), F.min(F.struct("doc_id", "lo", "hi")).alias("at"))
-    index = index.withColumn("kinds", F.count(F.lit(1)).over(Window.partitionBy("a"))).where("n > 1 or kinds > 1")
+    dealt = find_contexts(docs, window, gram).repartition("a")
+    by_anchor = Window.partitionBy("a").orderBy("c")
+    index = dealt.withColumn("n", F.sum(F.size("docs")).over(Window.partitionBy("a", "c"))).withColumn("first", ~F.col("c").eqNullSafe(F.lag("c").over(by_anchor)))
+    index = index.withColumn("kinds", F.sum(F.col("first").cast("long")).over(Window.partitionBy("a"))).where("n > 1 or kinds > 1")
     index = keep(index)
-    asked = index.where("kinds > 1").select(F.col("at.doc_id").alias("doc_id"), F.struct("a", F.col("at.lo").alias("lo"), F.col("at.hi").alias("hi"), "n").alias("s"))
+    asked = index.where("kinds > 1 and first").select(F.col("docs")[0].alias("doc_id"), F.struct("a", F.col("lo")[0].alias("lo"), F.col("hi")[0].alias("hi"), "n").alias("s"))
     asked = asked.groupBy("doc_id").agg(F.collect_list("s").alias("spans"))
     # Read twice below; the shuffled texts are one exchange, shared with the last join.
     windows = window_rows(docs.join(asked, "doc_id"), window)
     # Contexts of several copies are decided; their windows only count for the others.
     twice = windows.groupBy("a", "w").agg(F.sum("n").alias("total"), F.min("n").alias("least")).where("total > 1 and least = 1")
     inside = windows.where("n = 1").join(twice.select("a", "w"), ["a", "w"], "left_semi").select("doc_id", F.struct(F.col("pos").alias("lo"), F.col("pos").alias("hi")).alias("s"))
-    found = find_contexts(docs, window, gram).select("a", "c", "doc_id", "lo", "hi")
-    whole = found.join(index.where("n > 1").select("a", "c"), ["a", "c"], "left_semi").select("doc_id", F.struct("lo", "hi").alias("s"))
+    places = index.where("n > 1").select(F.explode(F.arrays_zip("docs", "lo", "hi")).alias("x"))
+    whole = places.select(F.col("x.docs").alias("doc_id"), F.struct("x.lo", "x.hi").alias("s"))
     return whole.union(inside).groupBy("doc_id").agg(F.collect_list("s").alias("spans"))
 
 
