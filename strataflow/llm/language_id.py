@@ -87,9 +87,14 @@ def fit(labelled: DataFrame, per_lang: int = PER_LANG, clusters: int = CLUSTERS)
     """labelled: doc_id, text, lang. The bound on what reaches the driver: LANGS * per_lang vectors of DIM bytes-sized
     counts, packed as float16."""
     rows = labelled.where("text is not null and lang is not null").select("doc_id", "text", "lang")
-    langs = [r[0] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGS).collect()]
-    order = Window.partitionBy("lang").orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id")
-    sample = rows.where(F.col("lang").isin(langs)).select("doc_id", "lang").withColumn("at", F.row_number().over(order)).where(F.col("at") <= per_lang).select("doc_id", "lang")
+    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGS).collect()
+    # Only hashes below a share that holds four times the rows asked for are ranked, so a language of a third of all
+    # rows is no large group.
+    h = F.xxhash64(F.col("doc_id").cast("string"))
+    most = F.create_map(*[x for r in sizes for x in (F.lit(r["lang"]), F.lit(min(1.0, 4.0 * per_lang / r["count"])))]) if sizes else F.lit(None).cast("map<string,double>")
+    few = rows.select("doc_id", "lang").where(F.pmod(h, F.lit(1 << 40)) <= F.element_at(most, F.col("lang")) * float(1 << 40))
+    order = Window.partitionBy("lang").orderBy(F.pmod(h, F.lit(1 << 40)), "doc_id")
+    sample = few.withColumn("at", F.row_number().over(order)).where(F.col("at") <= per_lang).select("doc_id", "lang")
     # At most LANGS * per_lang ids: small enough to send to every task.
     picked = rows.join(F.broadcast(sample), ["doc_id", "lang"], "left_semi").select("doc_id", "text", "lang")
 
