@@ -24,12 +24,13 @@ from strataflow.llm.graph import keep
 KEY = "strataflow"
 HONORIFIC_F = r"Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|госпожа"
 HONORIFIC_M = r"Mr|Herr|Monsieur|Señor|Sr|господин"
-ASSIGN = r"(?:[Pp]assword|passwd|pwd|[Tt]oken|[Ss]ecret|api[_-]?key)\s{0,2}[=:]\s{0,2}[\"']?"
+ASSIGN = r"(?i:password|passwd|pwd|token|secret|api[_-]?key)[^\w\n=:]{0,4}[=:][^\w\n]{0,5}"
 #: One pattern for all; each part starts where a word starts, so no start is tried twice.
 PATTERN = "|".join(
     [
         r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
-        rf"(?<![\w]){ASSIGN}[A-Za-z0-9_\-]{{8,}}+",
+        rf"(?<![\w]){ASSIGN}(?=[A-Za-z_\-]{{0,40}}\d)[A-Za-z0-9_\-]{{8,}}+",
+        r"(?<![\w.-])(?=[A-Fa-f]{0,31}\d)[A-Fa-f0-9]{32,}+(?![\w])",
         r"\bAKIA[0-9A-Z]{16}\b",
         r"\b(?:sk|ghp|gho|xoxb|xoxp)[_-][A-Za-z0-9_-]{16,}+",
         r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
@@ -60,7 +61,7 @@ def array(values: list[str]) -> str:
 
 def kind(e: str) -> str:
     """SQL: the type of an entity."""
-    return f"""case when {e} like '%@%' then 'email' when {e} rlike r'^{ASSIGN.replace("'", chr(92) + "x27")}' then 'secret' when {e} rlike r'^(?:AKIA|(?:sk|ghp|gho|xoxb|xoxp)[_-])' then 'key'
+    return f"""case when {e} like '%@%' then 'email' when {e} rlike r'^(?:{ASSIGN}|[A-Fa-f0-9]{{32,}}$)' then 'secret' when {e} rlike r'^(?:AKIA|(?:sk|ghp|gho|xoxb|xoxp)[_-])' then 'key'
       when {e} rlike r'^\\p{{L}}+\\.? \\p{{Lu}}' then 'name' when {e} rlike r'^\\d+(\\.\\d+){{3}}$' then 'ip' when {e} rlike r'^[A-Z]' then 'iban'
       when {e} rlike r'^\\d{{3}}-\\d{{2}}-\\d{{4}}$' then 'ssn' when {e} rlike r'^\\d{{4}}[ -]?\\d{{4}}[ -]?\\d{{4}}' then 'card' else 'phone' end"""
 
