@@ -26,18 +26,20 @@ def keep(df: DataFrame) -> DataFrame:
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, component): the smallest node that each node of edges (a, b) reaches.
 
-    Rounds of minimum over neighbours, then a jump to the label's own label; the aggregations combine before their
+    Rounds of minimum over neighbours, from the third on with a jump to the label's own label; the aggregations combine before their
     shuffle, and AQE splits a hub's rows in the joins. Ends when no label changes. Null nodes take no part; loops and
     repeated edges have no effect; no edges give no rows.
     """
     edges = edges.where("a is not null and b is not null and a != b").select("a", "b")
     both = keep(edges.union(edges.select("b", "a")).toDF("a", "b").distinct())
     labels = keep(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("label")))
-    for _ in range(rounds):
+    for i in range(rounds):
         near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("n"))
-        step = labels.join(near, "node", "left").select("node", F.col("label").alias("old"), F.least("label", F.coalesce("n", "label")).alias("label"))
-        jump = step.select(F.col("node").alias("label"), F.col("label").alias("up"))
-        new = keep(step.join(jump, "label", "left").select("node", "old", F.least("label", F.coalesce("up", "label")).alias("label")))
+        new = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "n").alias("label"))
+        if i > 1:  # stars have settled by now; chains are halved by jumps
+            jump = new.select(F.col("node").alias("label"), F.col("label").alias("up"))
+            new = new.join(jump, "label").select("node", "old", F.least("label", "up").alias("label"))
+        new = keep(new)
         changed = new.where("old != label").limit(1).count()
         labels = new.select("node", "label")
         if not changed:
