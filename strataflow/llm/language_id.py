@@ -2,8 +2,9 @@
 
 A text is the vector of its hashed byte 1- to 3-gram counts (of letters and single blanks), damped by log1p, weighted by inverse document frequency
 and scaled to length 1. Each language has up to CLUSTERS centroids (spherical k-means over its training vectors); the
-prediction is the language of the centroid of greatest cosine. A text is rejected where that cosine is below what the
-centroid's own training members reach (their least cosine less MARGIN), or where it has no letter.
+prediction is the language of the centroid of greatest cosine. A text is rejected where that cosine is below SHARE of
+what all but one in a hundred of the language's training texts reach, or where it has no letter. Very short texts of a
+known language stay far above that; other scripts and noise fall below.
 
 Fitting reads at most PER_LANG labelled rows of a language, those of least hash of doc_id, and their vectors are made
 by the executors; idf belongs to the classifier and comes from the same rows. The rest covers all rows.
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from strataflow.llm.textops import slices, text_bytes
 
-DIM, PER_LANG, CLUSTERS, ROUNDS, MARGIN = 4096, 400, 4, 12, 0.15
+DIM, PER_LANG, CLUSTERS, ROUNDS, SHARE = 4096, 400, 4, 12, 0.2
 #: Distinct languages that a model takes; the most frequent ones, should there be more.
 LANGS = 200
 #: Bytes as the n-grams see them: ASCII letters in lower case, other ASCII as one blank, the rest as it is.
@@ -119,7 +120,10 @@ def fit(labelled: DataFrame, per_lang: int = PER_LANG, clusters: int = CLUSTERS)
         which = best.argmax(axis=1)
         cents.append(c)
         names += [lang] * len(c)
-        least += [float(best[which == i, i].min()) - MARGIN if (which == i).any() else 1.0 for i in range(len(c))]
+        # Singleton clusters say nothing of distances; the language's first percentile covers its centroids.
+        big = np.bincount(which, minlength=len(c))[which] > 1
+        own_cos = best.max(axis=1)[big] if big.any() else best.max(axis=1)
+        least += [SHARE * float(np.quantile(own_cos, 0.01))] * len(c)
     return Model(idf, np.concatenate(cents).astype(np.float32), names, np.array(least, np.float32))
 
 

@@ -243,3 +243,11 @@ def test_preference_pairs(spark):
     assert (p.n_prompt_turns, p.prompt) == (1, "<|user|>\nhi<|end|>\n") and p.chosen == "<|assistant|>\nyes<|end|>\n"
     assert [p.chosen[s.start : s.stop] for s in p.chosen_loss] == ["yes<|end|>"] and [p.rejected[s.start : s.stop] for s in p.rejected_loss] == ["no<|end|>"]
     assert got[1].chosen == got[1].rejected == "" and got[1].chosen_loss == [] and got[3].n_prompt_turns == 0
+
+
+def test_language_rejection(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    model = language_id.fit(docs)
+    assert language_id.predict(docs, model, ["doc_id"]).where("rejected").count() == 0
+    odd = spark.createDataFrame([(1, "こんにちは世界"), (2, "xq zzkw jjqx vvkz qqqx"), (3, "the"), (4, None)], "doc_id long, text string")
+    assert {r.doc_id for r in language_id.predict(odd, model, ["doc_id"]).where("rejected").collect()} == {1, 2, 4}
