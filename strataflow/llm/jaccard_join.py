@@ -9,18 +9,20 @@
    star-shaped edges, never all pairs).
 4. Groups are joined in a prefix tree: sets, in global order with the frequent shingles first, are stored in a radix tree;
    a set walks it sharing the overlap of each path with all sets below, and leaves a subtree when the shingles that
-   remain, in the set or below, cannot reach the threshold, or when all of it is already in the set's component.
+   remain, in the set or below, cannot reach the threshold. Every link between classes is found.
    A group over LIMIT shingles is cut into tiles, each joined with itself and with every other tile of the group, in
    tasks of their own.
-5. Components over the links and the classes' members give component_id.
+5. Components over the links and the classes' members give component_id. n_links counts the other documents that a
+   document links with: the members of all linked classes and the others of its own. class_links() gives the pairs.
 
 Counts, candidates and thresholds cover all documents; there is no cap. Null or empty texts have an empty set and link
-with nothing. doc_id identifies a document; rows of a null doc_id give n_shingles and a null component_id. Repeated
+with nothing. doc_id identifies a document; rows of a null doc_id give n_shingles and a null component_id and n_links. Repeated
 texts are one class. Other columns are left out.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -142,83 +144,80 @@ def order_sets(docs: DataFrame, num: int, den: int) -> DataFrame:
 
 
 class Tree:
-    """A radix tree over sets as ascending arrays of ranks; nodes are (edge, children, members, sizes, least label)."""
+    """A radix tree over sets as ascending arrays of ranks, in flat arrays. Nodes stand level by level, so that the
+    children of a node are neighbours; node i covers order[lo[i]:hi[i]], of which the first own[i] end at it."""
 
     def __init__(self, sets: list[np.ndarray], sizes: list[int]):
-        self.sets, self.sizes = sets, sizes
         order = sorted(range(len(sets)), key=lambda i: sets[i].astype(">i4").tobytes())
-        self.order = order
-        # A node covers order[lo:hi]; its edge is sets[order[lo]][depth:end].
-        self.root = self.node(0, len(order), 0) if order else None
-
-    def node(self, lo: int, hi: int, depth: int) -> list:
-        first, last = self.sets[self.order[lo]], self.sets[self.order[hi - 1]]
-        m = min(len(first), len(last))
-        differ = np.flatnonzero(first[:m] != last[:m])
-        end = int(differ[0]) if len(differ) else m
-        members, i, parts = [], lo, []
-        while i < hi and len(self.sets[self.order[i]]) == end:
-            members.append(self.order[i])
-            i += 1
-        if i < hi:
-            heads = np.array([self.sets[self.order[x]][end] for x in range(i, hi)])
-            cuts = np.flatnonzero(np.append(True, heads[1:] != heads[:-1]))
-            parts = [(i + int(a), i + int(b)) for a, b in zip(cuts, np.append(cuts[1:], hi - i), strict=True)]
-        inside = self.order[lo:hi]
-        lens = [len(self.sets[x]) for x in inside]
-        ns = [self.sizes[x] for x in inside]
-        return [first[depth:end], parts, members, (min(ns), max(ns), max(lens)), end, (lo, hi)]
-
-
-def links_within(sets: list[np.ndarray], sizes: list[int], left: int, num: int, den: int, same: bool) -> list[tuple[int, int]]:
-    """Links that join components, between sets[:left] and sets[left:], or, if same, among sets[:left]. Sets are
-    arrays of global ranks, rising. The tree holds the sets of the first side."""
-    up = list(range(len(sets)))
-
-    def find(x: int) -> int:
-        while up[x] != x:
-            up[x] = up[up[x]]
-            x = up[x]
-        return x
-
+        lens, ns = np.array([len(sets[i]) for i in order]), np.array([sizes[i] for i in order])
+        todo, rows, edges, at = [(0, len(order), 0)] if order else [], [], [], 0
+        while at < len(todo):
+            lo, hi, depth = todo[at]
+            at += 1
+            first, last = sets[order[lo]], sets[order[hi - 1]]
+            m = min(len(first), len(last))
+            differ = np.flatnonzero(first[depth:m] != last[depth:m])
+            end = depth + int(differ[0]) if len(differ) else m
+            i, child = lo, len(todo)
+            while i < hi and lens[i] == end:
+                i += 1
+            own = i - lo
+            while i < hi:
+                j = bisect_right(order, sets[order[i]][end], i, hi, key=lambda x: sets[x][end])
+                todo.append((i, j, end))
+                i = j
+            edges.append(first[depth:end])
+            rows.append((lo, own, child, len(todo) - child, end - depth, end, int(ns[lo:hi].min()), int(ns[lo:hi].max()), int(lens[lo:hi].max()), int(edges[-1][-1]) if end > depth else -1))
+        self.order, self.edges = np.array(order, np.int64), np.concatenate(edges) if edges else np.zeros(0, np.int32)
+        cols = np.array(rows, np.int64).reshape(-1, 10).T
+        self.lo, self.own, self.child, self.children, self.size, self.end, self.least, self.most, self.longest, self.last = cols
+        self.start = np.cumsum(self.size) - self.size
+
+
+def spread(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The integers of the ranges [start, start + count), one range after the other."""
+    return np.repeat(start - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+
+
+def partners(sets: list[np.ndarray], sizes: list[int], left: int, num: int, den: int, same: bool) -> Iterator[tuple[int, np.ndarray]]:
+    """(x, ys): all sets ys that link with x, between sets[:left] and sets[left:], or, if same, among sets[:left], each
+    pair once. Sets are arrays of global ranks, rising. The tree holds the sets of the first side; a walk takes the
+    nodes of one level together."""
     tree = Tree(sets[:left], sizes[:left])
-    if tree.root is None:
-        return []
-    top = 1 + max((int(s[-1]) for s in sets if len(s)), default=0)
-    mark, out = np.zeros(top + 1, bool), []
-    nodes: dict[tuple[int, int], list] = {tree.root[5]: tree.root}
+    if not len(tree.order):
+        return
+    size = np.array(sizes, np.int64)
+    mark = np.zeros(2 + max((int(s[-1]) for s in sets if len(s)), default=0), bool)
     for x in range(left) if same else range(left, len(sets)):
-        own, n = sets[x], sizes[x]
+        own, n, out = sets[x], sizes[x], []
         mark[own] = True
-        walk = [(tree.root, 0, 0)]
-        while walk:
-            node, depth, have = walk.pop()
-            edge, parts, members, (least, most, longest), end, (lo, hi) = node
+        node, have = np.zeros(1, np.int64), np.zeros(1, np.int64)
+        while len(node):
             # Sizes that can link with n at all; then the overlap that is still possible below.
-            if too_small(most, n, num, den) or too_small(n, least, num, den):
-                continue
-            have += int(mark[edge].sum())
-            last = int(edge[-1]) if len(edge) else -1
-            rest = min(longest - end, len(own) - int(np.searchsorted(own, last, "right")) if last >= 0 else len(own))
-            need = -(-num * (n + max(least, -(-num * n // den))) // (num + den))
-            if have + rest < need:
-                continue
-            mine = find(x)
-            if hi - lo > 1 and all(find(y) == mine for y in tree.order[lo:hi]):
-                continue
-            for y in members:
-                if y != x and find(y) != mine and den * have >= num * (n + sizes[y] - have):
-                    out.append((x, y))
-                    up[find(y)] = mine
-                    mine = find(x)
-            for a, b in parts:
-                key = (a, b)
-                child = nodes.get(key)
-                if child is None or child[4] <= end:
-                    child = nodes[key] = tree.node(a, b, end)
-                walk.append((child, end, have))
+            fit = ~(too_small(tree.most[node], n, num, den) | too_small(n, tree.least[node], num, den))
+            node, have = node[fit], have[fit]
+            hit = np.append(0, np.cumsum(mark[tree.edges[spread(tree.start[node], tree.size[node])]]))
+            stop = np.cumsum(tree.size[node])
+            have = have + hit[stop] - hit[stop - tree.size[node]]
+            rest = np.minimum(tree.longest[node] - tree.end[node], len(own) - np.searchsorted(own, tree.last[node], "right"))
+            need = -(-num * (n + np.maximum(tree.least[node], -(-num * n // den))) // (num + den))
+            fit = have + rest >= need
+            node, have = node[fit], have[fit]
+            y = tree.order[spread(tree.lo[node], tree.own[node])]
+            both = np.repeat(have, tree.own[node])
+            y = y[den * both >= num * (n + size[y] - both)]
+            out.append(y[y < x] if same else y)
+            have = np.repeat(have, tree.children[node])
+            node = spread(tree.child[node], tree.children[node])
         mark[own] = False
-    return out
+        ys = np.concatenate(out)
+        if len(ys):
+            yield x, ys
+
+
+def links_within(sets: list[np.ndarray], sizes: list[int], left: int, num: int, den: int, same: bool) -> list[tuple[int, int]]:
+    """Every link of partners() as a pair."""
+    return [(x, y) for x, ys in partners(sets, sizes, left, num, den, same) for y in ys.tolist()]
 
 
 def too_small(a: int, b: int, num: int, den: int) -> bool:
@@ -226,32 +225,62 @@ def too_small(a: int, b: int, num: int, den: int) -> bool:
     return den * a < num * b
 
 
+def job_sets(table: pa.Table) -> tuple[pa.Table, list[np.ndarray], list[int], int, bool]:
+    """The job's rows, their sets as ranks, sizes, how many are of the first side, and whether it is joined with itself."""
+    table = table.sort_by([("side", "ascending"), ("doc_id", "ascending")])
+    raw = [np.frombuffer(x.as_py(), np.uint64) for x in table.column("grams")]
+    left = int(np.sum(table.column("side").to_numpy() == 0))
+    # Ranks in this job's own order, frequent first: sets of one group then share long beginnings.
+    values, code, count = np.unique(np.concatenate(raw), return_inverse=True, return_counts=True)
+    rank = np.empty(len(values), np.int32)
+    rank[np.lexsort((values, -count))] = np.arange(len(values), dtype=np.int32)
+    code = rank[code]
+    cuts = np.cumsum([len(x) for x in raw])[:-1]
+    return table, [np.sort(x) for x in np.split(code, cuts)], table.column("n").to_pylist(), left, bool(table.column("same")[0].as_py())
+
+
 def tree_join(tiles: DataFrame, num: int, den: int) -> DataFrame:
-    """tiles: (job, same, side, doc_id, n, grams). Links (a, b) of each job."""
+    """tiles: (job, same, side, doc_id, n, members, grams). Of each job, rows (a, b, null) that connect what its links
+    connect, and (a, null, w): members w of all classes that link with a. Rows grow with the sets, not with the links."""
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("side", "ascending"), ("doc_id", "ascending")])
-        raw = [np.frombuffer(x.as_py(), np.uint64) for x in table.column("grams")]
-        ids, sizes = table.column("doc_id").to_pylist(), table.column("n").to_pylist()
-        left = int(np.sum(table.column("side").to_numpy() == 0))
-        # Ranks in this job's own order, frequent first: sets of one group then share long beginnings.
-        values, code, count = np.unique(np.concatenate(raw), return_inverse=True, return_counts=True)
-        rank = np.empty(len(values), np.int32)
-        rank[np.lexsort((values, -count))] = np.arange(len(values), dtype=np.int32)
-        code = rank[code]
-        cuts = np.cumsum([len(x) for x in raw])[:-1]
-        sets = [np.sort(x) for x in np.split(code, cuts)]
-        found = links_within(sets, sizes, left, num, den, bool(table.column("same")[0].as_py()))
-        return pa.table({"a": pa.array([ids[x] for x, _ in found], pa.int64()), "b": pa.array([ids[y] for _, y in found], pa.int64())})
+        table, sets, sizes, left, same = job_sets(table)
+        ids, members = table.column("doc_id").to_numpy(), table.column("members").to_numpy()
+        total, label = np.zeros(len(ids), np.int64), np.arange(len(ids))
+        edges: list[tuple[int, int]] = []
+        for x, ys in partners(sets, sizes, left, num, den, same):
+            total[x] += members[ys].sum()
+            total[ys] += members[x]
+            new, at = np.unique(label[ys], return_index=True)
+            at = at[new != label[x]]
+            if len(at):
+                edges += [(x, y) for y in ys[at].tolist()]
+                label[np.isin(label, label[ys[at]])] = label[x]
+        linked = np.flatnonzero(total)
+        a, b = np.array(edges, np.int64).reshape(-1, 2).T
+        none = pa.nulls(len(linked), pa.int64())
+        return pa.table({"a": np.concatenate([ids[a], ids[linked]]), "b": pa.chunked_array([pa.array(ids[b], pa.int64()), none]), "w": pa.chunked_array([pa.nulls(len(a), pa.int64()), pa.array(total[linked])])})
+
+    return tiles.groupBy("job").applyInArrow(run, "a long, b long, w long")
+
+
+def tree_pairs(tiles: DataFrame, num: int, den: int) -> DataFrame:
+    """Every link (a, b) of each job, sent on in batches."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, sets, sizes, left, same = job_sets(pa.Table.from_batches(batches))
+        ids = table.column("doc_id").to_numpy()
+        for x, ys in partners(sets, sizes, left, num, den, same):
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[x], ids[ys])), pa.array(np.maximum(ids[x], ids[ys]))], ["a", "b"])
 
     return tiles.groupBy("job").applyInArrow(run, "a long, b long")
 
 
-def jaccard_join(docs: DataFrame, num: int = NUM, den: int = DEN, k: int = K) -> DataFrame:
-    """doc_id, n_shingles, component_id per document."""
+def candidates(docs: DataFrame, num: int, den: int, k: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sets of all documents, classes (n, d1, d2, rep, members), and the tiles of the tree join."""
     own = docs.selectExpr("cast(doc_id as long) doc_id", "text")
     sets = keep(set_rows(own, k))
-    classes = sets.where("n > 0 and doc_id is not null").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep"))
+    classes = sets.where("n > 0 and doc_id is not null").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("members"))
     chars = own.agg(F.sum(F.length("text"))).first()[0] or 0
     shards = max(32, chars // SHARD_CHARS)
     # Copies are counted along (texts need no shuffle then); only classes' smallest members go on from here.
@@ -265,11 +294,27 @@ def jaccard_join(docs: DataFrame, num: int = NUM, den: int = DEN, k: int = K) ->
     # Tiles of a group: a hash deals its sets into as many as its shingles need.
     held = left.select("doc_id", "n", "grams").join(group.withColumnsRenamed({"node": "doc_id", "component": "g"}), "doc_id")
     weight = held.groupBy("g").agg(F.sum(F.length("grams") / 8).alias("w"))
-    held = held.join(weight, "g").withColumn("t", F.greatest(F.lit(1), F.ceil(F.col("w") / LIMIT)).cast("int")).drop("w")
+    held = held.join(classes.select(F.col("rep").alias("doc_id"), "members"), "doc_id").join(weight, "g").withColumn("t", F.greatest(F.lit(1), F.ceil(F.col("w") / LIMIT)).cast("int")).drop("w")
     held = held.withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("t")).cast("int"))
     held = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("t") - 1)))
-    held = held.select(F.struct("g", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).alias("job"), (F.col("own") == F.col("other")).alias("same"), F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "doc_id", "n", "grams")
-    links = tree_join(held, num, den)
-    label = components(links)
-    whole = classes.join(label.withColumnRenamed("node", "rep"), "rep", "left").select("n", "d1", "d2", F.coalesce("component", "rep").alias("component_id"))
-    return sets.join(whole, ["n", "d1", "d2"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    held = held.select(F.struct("g", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).alias("job"), (F.col("own") == F.col("other")).alias("same"), F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "doc_id", "n", "members", "grams")
+    return sets, classes, held
+
+
+def class_links(docs: DataFrame, num: int = NUM, den: int = DEN, k: int = K) -> tuple[DataFrame, DataFrame]:
+    """(a, b), a < b: every link between classes, each named by its smallest doc_id; and the membership (doc_id, rep)
+    of documents that have shingles. Documents of one class link with each other besides."""
+    sets, classes, tiles = candidates(docs, num, den, k)
+    return tree_pairs(tiles, num, den), sets.where("doc_id is not null").join(classes, ["n", "d1", "d2"]).select("doc_id", "rep")
+
+
+def jaccard_join(docs: DataFrame, num: int = NUM, den: int = DEN, k: int = K) -> DataFrame:
+    """doc_id, n_shingles, component_id, n_links per document."""
+    sets, classes, tiles = candidates(docs, num, den, k)
+    found = keep(tree_join(tiles, num, den))
+    label = components(found.where("b is not null").select("a", "b"))
+    other = found.where("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("w").alias("w"))
+    whole = classes.join(label.withColumnRenamed("node", "rep"), "rep", "left").join(other, "rep", "left")
+    whole = whole.select("n", "d1", "d2", F.coalesce("component", "rep").alias("component_id"), (F.coalesce("w", F.lit(0)) + F.col("members") - 1).alias("n_links"))
+    n_links = F.when(F.col("doc_id").isNotNull(), F.coalesce("n_links", F.lit(0)))
+    return sets.join(whole, ["n", "d1", "d2"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), n_links.alias("n_links"))

@@ -88,6 +88,39 @@ def test_jaccard_join(spark, corpus, monkeypatch, limit):
     assert jaccard_join.jaccard_join(documents(spark, corpus).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("limit", [jaccard_join.LIMIT, 900])
+def test_jaccard_links(spark, corpus, monkeypatch, limit):
+    """Every link counts: mutually similar texts, copies of them, and links inside one component."""
+    monkeypatch.setattr(jaccard_join, "LIMIT", limit)
+    rng = random.Random(8)
+    base, near = prose(rng, 200).split(" "), []
+    for _ in range(12):
+        w = list(base)
+        w[rng.randrange(200)] = f"new{rng.random()}"
+        near.append(" ".join(w))
+    texts = [*corpus, *near, near[3], near[3], near[7]]
+    sets, want, pairs = list(sets_brute(texts)), [0] * len(texts), set()
+    first = {}
+    for i, s in enumerate(sets):
+        first.setdefault(frozenset(s), i)
+        for j in range(i):
+            both = len(s & sets[j])
+            if both and 100 * both >= 75 * (len(s) + len(sets[j]) - both):
+                want[i] += 1
+                want[j] += 1
+                if s != sets[j]:
+                    pairs.add(tuple(sorted((first[frozenset(s)], first[frozenset(sets[j])]))))
+    docs = documents(spark, texts)
+    got = {r.doc_id: r.n_links for r in jaccard_join.jaccard_join(docs).collect()}
+    assert [got[i] for i in range(len(texts))] == want and want[len(corpus)] == 14
+    links, members = jaccard_join.class_links(docs)
+    rows = [tuple(r) for r in links.collect()]
+    assert len(rows) == len({*rows}) and {*rows} == pairs
+    assert {tuple(r) for r in members.collect()} == {(i, first[frozenset(s)]) for i, s in enumerate(sets) if s}
+    alone = docs.where("doc_id = 7").union(docs.where("doc_id = 7").selectExpr("cast(null as long)", "text", "n", "a", "spans", "row"))
+    assert {(r.doc_id, r.n_links) for r in jaccard_join.jaccard_join(alone).collect()} == {(7, 0), (None, None)}
+
+
 def test_tree_against_pairs():
     rng = random.Random(3)
     for _ in range(40):
