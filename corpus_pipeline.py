@@ -26,8 +26,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of line runs leave the texts; n_chars follows. Documents that lose every line go."""
-    kept = line_dedup.line_dedup(docs).select("doc_id", "n_kept", "text_kept")
+    """Later copies of line runs and of lines of over 50 words leave the texts; n_chars follows. Documents that lose
+    every line go."""
+    kept = line_dedup.line_dedup(docs, long_words=line_dedup.LONG_WORDS).select("doc_id", "n_kept", "text_kept")
     out = docs.drop("text", "n_chars").join(kept.where("n_kept > 0"), "doc_id")
     return out.withColumn("text", F.col("text_kept")).withColumn("n_chars", F.length("text_kept").cast("long")).select(*docs.columns)
 

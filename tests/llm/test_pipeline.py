@@ -25,3 +25,13 @@ def test_stages(spark, tmp_path):
             assert {r.doc_id for r in docs.collect()} == {ids[g] for _, g in groups}
     assert counts[1] >= 0.97 * counts[0] and counts[1] > counts[2] >= counts[3] > counts[4] == counts[5]
     assert corpus_pipeline.run(spark, SF).count() == counts[5]
+
+
+def test_long_single_lines(spark):
+    """A repeated line of over 50 words goes between any neighbours, also as a whole document; shorter ones stay."""
+    long, short = " ".join(f"w{i}" for i in range(51)), " ".join(f"w{i}" for i in range(50))
+    texts = [f"a\n{long}\nb", f"c\n{long}\nd", long, f"e\n{short}\nf", f"g\n{short}\nh", f"b\n{long}\nb\n{long}", f"x\nc\n{long}\ny", ""]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.lines(spark, docs, SF).collect()}
+    want = {0: texts[0], 1: "c\nd", 3: texts[3], 4: texts[4], 5: "b", 6: "x\ny", 7: ""}
+    assert got == {i: (t, len(t)) for i, t in want.items()}
