@@ -27,10 +27,12 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of line runs and of lines of over 50 words leave the texts; n_chars follows. Documents that lose
-    every line go."""
-    kept = line_dedup.line_dedup(docs, long_words=line_dedup.LONG_WORDS).select("doc_id", "n_kept", "text_kept")
-    out = docs.drop("text", "n_chars").join(kept.where("n_kept > 0"), "doc_id")
-    return out.withColumn("text", F.col("text_kept")).withColumn("n_chars", F.length("text_kept").cast("long")).select(*docs.columns)
+    every line go, and those of null text. Each other row gives one row with its own columns: rows of a null doc_id with
+    their text as it is, repeated rows alike, different texts of one doc_id each by themselves."""
+    rest = [c for c in docs.columns if c not in ("text", "n_chars")]
+    kept = line_dedup.line_dedup(docs, long_words=line_dedup.LONG_WORDS, carry=rest).where("n_kept > 0")
+    out = kept.select("carried.*", F.col("text_kept").alias("text"), F.length("text_kept").cast("long").alias("n_chars"))
+    return out.select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

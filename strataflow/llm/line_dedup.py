@@ -9,8 +9,10 @@ their first places are aggregated with a combine before the shuffle.
 
 Names are pairs of 64-bit hashes. Lines are split at line feeds; a run may overlap itself. Null texts stay null,
 empty ones empty; documents under min_lines lines stay as they are. With long_words, a repeated line of at least so many
-words is a run by itself, also where it is a whole document; op7 goes by its SQL, without it. doc_id identifies a document; rows with a null
-doc_id are kept unread. If all lines go, text_kept is empty and n_kept is 0. Other columns are left out.
+words is a run by itself, also where it is a whole document; op7 goes by its SQL, without it. A document is a doc_id with
+a text: rows that repeat both are one document and each get its result, other texts of one doc_id are documents of
+their own, in the order of their hashes. Rows with a null doc_id are kept unread. Each row gives one row. If all lines
+go, text_kept is empty and n_kept is 0. Other columns are left out, but those named in carry, as one struct.
 """
 
 from __future__ import annotations
@@ -34,33 +36,33 @@ def doubled(depth: int) -> list[str]:
 
 
 def names(docs: DataFrame, depth: int) -> DataFrame:
-    """(doc_id, pos, x, y): the name of the depth lines at each position."""
+    """(doc_id, t, pos, x, y): the name of the depth lines at each position."""
     h = "transform(split(text, '\\n', -1), l -> named_struct('x', xxhash64(l), 'y', xxhash64(l, length(l), 7)))"
     for step in doubled(depth):  # the ids are bound to a lambda's variable: else each use would make them anew
         h = f"transform(array(named_struct('h', {h})), z -> {step})[0]"
-    ids = docs.where("text is not null and doc_id is not null").selectExpr("doc_id", f"{h} h")
-    return ids.select("doc_id", F.posexplode("h").alias("pos", "n")).selectExpr("doc_id", "pos", "n.x x", "n.y y")
+    ids = docs.where("text is not null and doc_id is not null").selectExpr("doc_id", "t", f"{h} h")
+    return ids.select("doc_id", "t", F.posexplode("h").alias("pos", "n")).selectExpr("doc_id", "t", "pos", "n.x x", "n.y y")
 
 
 def long_lines(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, pos, x, y): the names of the lines of at least so many words."""
-    lines = docs.where(f"doc_id is not null and length(text) >= {2 * words - 1}").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "l"))
+    """(doc_id, t, pos, x, y): the names of the lines of at least so many words."""
+    lines = docs.where(f"doc_id is not null and length(text) >= {2 * words - 1}").select("doc_id", "t", F.posexplode(F.split("text", "\n", -1)).alias("pos", "l"))
     long = lines.where(f"length(l) >= {2 * words - 1}").where(f"size(filter(split(l, '\\\\s+'), w -> w != '')) >= {words}")
-    return long.selectExpr("doc_id", "pos", "xxhash64(l) x", "xxhash64(l, length(l), 7) y")
+    return long.selectExpr("doc_id", "t", "pos", "xxhash64(l) x", "xxhash64(l, length(l), 7) y")
 
 
 def later_copies(docs: DataFrame, min_lines: int = MIN_LINES, long_words: int | None = None) -> DataFrame:
-    """(doc_id, gone): sorted starts of the windows that are later copies; with long_words, the places of all their
+    """(doc_id, t, gone): sorted starts of the windows that are later copies; with long_words, the places of all their
     lines."""
     at = names(docs, min_lines).withColumn("size", F.lit(min_lines))
     if long_words:
         at = at.union(long_lines(docs, long_words).withColumn("size", F.lit(1)))
-    intervals = at.groupBy("x", "y").agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    later = at.join(intervals.select("x", "y", "first"), ["x", "y"]).where("struct(doc_id, pos) > first")
+    intervals = at.groupBy("x", "y").agg(F.min(F.struct("doc_id", "t", "pos")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    later = at.join(intervals.select("x", "y", "first"), ["x", "y"]).where("struct(doc_id, t, pos) > first")
     if not long_words:
-        return later.groupBy("doc_id").agg(F.sort_array(F.collect_list("pos")).alias("gone"))
+        return later.groupBy("doc_id", "t").agg(F.sort_array(F.collect_set("pos")).alias("gone"))
     lines = F.flatten(F.collect_list(F.expr("sequence(pos, pos + size - 1)")))
-    return later.groupBy("doc_id").agg(F.sort_array(F.array_distinct(lines)).alias("gone"))
+    return later.groupBy("doc_id", "t").agg(F.sort_array(F.array_distinct(lines)).alias("gone"))
 
 
 def kept_lines(text: str, gone: str, min_lines: int) -> Column:
@@ -72,12 +74,13 @@ def kept_lines(text: str, gone: str, min_lines: int) -> Column:
     return F.expr(f"transform(array(named_struct('l', split({text}, '\\n', -1), 'g', coalesce({gone}, array()))), z -> {pieces})[0]")
 
 
-def line_dedup(docs: DataFrame, min_lines: int = MIN_LINES, long_words: int | None = None) -> DataFrame:
-    """doc_id, n_lines, n_kept, text_kept per document."""
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+def line_dedup(docs: DataFrame, min_lines: int = MIN_LINES, long_words: int | None = None, carry: list[str] | None = None) -> DataFrame:
+    """doc_id, n_lines, n_kept, text_kept per row, and carried, if carry names columns."""
+    rest = [F.struct(*carry).alias("carried")] if carry else []
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("t"), *rest)
     lines = F.split("text", "\n", -1)
-    out = own.join(later_copies(own, min_lines, long_words), "doc_id", "left").withColumn("kept", kept_lines("text", "gone", 1 if long_words else min_lines))
-    return out.select("doc_id", F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"), F.when(F.col("text").isNull(), 0).otherwise(F.size("kept")).cast("long").alias("n_kept"), F.array_join("kept", "\n").alias("text_kept"))
+    out = own.join(later_copies(own.select("doc_id", "t", "text"), min_lines, long_words), ["doc_id", "t"], "left").withColumn("kept", kept_lines("text", "gone", 1 if long_words else min_lines))
+    return out.select("doc_id", F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"), F.when(F.col("text").isNull(), 0).otherwise(F.size("kept")).cast("long").alias("n_kept"), F.array_join("kept", "\n").alias("text_kept"), *(["carried"] if carry else []))
 
 
 ORACLE = f"""

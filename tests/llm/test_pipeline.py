@@ -35,3 +35,13 @@ def test_long_single_lines(spark):
     got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.lines(spark, docs, SF).collect()}
     want = {0: texts[0], 1: "c\nd", 3: texts[3], 4: texts[4], 5: "b", 6: "x\ny", 7: ""}
     assert got == {i: (t, len(t)) for i, t in want.items()}
+
+
+def test_lines_keep_rows(spark):
+    """Each row gives one row with its own columns: null and repeated doc_ids, nulls elsewhere."""
+    cols = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(None, "a\nb\nc", "en", "n1"), (None, "a\nb\nc", "de", "n2"), (1, "a\nb\nc", None, "r1"), (1, "a\nb\nc", "en", "r2"), (2, "a\nb\nz", "en", "s1"), (2, "q\nr\ns", "de", None), (3, None, "en", "gone"), (4, "a\nb", "en", "gone")]
+    docs = spark.createDataFrame([(*r, len(r[1] or "")) if r[1] else (*r, None) for r in rows], cols)
+    got = sorted(map(tuple, corpus_pipeline.lines(spark, docs, SF).collect()), key=str)
+    want = [(*r, 5) for r in rows[:4]] + [(2, "z", "en", "s1", 1), (2, "q\nr\ns", "de", None, 5)]
+    assert got == sorted(want, key=str)
