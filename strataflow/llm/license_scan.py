@@ -1,24 +1,28 @@
 """Operator 8: license notices by conditional compression.
 
-Blocks that start at a line with license vocabulary are compressed plainly and with each template as a raw-content
-zstandard dictionary. Templates are ranked by the bytes saved; the best ones are confirmed by their exact wording: the
-words of block and template are aligned and the template is reported if the share of its words that stand in order is
-MATCH at least, with the differences (words missing and words put in).
-
-The whole text is searched, line by line; a block is as long as the template it is held against, so long lines and
-long documents cost what their notices cost. Null and empty texts hold nothing. Repeated rows each give their rows;
-equal notices in one document are separate rows. Other columns are left out.
+The hints of a template are so many of its longest words that no wording of MATCH can lack them all. At each place of
+a hint, blocks start at every word where the template may then start, with up to SLACK words put in or the missing ones
+left out before it. Blocks that hold enough of the template's words are compressed plainly and with the template as a
+raw-content zstandard dictionary; those that save bytes are confirmed by their exact wording: the words of block and
+template are aligned and the template is reported if the share of its words that stand in order is MATCH at least, with
+the differences (words missing and words put in). Of notices that overlap, the one of most words stands.
+
+The whole text is searched, across line breaks and at any place of a line; line is the line of the notice's first word.
+Null and empty texts hold nothing. Repeated rows each give their rows; equal notices in one document are separate rows.
+Other columns are left out.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 #: Short wordings of public licenses. A parameter; callers pass longer texts the same way.
 TEMPLATES = {
@@ -33,13 +37,28 @@ TEMPLATES = {
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     "all-rights-reserved": "All rights reserved.",
 }
-MATCH, TRIED = 0.85, 3
-HINT = r"(?i)licen[sc]|rights reserved|redistribution|permission is hereby"
+MATCH, SLACK = 0.85, 2
 SCHEMA = "doc_id long, line int, template string, saved int, matched double, differences array<string>"
+WORD = re.compile(r"[\w.-]*\w")
 
 
 def words(text: str) -> list[str]:
-    return re.findall(r"[\w.-]*\w", text.lower())
+    return [w.lower() for w in WORD.findall(text)]
+
+
+def least(own: list[str]) -> int:
+    """Words of a template that must stand in order."""
+    return math.ceil(MATCH * len(own) - 1e-9)
+
+
+def hints(own: list[str]) -> list[int]:
+    """Places of the template's longest words, one more than may be missing."""
+    return sorted(range(len(own)), key=lambda i: (-len(own[i]), i))[: len(own) - least(own) + 1]
+
+
+def hint_pattern(templates: dict[str, str]) -> str:
+    """A text without this holds none of the templates."""
+    return "(?i)" + "|".join(sorted({re.escape(own[i]) for own in map(words, templates.values()) for i in hints(own)}))
 
 
 class Scanner:
@@ -47,63 +66,78 @@ class Scanner:
         import zstandard as z
 
         self.words = {k: words(t) for k, t in templates.items()}
+        self.bags = {k: Counter(w) for k, w in self.words.items()}
         self.plain = z.ZstdCompressor(level=3)
         self.given = {k: z.ZstdCompressor(level=3, dict_data=z.ZstdCompressionDict(t.encode(), dict_type=z.DICT_TYPE_RAWCONTENT)) for k, t in templates.items()}
-        self.hint = re.compile(HINT)
-
-    def block(self, text: str, start: int, size: int) -> str:
-        """About size words from start on."""
-        return " ".join(text[start : start + 14 * size + 40].split()[: size + 2])
-
-    def line(self, text: str, start: int) -> tuple[str, int, float, list[str]] | None:
-        """The template whose wording stands at text[start:]."""
-        ranked = []
-        for name, own in self.words.items():
-            block = self.block(text, start, len(own)).encode()
-            ranked.append((len(self.given[name].compress(block)) - len(self.plain.compress(block)), name))
-        best = None
-        for saved, name in sorted(ranked)[:TRIED]:
-            own, got = self.words[name], words(self.block(text, start, len(self.words[name])))
-            match = SequenceMatcher(None, own, got, autojunk=False)
-            share = sum(m.size for m in match.get_matching_blocks()) / len(own)
-            if share >= MATCH and saved < 0 and (best is None or (share * len(own), share) > best[0]):
-                diff = []
-                for op, i, j, k, m in match.get_opcodes():
-                    if op in ("delete", "replace"):
-                        diff += [f"-{w}" for w in own[i:j]]
-                    # What stands before the first word or behind the last one is not the notice's.
-                    if op == "replace" or op == "insert" and 0 < i < len(own):
-                        diff += [f"+{w}" for w in got[k : min(m, k + (j - i))] or got[k:m]]
-                best = ((share * len(own), share), name, -saved, share, diff)
-        return best[1:] if best else None
-
-    def scan(self, text: str) -> Iterator[tuple]:
-        seen = -1
-        for m in self.hint.finditer(text):
-            start = text.rfind("\n", 0, m.start()) + 1
-            if start == seen:
-                continue
-            seen = start
-            # A notice may stand inside a long line: then it is looked for from the sentence of the hint.
-            near = max((text.rfind(c, start, m.start()) + len(c) for c in (". ", "! ", "? ", "| ") if text.rfind(c, start, m.start()) >= 0), default=start)
-            hits = [h for h in (self.line(text, start), self.line(text, near) if near > start else None) if h]
-            hit = max(hits, key=lambda h: (h[2], -len(h[3])), default=None)
-            if near > start:
-                seen = -1
+        self.hints: dict[str, list[tuple[str, int]]] = defaultdict(list)
+        for k, own in self.words.items():
+            for i in hints(own):
+                self.hints[own[i]].append((k, i))
+
+    def starts(self, said: list[str]) -> set[tuple[str, int]]:
+        """(template, word): where a template may start, by the hints of the text."""
+        out = set()
+        for at, word in enumerate(said):
+            for name, i in self.hints.get(word, ()):
+                missing = len(self.words[name]) - least(self.words[name])
+                out.update((name, s) for s in range(max(0, at - i - SLACK), min(at, at - i + missing) + 1))
+        return out
+
+    def hit(self, name: str, got: list[str], block: str) -> tuple | None:
+        """(words in order, share, saved, differences, first and last aligned word) where block has the wording."""
+        own, bag = self.words[name], Counter(got)
+        if sum(min(n, bag[w]) for w, n in self.bags[name].items()) < least(own):
+            return None
+        raw = " ".join(block.split()).encode("utf-8", "surrogatepass")
+        saved = len(self.plain.compress(raw)) - len(self.given[name].compress(raw))
+        match = SequenceMatcher(None, own, got, autojunk=False)
+        runs = match.get_matching_blocks()[:-1]
+        count = sum(m.size for m in runs)
+        if saved <= 0 or count < least(own):
+            return None
+        diff = []
+        for op, i, j, k, m in match.get_opcodes():
+            if op in ("delete", "replace"):
+                diff += [f"-{w}" for w in own[i:j]]
+            # What stands before the first word or behind the last one is not the notice's.
+            if op == "replace" and i == 0:
+                diff += [f"+{w}" for w in got[max(k, m - j) : m]]
+            elif op == "replace" or op == "insert" and 0 < i < len(own):
+                diff += [f"+{w}" for w in got[k : min(m, k + (j - i))] or got[k:m]]
+        return count, count / len(own), saved, diff, runs[0].b, runs[-1].b + runs[-1].size
+
+    def scan(self, text: str) -> Iterator[tuple[int, str, int, float, list[str]]]:
+        spans = [m.span() for m in WORD.finditer(text)]
+        said = [text[i:j].lower() for i, j in spans]
+        found = []
+        for name, s in self.starts(said):
+            e = min(len(said), s + len(self.words[name]) + SLACK)
+            hit = self.hit(name, said[s:e], text[spans[s][0] : spans[e - 1][1]])
             if hit:
-                yield (text.count("\n", 0, start), *hit)
+                count, share, saved, diff, first, last = hit
+                found.append((-count, -share, len(diff), -saved, s + first, s + last, name, diff))
+        taken, out = set(), []
+        for _, share, _, saved, first, last, name, diff in sorted(found):
+            if taken.isdisjoint(range(first, last)):
+                taken.update(range(first, last))
+                out.append((spans[first][0], name, -saved, -share, diff))
+        for at, *rest in sorted(out):
+            yield (text.count("\n", 0, at), *rest)
 
 
 def licenses(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
     """doc_id, line, template, saved, matched, differences per notice."""
     use = templates or TEMPLATES
+    hint = hint_pattern(use)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(use)
         for batch in batches:
-            rows = [(doc.as_py(), *hit) for doc, text in zip(batch.column(0), batch.column(1), strict=True) for hit in dict.fromkeys((h[0], h[1], h[2], h[3], tuple(h[4])) for h in scanner.scan(text.as_py()))]
+            # Arrow's search takes all hints in one pass over the bytes.
+            batch = batch.filter(pc.match_substring_regex(batch.column(1), hint))
+            rows = [(doc.as_py(), *hit) for doc, text in zip(batch.column(0), batch.column(1), strict=True) for hit in scanner.scan(text.as_py())]
             if rows:
                 d, line, name, saved, share, diff = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(line, pa.int32()), pa.array(name), pa.array(saved, pa.int32()), pa.array(share, pa.float64()), pa.array([list(x) for x in diff], pa.list_(pa.string()))], ["doc_id", "line", "template", "saved", "matched", "differences"])
+                yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(line, pa.int32()), pa.array(name), pa.array(saved, pa.int32()), pa.array(share, pa.float64()), pa.array(diff, pa.list_(pa.string()))], ["doc_id", "line", "template", "saved", "matched", "differences"])
 
-    return docs.selectExpr("cast(doc_id as long) doc_id", "text").where(F.col("text").rlike(HINT)).mapInArrow(run, SCHEMA)
+    return docs.selectExpr("cast(doc_id as long) doc_id", "text").where("text is not null").mapInArrow(run, SCHEMA)

@@ -268,6 +268,18 @@ def test_license_scan(spark):
     assert got[5, "GPL-3.0"].differences == ["-3", "+2"]
 
 
+def test_license_places(spark):
+    """Notices at any place of a line, across lines, several in one line, and templates with words of their own."""
+    mit, mozilla = license_scan.TEMPLATES["MIT"], license_scan.TEMPLATES["MPL-2.0"]
+    texts = [f"{mit} Some words of the text here. All rights reserved.", f"The license is below and then. {mozilla} More of it, {mit} And so on", "This project is released under the MIT License today, all rights reserved", f"# This Source Code Form is subject to the terms\n# of the Mozilla Public License, v. 2.0.\n{mit}\n{mit}", "Free use under terms of Zorbaware, edition one"]
+    got = defaultdict(list)
+    for r in license_scan.licenses(documents(spark, texts)).collect():
+        got[r.doc_id].append((r.line, r.template, r.matched))
+    assert {d: sorted(v) for d, v in got.items()} == {0: [(0, "MIT", 1), (0, "all-rights-reserved", 1)], 1: [(0, "MIT", 1), (0, "MPL-2.0", 1)], 2: [(0, "MIT", 1), (0, "all-rights-reserved", 1)], 3: [(0, "MPL-2.0", 1), (2, "MIT", 1), (3, "MIT", 1)]}
+    own = license_scan.licenses(documents(spark, texts), {"zorba": "Free use under terms of Zorbaware, edition one"}).collect()
+    assert [(r.doc_id, r.template) for r in own] == [(4, "zorba")]
+
+
 def test_preference_pairs(spark):
     rows = [(0, 0, "user", "hi"), (0, 1, "assistant", "yes"), (1, 0, "user", "hi"), (1, 1, "assistant", "no"), (1, 2, "user", None), (2, 0, "user", "q"), (3, 0, "user", "q"), (4, 0, "user", "alone"), (None, 0, "user", "x"), (1, 1, "assistant", "no"), (6, None, None, None), (7, 0, "assistant", "z")]
     got = {r.pair_id: r for r in chat_pairs.preference_pairs(spark.createDataFrame([(*r, 1) for r in rows], "conv_id long, turn long, role string, text string, pair_id int")).collect()}
