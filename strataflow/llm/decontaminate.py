@@ -1,9 +1,9 @@
 """Operator 10: benchmark passages in documents, by SimHash of item-sized windows.
 
 For an item of m words, the windows of a document are all runs of m words (the whole document, if shorter). Windows
-worth a fingerprint are those that an item's shingle can align: a window of similarity above 0 shares a shingle with
-the item, so the others are left out exactly, and window starts next to the alignment (SLACK words either way) are
-taken too. A 64-bit SimHash of the window's shingle counts is looked up in RADIUS + 1 tables of bit blocks: two
+worth a fingerprint are those that hold as many of the item's shingles as the least similarity needs, in any order; a
+window with fewer cannot reach it, so the others are left out exactly.
+A 64-bit SimHash of the window's shingle counts is looked up in RADIUS + 1 tables of bit blocks: two
 fingerprints within RADIUS bits agree in at least one block, so no fingerprint within the radius is missed. What is
 found is verified by exact weighted similarity: sum of least counts over sum of greatest counts of k-word shingles.
 RADIUS lies over four standard deviations above the mean distance at the least similarity.
@@ -16,7 +16,8 @@ Repeated rows each give their rows. Other columns are left out.
 
 from __future__ import annotations
 
-from collections import Counter
+import math
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import reduce
 
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from strataflow.llm.textops import Words, mix, slices
 
-K, LEAST, RADIUS, SLACK, BLOCK = 5, 0.75, 24, 3, 10_000
+K, LEAST, RADIUS, BLOCK = 5, 0.75, 24, 10_000
 SCHEMA = "doc_id long, item_id long, start_word int, similarity double"
 
 
@@ -76,12 +77,18 @@ class Items:
 def scan_document(grams: np.ndarray, n: int, hits: np.ndarray, items: Items, radius: int, least: float, k: int) -> Iterator[tuple[int, int, float]]:
     """(item, start, similarity) of the best window of each item found in one document. grams: of all starts."""
     starts: set[tuple[int, int]] = set()
+    places: dict[int, list[int]] = defaultdict(list)
     for p in hits.tolist():
         lo, hi = np.searchsorted(items.gram, grams[p], "left"), np.searchsorted(items.gram, grams[p], "right")
-        for q in range(int(lo), int(hi)):
-            size = items.length[items.owner[q]]
-            for s in range(p - int(items.place[q]) - SLACK, p - int(items.place[q]) + SLACK + 1):
-                starts.add((min(size, n), min(max(s, 0), max(0, n - size))) if n >= k else (n, 0))
+        for q in set(items.owner[lo:hi].tolist()):
+            places[q].append(p)
+    for q, at in places.items():
+        size = min(items.length[q], n)
+        held, own = max(1, size - k + 1), max(1, items.length[q] - k + 1)
+        # Shared shingles that the least similarity needs; windows with so many span need places in a row.
+        need = max(1, math.ceil(least * (held + own) / (1 + least) - 1e-9))
+        for first, last in zip(at, at[need - 1 :], strict=False):
+            starts.update((size, s) for s in range(max(0, last - held + 1), min(first, n - size) + 1))
     best: dict[int, tuple[float, int]] = {}
     lengths = sorted(set(items.length))
     for size, s in sorted(starts):

@@ -190,6 +190,25 @@ def test_decontamination(spark):
     assert decontaminate.leaks(documents(spark, texts), bench.limit(0)).count() == 0
 
 
+def test_decontamination_reordered(spark):
+    """An item whose parts are swapped, against all windows."""
+    rng = random.Random(10)
+    items = [prose(rng, n, 3000) for n in (59, 80, 45)]
+    swapped = [" ".join(w[len(w) // 2 :] + w[: len(w) // 2]) for w in (i.split(" ") for i in items)]
+    texts = [*(prose(rng, 30, 3000) + " " + s + " " + prose(rng, 40, 3000) for s in swapped), swapped[0], prose(rng, 100, 3000)]
+    got = {(r.doc_id, r.item_id): (r.start_word, r.similarity) for r in decontaminate.leaks(documents(spark, texts), spark.createDataFrame([*enumerate(items)], "item_id long, text string")).collect()}
+    want = {}
+    for d, t in enumerate(texts):
+        w = t.split(" ")
+        for q, own in enumerate(i.split(" ") for i in items):
+            for s in range(max(1, len(w) - len(own) + 1)):
+                a, b = (Counter(tuple(x[i : i + 5]) for i in range(len(x) - 4)) for x in (w[s : s + len(own)], own))
+                sim = sum((a & b).values()) / sum((a | b).values())
+                if sim >= 0.75 and sim > want.get((d, q), (0, 0))[1]:
+                    want[d, q] = (s, sim)
+    assert got.keys() == want.keys() >= {(0, 0), (1, 1), (3, 0)} and all(got[k][0] == want[k][0] and math.isclose(got[k][1], want[k][1]) for k in got)
+
+
 def test_bpe(spark):
     from tokenizers import Tokenizer
 
