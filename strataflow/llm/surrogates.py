@@ -25,6 +25,9 @@ KEY = "strataflow"
 HONORIFIC_F = r"Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|госпожа"
 HONORIFIC_M = r"Mr|Herr|Monsieur|Señor|Sr|господин"
 ASSIGN = r"(?i:password|passwd|pwd|token|secret|api[_-]?key)[^\w\n=:]{0,4}[=:][^\w\n]{0,5}"
+#: All honorifics but those that hold a shorter one.
+TITLES = f"{HONORIFIC_F}|{HONORIFIC_M}|Dr|Prof".split("|")
+TITLES = [t for t in TITLES if not any(o != t and o in t for o in TITLES)]
 #: One pattern for all; each part starts where a word starts, so no start is tried twice.
 PATTERN = "|".join(
     [
@@ -44,7 +47,7 @@ PATTERN = "|".join(
 )
 #: A text without any of these cannot hold an entity; plain searches are much cheaper than the pattern.
 MARKS = r"[@0-9=:]"
-HINTS = ["sk-", "sk_", "ghp", "gho", "xox", "AKIA", "господ", "Dr", "Prof", "Mr", "Ms", "Miss", "Mme", "Madame", "Monsieur", "Herr", "Frau", "Señor", "Sr"]
+HINTS = ["sk-", "sk_", "ghp", "gho", "xox", "AKIA", *TITLES]
 NAMES = {  # fixed values
     "f": ["Alice", "Clara", "Emma", "Hannah", "Ines", "Julia", "Laura", "Marie", "Nora", "Sofia"],
     "m": ["Adam", "Bruno", "David", "Felix", "Hugo", "Jonas", "Leon", "Martin", "Oscar", "Paul"],

@@ -270,6 +270,13 @@ def test_surrogates(spark):
     assert female in surrogates.NAMES["f"] and re.search(r"господин [А-Я][а-я]+$", got[7].text_safe)
 
 
+def test_surrogates_every_honorific(spark):
+    """A text with nothing but an honorific and a name reaches the pattern."""
+    texts = [f"hier {t} Иванова da" for t in f"{surrogates.HONORIFIC_F}|{surrogates.HONORIFIC_M}|Dr|Prof".split("|")]
+    got = surrogates.replace_entities(documents(spark, texts)).collect()
+    assert len(got) == len(texts) and all(r.n_entities == 1 and "Иванова" not in r.text_safe for r in got)
+
+
 def test_surrogates_stay_distinct(spark):
     """More names than plain surnames: clashes are drawn again until all differ, in every text alike."""
     texts = [f"Mr {a}{b}{c}" for a in ("Aa", "Bb", "Cc", "Dd", "Ee", "Ff", "Gg") for b in "klmnop" for c in "stuvwx"]
