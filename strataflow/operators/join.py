@@ -15,11 +15,20 @@ def sized(dim: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(dim) if dim.limit(limit + 1).count() <= limit else dim
 
 
+def tagged(facts: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+    """facts with the dimension's columns and `matched`: one left join. dim has one row per key. Null keys don't match."""
+    return facts.join(sized(dim.withColumn("matched", F.lit(True))), key, "left").withColumn("matched", F.col("matched").isNotNull())
+
+
 def attach(facts: DataFrame, dim: DataFrame, key: str, reason: str = "no_tissue_match") -> tuple[DataFrame, DataFrame]:
-    """(matched with the dimension's columns, unmatched with a reason). dim has one row per key. Null keys are
-    unmatched."""
-    dim = sized(dim)
-    return facts.join(dim, key, "inner"), facts.join(dim.select(key), key, "left_anti").withColumn("reason", F.lit(reason))
+    """(matched with the dimension's columns, unmatched with a reason), two views of one tagged join. A caller that
+    needs both writes tagged() once and gives that to split()."""
+    return split(tagged(facts, dim, key), facts.columns, reason)
+
+
+def split(both: DataFrame, columns: list[str], reason: str = "no_tissue_match") -> tuple[DataFrame, DataFrame]:
+    """The two sides of tagged(); the unmatched one has `columns` and the reason."""
+    return both.where("matched").drop("matched"), both.where("not matched").select(*columns, F.lit(reason).alias("reason"))
 
 
 def lookup(facts: DataFrame, dim: DataFrame, key: str, value: str, fallback: str) -> DataFrame:

@@ -26,8 +26,9 @@ def gold(features: DataFrame, keys: list[str], group: str) -> DataFrame:
     return features.agg(F.count(F.lit(1)).alias("row_count"), *(F.count_if(F.col(k).isNull()).alias(f"nulls_{k}") for k in keys), F.count_distinct(group).alias("group_count"), F.min("sample_count").alias("min_sample_count"), F.avg("zero_fraction").alias("mean_zero_fraction"))
 
 
-def closure(silver_rows: DataFrame, quarantine: DataFrame, source_rows: DataFrame, columns: int) -> DataFrame:
-    """Whether matched and quarantined rows make up rows times columns."""
-    count = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
-    one = count(silver_rows, "silver_count").join(count(quarantine, "quarantine_count")).join(count(source_rows, "source_count"))
+def closure(both: DataFrame, source: DataFrame, columns: int) -> DataFrame:
+    """Whether the matched and unmatched rows of a tagged join make up the source's rows times columns; each side is
+    counted once."""
+    kinds = both.select("matched").unionAll(source.select(F.lit(None).cast("boolean").alias("matched")))
+    one = kinds.agg(F.count_if("matched").alias("silver_count"), F.count_if(~F.col("matched")).alias("quarantine_count"), F.count_if(F.col("matched").isNull()).alias("source_count"))
     return one.withColumn("expected_total", F.col("source_count") * columns).withColumn("closes", F.col("silver_count") + F.col("quarantine_count") == F.col("expected_total"))

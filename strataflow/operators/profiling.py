@@ -59,3 +59,10 @@ def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
 def dimensions(df: DataFrame, ids: list[str]) -> DataFrame:
     """Rows, columns and shape: wide from over 100 columns."""
     return df.agg(F.count(F.lit(1)).alias("n_rows")).select("n_rows", F.lit(len(df.columns)).alias("n_columns"), F.lit(len(df.columns) - len(ids)).alias("n_value_columns"), F.lit("Wide" if len(df.columns) > 100 else "Long").alias("topology"))
+
+
+def long_sizes(df: DataFrame, array: str, group: str, row_bytes: int = 40) -> DataFrame:
+    """What the long form of an array column comes to: rows, cells, GB at row_bytes a cell, and feature rows (positions
+    times groups)."""
+    one = df.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.size(array)).alias("long_rows"), F.max(F.size(array)).alias("width"), F.count_distinct(group).alias("groups"))
+    return one.select("n_rows", "long_rows", F.round(F.col("long_rows") * row_bytes / F.lit(float(1 << 30)), 6).alias("long_gb"), (F.col("width") * F.col("groups")).alias("feature_rows"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from dataclasses import asdict, dataclass, field
 from datetime import UTC, datetime
 
+#: Severities, and below the names, limits and baselines of the checks and the fields of their records,
+#: which readers of the reports look up.
 CRITICAL, WARNING = "critical", "warning"
 
 
@@ -95,8 +97,8 @@ def bronze_report(duplicates: int, rows: int, description_nulls: int, expected_r
     return Report("bronze", [row_count(rows, expected_rows), no_duplicates(duplicates, index), nulls(description_nulls, "Description", allowed_nulls)])
 
 
-def silver_report(m: dict, keys: list[str], quarantined: int, rows: int, columns: int, baseline: float = 0.5189, tolerance: float = 0.05) -> Report:
-    return Report("silver", [*(nulls(m[f"nulls_{k}"], k) for k in keys), quarantine(quarantined, m["row_count"] + quarantined), closes(m["row_count"], quarantined, rows, columns), near("zero_fraction", m["zero_fraction"], baseline, tolerance)])
+def silver_report(m: dict, keys: list[str], quarantined: int, rows: int, columns: int, baseline: float = 0.5189, tolerance: float = 0.05, most_quarantined: float = 0.01) -> Report:
+    return Report("silver", [*(nulls(m[f"nulls_{k}"], k) for k in keys), quarantine(quarantined, m["row_count"] + quarantined, most_quarantined), closes(m["row_count"], quarantined, rows, columns), near("zero_fraction", m["zero_fraction"], baseline, tolerance)])
 
 
 def gold_report(m: dict, keys: list[str], entities: int, groups: int, baseline: float = 0.5252, tolerance: float = 0.05) -> Report:
@@ -109,6 +111,13 @@ def valid_mapping(size: int, least: int = 100) -> tuple[bool, str]:
     return (True, f"{size} samples") if size >= least else (False, f"{size} samples, {least} are needed")
 
 
+def require_mapping(size: int, least: int = 100) -> None:
+    """Raises unless a dimension of so many keys is large enough."""
+    ok, message = valid_mapping(size, least)
+    if not ok:
+        raise ValueError(message)
+
+
 def require_match(matched: int) -> None:
     if matched == 0:
         raise RuntimeError("no sample matches the dimension")

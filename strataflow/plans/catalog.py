@@ -3,15 +3,16 @@ embeddings the wide matrix, labels a dimension that misses part of documents."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.functions.scalars import digest, is_zero, null_class, share, skew_class, strip
-from strataflow.operators import features, join, metrics, profiling, reshape
+from strataflow.functions.scalars import digest, is_zero, null_class, partition_value, share, skew_class, strip
+from strataflow.operators import features, join, metrics, profiling, quality, reshape
+from strataflow.plans import lineage
+from strataflow.session import shared_folder
 from strataflow.sources import readers, sinks
 from strataflow.sources.readers import table
 
@@ -75,7 +76,8 @@ def posexplode_embeddings(spark, sf):
 @query("""select pos, cast(count(*) as integer) sample_count, round(avg(ln(1 + v)), 7) mean_log1p, round(case when count(*) >= 2 then stddev_pop(ln(1 + v)) end, 7) std_log1p, round(median(ln(1 + v)), 7) median_log1p, round(avg(case when v = 0 then 1.0 else 0.0 end), 7) zero_fraction
   from (select generate_subscripts(embedding, 1)::integer - 1 as pos, cast(unnest(embedding) as double) v from embeddings) group by pos""")
 def wide_features(spark, sf):
-    return rounded(features.group_features(reshape.array_to_long(table(spark, sf, "embeddings"), ["vec_id"], "embedding"), ["pos"], "value", double=True), 7)
+    # Few positions, so their groups grow with the table.
+    return rounded(features.group_features(reshape.array_to_long(table(spark, sf, "embeddings"), ["vec_id"], "embedding"), ["pos"], "value", double=True, large_groups=True), 7)
 
 
 def _modes(spark):
@@ -118,8 +120,7 @@ def lookup_fallback(spark, sf):
 def closure_check(spark, sf):
     docs = table(spark, sf, "documents").selectExpr("doc_id", "cast(n_chars as double) n_chars", "cast(length(text) as double) n_text")
     long = reshape.to_long(docs, ["doc_id"], ["n_chars", "n_text"])
-    matched, lost = join.attach(long, table(spark, sf, "labels").select("doc_id"), "doc_id")
-    return metrics.closure(matched, lost, docs, 2)
+    return metrics.closure(join.tagged(long, table(spark, sf, "labels").select("doc_id"), "doc_id"), docs, 2)
 
 
 @query("select count(*) total, count(*) filter (where l.doc_id is null) quarantined, round(case when count(*) = 0 then 0 else count(*) filter (where l.doc_id is null) / count(*)::double end, 9) fraction from documents d left join labels l using (doc_id)")
@@ -142,15 +143,68 @@ def gold_metrics(spark, sf):
     return rounded(metrics.gold(f, ["l_suppkey", "l_returnflag"], "l_returnflag"), 7)
 
 
+def report_rows(spark: SparkSession, report: quality.Report) -> DataFrame:
+    """The checks of a report with its verdict as rows."""
+    return spark.createDataFrame([(c.name, c.severity, c.passed, report.passed) for c in report.checks], "name string, severity string, passed boolean, report_passed boolean")
+
+
 @query("""with m as (select count(*) n, count(*) filter (where l_orderkey is null) k, count(*) filter (where l_tax = 0) / count(*)::double z, count(*) - count(distinct (l_orderkey, l_linenumber)) d from lineitem)
   select 'row_count' as name, 'critical' severity, n > 0 passed from m union all select 'nulls_l_orderkey', 'critical', k = 0 from m
   union all select 'duplicates_line', 'critical', d = 0 from m union all select 'zero_fraction', 'warning', z between 0.5189 - 0.05 and 0.5189 + 0.05 from m""")
 def quality_report_rows(spark, sf):
     t = table(spark, sf, "lineitem")
-    d = profiling.duplicates(t, ["l_orderkey", "l_linenumber"]).select("duplicates")
-    m = metrics.silver(t, ["l_orderkey"], "l_tax", "l_returnflag").join(d)
-    return m.selectExpr("""stack(4, 'row_count', 'critical', row_count > 0, 'nulls_l_orderkey', 'critical', nulls_l_orderkey = 0,
-      'duplicates_line', 'critical', duplicates = 0, 'zero_fraction', 'warning', zero_fraction between 0.4689 and 0.5689) as (name, severity, passed)""")
+    d = profiling.duplicates(t, ["l_orderkey", "l_linenumber"]).first()["duplicates"]
+    m = metrics.silver(t, ["l_orderkey"], "l_tax", "l_returnflag").first()
+    report = quality.Report("lineitem", [quality.row_count(m.row_count, max(1, t.count())), quality.nulls(m.nulls_l_orderkey, "l_orderkey"), quality.no_duplicates(d, "line"), quality.near("zero_fraction", m.zero_fraction, 0.5189)])
+    return report_rows(spark, report).drop("report_passed")
+
+
+@query("""with m as (select count(*) n, count(distinct p_partkey) k, count(*) filter (where p_brand is null) x from part), c as (
+  select 'row_count' as name, n = (select count(*) from part) passed from m union all select 'duplicates_p_partkey', n = k from m union all select 'nulls_Description', x = 0 from m)
+  select name, 'critical' severity, passed, (select bool_and(passed) from c) report_passed from c""")
+def bronze_suite(spark, sf):
+    """The checks of a raw copy: rows as in the source, unique names, no null descriptions."""
+    source, path = f"{sf}/part.parquet", f"{shared_folder(spark)}/raw-{uuid.uuid4().hex}"
+    sinks.copy_raw(spark, source, path)
+    raw = spark.read.parquet(path)
+    d = profiling.duplicates(raw, ["p_partkey"]).first()
+    return report_rows(spark, quality.bronze_report(d["duplicates"], d["total"], raw.where("p_brand is null").count(), spark.read.parquet(source).count(), "p_partkey"))
+
+
+@query("""with d as (select count(*) n from documents), m as (select count(*) n, count(*) filter (where lang is null) k, count(*) filter (where l.toxic = 0) / count(*)::double z from documents join labels l using (doc_id)),
+  c as (select 'nulls_doc_id' as name, 'critical' severity, true passed union all select 'nulls_lang', 'critical', k = 0 from m
+  union all select 'quarantine_threshold', 'critical', (d.n - m.n) / greatest(d.n, 1)::double <= 0.01 from d, m union all select 'lineage_closure', 'critical', true
+  union all select 'zero_fraction', 'warning', z between 0.5189 - 0.05 and 0.5189 + 0.05 from m)
+  select name, severity, passed, (select bool_and(passed) from c where severity = 'critical') report_passed from c""")
+def silver_suite(spark, sf):
+    """The checks of a long form: labels are the dimension, toxic the value; documents without a label are quarantined."""
+    docs = table(spark, sf, "documents").select("doc_id", "lang")
+    both = join.tagged(docs, table(spark, sf, "labels"), "doc_id")
+    matched, lost = join.split(both, docs.columns)
+    m = metrics.silver(matched, ["doc_id", "lang"], "toxic", "lang").first().asDict()
+    return report_rows(spark, quality.silver_report(m, ["doc_id", "lang"], lost.count(), docs.count(), 1))
+
+
+@query("""with f as (select l_suppkey, l_returnflag, count(*) n, avg(case when l_tax = 0 then 1.0 else 0.0 end) z from lineitem where l_tax is not null group by all), e as (select count(distinct l_suppkey) s, count(distinct l_returnflag) g from lineitem),
+  c as (select 'nulls_l_suppkey' as name, 'critical' severity, count(*) filter (where l_suppkey is null) = 0 passed from f union all select 'nulls_l_returnflag', 'critical', count(*) filter (where l_returnflag is null) = 0 from f
+  union all select 'gold_row_count', 'critical', (select count(*) from f) = s * g from e union all select 'gold_tissue_count', 'critical', (select count(distinct l_returnflag) from f) = g from e
+  union all select 'gold_min_sample_count', 'critical', min(n) >= 1 from f union all select 'gold_zero_fraction_consistency', 'warning', avg(z) between (select avg((l_tax = 0)::int) from lineitem) - 0.05 and (select avg((l_tax = 0)::int) from lineitem) + 0.05 from f)
+  select name, severity, passed, (select bool_and(passed) from c where severity = 'critical') report_passed from c""")
+def gold_suite(spark, sf):
+    """The checks of a feature layer against the rows that it was made from."""
+    t, keys = table(spark, sf, "lineitem"), ["l_suppkey", "l_returnflag"]
+    g = metrics.gold(features.group_features(t, keys, "l_tax", double=True), keys, "l_returnflag").first().asDict()
+    base = metrics.silver(t, keys, "l_tax", "l_returnflag").first()
+    return report_rows(spark, quality.gold_report(g, keys, t.agg(F.count_distinct("l_suppkey")).first()[0], base.group_count, base.zero_fraction))
+
+
+@query("""select user_id, n, n > 0 ok, case when n = 0 then 'the mapping is empty' when n < 100 then n || ' samples, 100 are needed' else n || ' samples' end message from (select user_id, count(distinct event_id) n from events group by 1)""")
+def mapping_validation(spark, sf):
+    """Each user's events as a mapping, judged by its size."""
+    sizes = table(spark, sf, "events").groupBy("user_id").agg(F.count_distinct("event_id").alias("n"))
+    small, large = quality.valid_mapping(99)[1].replace("99", "", 1), quality.valid_mapping(100)[1].replace("100", "", 1)
+    text = F.when(F.col("n") == 0, quality.valid_mapping(0)[1]).when(F.col("n") < 100, F.concat(F.col("n").cast("string"), F.lit(small))).otherwise(F.concat(F.col("n").cast("string"), F.lit(large)))
+    return sizes.select("user_id", "n", (F.col("n") > 0).alias("ok"), text.alias("message"))
 
 
 @query("select cast(count(*) as bigint) total, count(distinct (l_orderkey, l_linenumber)) distinct_keys, count(*) - count(distinct (l_orderkey, l_linenumber)) duplicates from lineitem")
@@ -224,13 +278,13 @@ def gene_validation(spark, sf):
     return rounded(features.validate_genes(f, "l_suppkey"))
 
 
-@query("select n_rows, n_rows * 64 long_rows, round(n_rows * 64 * 40 / 1073741824.0::double, 6) long_gb, n_rows * 10 feature_rows from (select count(*) n_rows from embeddings)")
+@query("select count(*) n_rows, cast(sum(len(embedding)) as bigint) long_rows, round(sum(len(embedding)) * 40 / 1073741824.0::double, 6) long_gb, max(len(embedding)) * count(distinct label) feature_rows from embeddings")
 def reshape_sizing(spark, sf):
-    one = table(spark, sf, "embeddings").agg(F.count(F.lit(1)).alias("n_rows"))
-    return one.select("n_rows", (F.col("n_rows") * 64).alias("long_rows"), F.round(F.col("n_rows") * 64 * 40 / F.lit(1073741824.0), 6).alias("long_gb"), (F.col("n_rows") * 10).alias("feature_rows"))
+    return profiling.long_sizes(table(spark, sf, "embeddings"), "embedding", "label")
 
 
-@query("select count(*) n_rows, 11 n_columns, 9 n_value_columns, 'Long' topology from lineitem")
+@query("""with c as (select count(*) n from information_schema.columns where table_name = 'lineitem')
+  select count(*) n_rows, any_value(c.n)::integer n_columns, any_value(c.n)::integer - 2 n_value_columns, case when any_value(c.n) > 100 then 'Wide' else 'Long' end topology from lineitem, c""")
 def schema_dims(spark, sf):
     return profiling.dimensions(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
 
@@ -238,8 +292,8 @@ def schema_dims(spark, sf):
 @query("select o_custkey, o_orderstatus, count(*) n, round(sum(o_totalprice), 2) total from orders group by all")
 def sink_roundtrip(spark, sf):
     """Written by status, checked, published, and read back with string partitions."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="strataflow-")
-    back = sinks.publish(spark, table(spark, sf, "orders").select("o_custkey", "o_totalprice", "o_orderstatus"), f"{root}/layer-{uuid.uuid4().hex}", "o_orderstatus", lambda df: None)
+    orders = table(spark, sf, "orders").select("o_custkey", "o_totalprice", "o_orderstatus")
+    back = sinks.publish(spark, orders, f"{shared_folder(spark)}/layer-{uuid.uuid4().hex}", "o_orderstatus", lambda df: None, spread=4)
     return back.groupBy("o_custkey", "o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
 
 
@@ -261,3 +315,120 @@ def verdict_classes(spark, sf):
 def labelled_summary(spark, sf):
     matched, _ = join.attach(table(spark, sf, "documents").select("doc_id", "lang", "n_chars"), table(spark, sf, "labels"), "doc_id")
     return matched.groupBy("quality", "toxic", "lang").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("n_chars"), 6).alias("mean_chars"))
+
+
+def _path(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query("select cast(c_custkey as varchar) as c_custkey, trim(c_mktsegment) as c_mktsegment from customer where trim(c_mktsegment) <> ''")
+def tsv_dimension(spark, sf):
+    """A dimension as a tab-separated file, read back by its header."""
+    path = _path(spark, "tsv")
+    rows = table(spark, sf, "customer").select(F.concat(F.lit(" "), F.col("c_custkey").cast("string"), F.lit("  ")).alias("c_custkey"), "c_name", F.concat(F.col("c_mktsegment"), F.lit(" ")).alias("c_mktsegment"))
+    rows.write.csv(path, sep="\t", header=True, quote="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    return readers.dimension(spark, path, "c_custkey", "c_mktsegment")
+
+
+@query("select event_type, count(*) n from events where event_type is not null group by 1")
+def json_document(spark, sf):
+    """Counts as a JSON document, written and read through Spark's file systems."""
+    path, counts = f"{_path(spark, 'doc')}.json", profiling.value_counts(table(spark, sf, "events"), "event_type")
+    sinks.save_json(spark, {"counts": [r.asDict() for r in counts.collect()]}, path)
+    return spark.createDataFrame([(x["event_type"], x["n"]) for x in readers.json_document(spark, path)["counts"]], "event_type string, n long")
+
+
+@query("select o_orderstatus, count(*) n, round(sum(o_totalprice), 2) total from orders group by 1")
+def raw_copy(spark, sf):
+    """A byte copy, checked by size, then read."""
+    path = _path(spark, "raw")
+    sinks.copy_raw(spark, f"{sf}/orders.parquet", path)
+    return spark.read.parquet(path).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+
+
+GOLD_TYPES = "l_suppkey long, l_returnflag string, mean_log1p double, std_log1p double, median_log1p double, sample_count int, zero_fraction double"
+
+
+@query(feature_sql("l_suppkey, l_returnflag", "l_quantity", "lineitem"))
+def gold_write(spark, sf):
+    """Features published in a layer of their own schema, a folder per group, zstandard; then read back."""
+    made = features.group_features(table(spark, sf, "lineitem"), ["l_suppkey", "l_returnflag"], "l_quantity", double=True)
+    schema = spark.createDataFrame([], GOLD_TYPES).schema
+    return rounded(sinks.publish(spark, made, _path(spark, "gold"), "l_returnflag", lambda df: None, "zstd", schema=schema))
+
+
+@query("select reason, count(*) n from (select 'no_label_match' reason from documents d where not exists (select 1 from labels l where l.doc_id = d.doc_id)) group by 1")
+def quarantine_write(spark, sf):
+    path, docs = _path(spark, "quarantine"), table(spark, sf, "documents").select("doc_id", "lang")
+    for _ in range(2):  # a second run replaces the first one's rows
+        sinks.write_quarantine(join.attach(docs, table(spark, sf, "labels"), "doc_id", "no_label_match")[1], path)
+    return spark.read.parquet(path).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("select count(*) n_rows, true complete, false incomplete, false missing from supplier")
+def completeness(spark, sf):
+    """Whether a layer has the rows expected of it, from its footers."""
+    path, t = _path(spark, "layer"), table(spark, sf, "supplier")
+    n = sinks.write_once(spark, t, path).count()
+    return t.agg(F.count(F.lit(1)).alias("n_rows")).select("n_rows", *(F.lit(v).alias(k) for k, v in (("complete", sinks.is_complete(spark, path, n)), ("incomplete", sinks.is_complete(spark, path, n + 1)), ("missing", sinks.is_complete(spark, path + "-none", n)))))
+
+
+@query("select l_returnflag, l_orderkey, l_linenumber, l_partkey, cast(l_tax as float)::double l_tax from lineitem")
+def schema_realign(spark, sf):
+    """Columns in another order and of narrower types, realigned to a layer's schema."""
+    schema = spark.createDataFrame([], "l_returnflag string, l_orderkey long, l_linenumber int, l_partkey long, l_tax float").schema
+    t = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", F.col("l_tax").cast("float").alias("l_tax"), "l_returnflag")
+    return sinks.conform(t, schema).withColumn("l_tax", F.col("l_tax").cast("double"))
+
+
+@query("select sample_id, count(*) n, round(sum(tpm_value), 4) total from (select l_quantity, l_extendedprice, l_discount, l_tax from lineitem) unpivot include nulls (tpm_value for sample_id in (l_quantity, l_extendedprice, l_discount, l_tax)) group by 1")
+def unpivot_groups(spark, sf):
+    """The long form made by groups of columns and put together."""
+    t = table(spark, sf, "lineitem")
+    parts = [reshape.to_long(t, ["l_orderkey"], group, kind="double") for group in reshape.column_groups(MEASURES, 3)]
+    return parts[0].unionAll(parts[1]).groupBy("sample_id").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("tpm_value"), 4).alias("total"))
+
+
+@query(" union all ".join(_profile_sql(c) for c in ("l_discount", "l_tax")))
+def prefix_profile(spark, sf):
+    """A seeded sample of the columns that a prefix names, profiled."""
+    t = table(spark, sf, "lineitem")
+    return profiling.null_zero(t, profiling.sample_columns(readers.columns_with_prefix(t, "l_d", "l_t"), 200))
+
+
+@query("select l_returnflag, count(*) n from lineitem group by 1")
+def nested_files(spark, sf):
+    """Every file below a folder of folders."""
+    path = _path(spark, "nested")
+    table(spark, sf, "lineitem").select("l_returnflag", F.col("l_returnflag").alias("f"), F.col("l_linestatus").alias("s")).write.partitionBy("f", "s").parquet(path)
+    return readers.files_below(spark, path).groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("select o_orderstatus, count(*) n from orders group by 1")
+def corrupt_files(spark, sf):
+    """A layer with a file that is no Parquet, which is skipped on request."""
+    path = _path(spark, "layer")
+    table(spark, sf, "orders").select("o_orderkey", "o_orderstatus").write.partitionBy("o_orderstatus").parquet(path)
+    sinks.save_json(spark, {"not": "parquet"}, f"{path}/o_orderstatus=F/broken.parquet")
+    schema = spark.createDataFrame([], "o_orderkey long, o_orderstatus string").schema
+    return readers.layer(spark, path, ("o_orderstatus",), skip_corrupt=True, schema=schema).groupBy("o_orderstatus").agg(F.count("o_orderkey").alias("n"))
+
+
+@query("select o_orderpriority as priority, split_part(o_orderpriority, '-', 1) as head, starts_with(o_orderpriority, '1') as first, count(*) n from orders group by all")
+def path_values(spark, sf):
+    """Values out of escaped folder names, and parts of strings."""
+    value = partition_value(F.concat(F.lit("priority="), F.regexp_replace(F.url_encode("o_orderpriority"), r"\+", "%20")))
+    g = table(spark, sf, "orders").select(value.alias("priority")).groupBy("priority").agg(F.count(F.lit(1)).alias("n"))
+    return g.select("priority", F.split("priority", "-")[0].alias("head"), F.startswith("priority", F.lit("1")).alias("first"), "n")
+
+
+@query("""select (select count(*) from documents) * 2 expected_total, (select count(*) from documents) * 2 actual_total, cast(0 as bigint) as delta, true closes, 'complete' status, '1/1' layers_complete""")
+def lineage_documents(spark, sf):
+    """The lineage of a long form, saved and read again."""
+    docs, path = table(spark, sf, "documents").selectExpr("doc_id", "cast(n_chars as double) n_chars", "cast(length(text) as double) n_text"), f"{_path(spark, 'lineage')}.json"
+    m = metrics.closure(join.tagged(reshape.to_long(docs, ["doc_id"], ["n_chars", "n_text"]), table(spark, sf, "labels").select("doc_id"), "doc_id"), docs, 2).first()
+    line = lineage.document("silver", {"path": sf}, {}, quality.Report("silver"), ["unpivot"], lineage_closure=lineage.closure(m.source_count, 2, m.silver_count, m.quarantine_count))
+    sinks.save_json(spark, lineage.chain("documents", {}, {"silver": line}), path)
+    back = readers.json_document(spark, path)
+    c = back["silver"]["lineage_closure"]
+    return spark.createDataFrame([(c["expected_total"], c["actual_total"], c["delta"], c["closes"], back["status"], back["layers_complete"])], "expected_total long, actual_total long, delta long, closes boolean, status string, layers_complete string")

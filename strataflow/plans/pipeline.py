@@ -8,16 +8,20 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from strataflow import session
-from strataflow.operators import metrics, quality
+from strataflow.operators import join, metrics, quality
 from strataflow.operators.features import group_features
-from strataflow.operators.join import attach
 from strataflow.operators.profiling import duplicates
 from strataflow.operators.reshape import to_long
-from strataflow.plans import planner
+from strataflow.plans import lineage
 from strataflow.sources import readers, sinks
 
-KEYS = ["gene_id", "gene_symbol", "tissue_id"]
+IDS = ["gene_id", "gene_symbol"]
+KEYS = [*IDS, "tissue_id"]
 NAMES = {"mean_log1p": "mean_log1p_tpm", "std_log1p": "std_log1p_tpm", "median_log1p": "median_log1p_tpm"}
+LONG = [*IDS, "sample_id", "tpm_value"]
+#: The schemas of the layers.
+SILVER = "gene_id string, gene_symbol string, sample_id string, tpm_value float, tissue_id string"
+GOLD = "gene_id string, gene_symbol string, tissue_id string, mean_log1p_tpm float, std_log1p_tpm float, median_log1p_tpm float, sample_count int, zero_fraction float"
 
 
 @dataclass(frozen=True)
@@ -28,58 +32,73 @@ class Layout:
         return f"{self.root}/{name}"
 
 
-def long_form(wide: DataFrame, dim: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(silver, quarantine) of a matrix with Name, Description and one column per sample."""
-    ids = ["gene_id", "gene_symbol"]
+def tagged_long(wide: DataFrame, dim: DataFrame) -> DataFrame:
+    """The long rows of a matrix with Name, Description and one column per sample, with tissue_id and matched."""
     named = wide.withColumnsRenamed({"Name": "gene_id", "Description": "gene_symbol"})
-    return attach(to_long(named, ids, readers.value_columns(named, ids)), dim, "sample_id")
+    return join.tagged(to_long(named, IDS, readers.value_columns(named, IDS)), dim, "sample_id")
+
+
+def long_form(wide: DataFrame, dim: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(silver, quarantine), two views of tagged_long()."""
+    return join.split(tagged_long(wide, dim), LONG)
 
 
 def summary(silver: DataFrame) -> DataFrame:
     return group_features(silver, KEYS, "tpm_value").withColumnsRenamed(NAMES)
 
 
-def run(spark: SparkSession, source: str, dimension_tsv: str, out: str, key: str = "SAMPID", value: str = "SMTSD", zero_baseline: float = 0.5189, tolerance: float = 0.05, most_quarantined: float = 0.01) -> dict:
-    """Runs all layers and returns the pipeline's lineage. A failed critical check raises and publishes nothing."""
+def schema(spark: SparkSession, text: str):
+    return spark.createDataFrame([], text).schema
+
+
+def run(spark: SparkSession, source: str, dimension_tsv: str, out: str, key: str = "SAMPID", value: str = "SMTSD", zero_baseline: float = 0.5189, tolerance: float = 0.05, most_quarantined: float = 0.01, least_samples: int = 100, expected_rows: int | None = None) -> dict:
+    """Runs all layers and returns the pipeline's lineage. A failed critical check raises and publishes nothing, the
+    quarantine neither. The raw copy must have expected_rows rows, those of the source where none are given."""
     at, infra = Layout(out), {"infra_fingerprint": session.fingerprint(session.machine())}
     bronze = sinks.copy_raw(spark, source, at.bronze)
     if not bronze:
         raise FileNotFoundError(source)
     wide = spark.read.parquet(at.bronze)
     samples = readers.value_columns(wide, ["Name", "Description"])
+    expected = spark.read.parquet(source).count() if expected_rows is None else expected_rows
     dup = duplicates(wide, ["Name"]).first()
     rows = dup["total"]
-    quality.gate(quality.bronze_report(dup["duplicates"], rows, wide.where("Description is null").count(), rows))
+    quality.gate(quality.bronze_report(dup["duplicates"], rows, wide.where("Description is null").count(), expected))
 
     began = time.time()
     dim = readers.dimension(spark, dimension_tsv, key, value).withColumnsRenamed({key: "sample_id", value: "tissue_id"})
-    silver, unmatched = long_form(wide, dim)
-    sinks.write_quarantine(unmatched, at.quarantine)
-    lost = spark.read.parquet(at.quarantine).count()
+    quality.require_mapping(dim.count(), least_samples)
+    # The unpivot and its join run once; silver and quarantine both read what was written.
+    both = sinks.write_once(spark, tagged_long(wide, dim), f"{at.staged}/long")
+    silver, unmatched = join.split(both, LONG)
+    sinks.write_quarantine(unmatched, f"{at.staged}/quarantine")
+    lost = spark.read.parquet(f"{at.staged}/quarantine").count()
     found: dict = {}
 
     def check_silver(df: DataFrame) -> None:
         m = found["silver"] = metrics.silver(df, KEYS, "tpm_value", "tissue_id").first().asDict()
         quality.require_match(m["row_count"])
-        report = found["silver_report"] = quality.silver_report(m, KEYS, lost, rows, len(samples), zero_baseline, tolerance)
-        report.checks = [quality.quarantine(lost, m["row_count"] + lost, most_quarantined) if c.name == "quarantine_threshold" else c for c in report.checks]
-        quality.gate(report)
+        found["silver_report"] = quality.gate(quality.silver_report(m, KEYS, lost, rows, len(samples), zero_baseline, tolerance, most_quarantined))
 
-    silver = sinks.publish(spark, silver, at.silver, "tissue_id", check_silver)
+    spread = sinks.spread_for(rows * len(samples))
+    silver = sinks.publish(spark, silver, at.silver, "tissue_id", check_silver, spread=spread, schema=schema(spark, SILVER))
+    sinks.replace_folder(spark, f"{at.staged}/quarantine", at.quarantine)
     m = found["silver"]
-    s_line = planner.silver_lineage(bronze, {"silver": m["row_count"], "quarantine": lost, "groups": m["group_count"]}, (rows, len(samples)), found["silver_report"].to_dict(), at.silver, at.quarantine, infra, time.time() - began)
+    s_line = lineage.document("silver", bronze, {"path": at.silver, "partition_col": "tissue_id", "row_count": m["row_count"], "tissue_count": m["group_count"], "quarantine_count": lost, "quarantine_path": at.quarantine}, found["silver_report"], ["unpivot", "attach tissue", "cast to float", "route unmatched"], lineage_closure=lineage.closure(rows, len(samples), m["row_count"], lost), duration_seconds=time.time() - began, **infra)
     sinks.save_json(spark, s_line, f"{at.lineage}/silver.json")
 
     began = time.time()
-    entities = silver.select("gene_id", "gene_symbol").distinct().count()
+    entities = silver.select(*IDS).distinct().count()
 
     def check_gold(df: DataFrame) -> None:
         g = found["gold"] = metrics.gold(df, KEYS, "tissue_id").first().asDict()
-        found["gold_report"] = quality.gate(quality.gold_report(g, KEYS, entities, m["group_count"], zero_baseline, tolerance))
+        # Features must agree with the share of zeros that silver has, not with the one expected of the source.
+        found["gold_report"] = quality.gate(quality.gold_report(g, KEYS, entities, m["group_count"], m["zero_fraction"], tolerance))
 
-    sinks.publish(spark, summary(silver), at.gold, "tissue_id", check_gold, "zstd")
-    g_line = planner.gold_lineage(s_line, found["gold"]["row_count"], found["gold"]["group_count"], found["gold_report"].to_dict(), at.gold, infra, time.time() - began)
+    sinks.publish(spark, summary(silver), at.gold, "tissue_id", check_gold, "zstd", schema=schema(spark, GOLD))
+    g = found["gold"]
+    g_line = lineage.document("gold", s_line["output"], {"path": at.gold, "partition_col": "tissue_id", "row_count": g["row_count"], "tissue_count": g["group_count"]}, found["gold_report"], ["group features of log1p"], duration_seconds=time.time() - began, **infra)
     sinks.save_json(spark, g_line, f"{at.lineage}/gold.json")
-    whole = planner.pipeline_lineage(source, bronze, s_line, g_line)
+    whole = lineage.chain(source, bronze, {"silver": s_line, "gold": g_line})
     sinks.save_json(spark, whole, f"{at.lineage}/pipeline.json")
     return whole

@@ -7,6 +7,7 @@ import json
 import math
 import os
 import platform
+import tempfile
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -77,12 +78,6 @@ def downgrade(preset: Preset) -> Preset | None:
     return max(smaller, key=lambda p: p.min_ram_gb, default=None)
 
 
-def memory_gb(total: int, available: int) -> float:
-    """60 % of all memory; under pressure 90 % of what is free, if less; 2 at least."""
-    goal, free = round(total / GB * 0.6, 1), available / GB
-    return max(min(goal, round(free * 0.9, 1)) if free < goal else goal, 2.0)
-
-
 def parse_memory(text: str) -> float:
     """GB of a Spark memory string; a bare number is GB."""
     t = text.strip().lower().removesuffix("b")
@@ -90,11 +85,6 @@ def parse_memory(text: str) -> float:
     return float(t[:-1]) * scale[t[-1]] if t[-1:] in scale else float(t)
 
 
-def override_fits(override: str, available: int) -> bool:
-    """Whether a memory override stays within 85 % of free memory."""
-    return parse_memory(override) <= available / GB * 0.85
-
-
 def machine() -> dict:
     """Total and free memory in bytes, and cores."""
     info = {}
@@ -126,19 +116,24 @@ def mode_conf(mode: str, memory: float, cores: int) -> dict[str, str]:
     return out | ({"spark.master": "yarn"} if mode == "yarn" else {"spark.kubernetes.memoryOverheadFactor": "0.1"})
 
 
-def write_conf(available: int, cores: int) -> dict[str, str]:
-    """For large writes: a third of the cores, off-heap of 15 % of free memory between 256 MB and 2 GB."""
-    writers = max(1, cores // 3)
-    off_heap = min(max(available * 0.15, 0.25 * GB), 2 * GB)
-    return {"spark.master": f"local[{writers}]", "spark.sql.shuffle.partitions": str(max(4 * writers, 10)), "spark.memory.offHeap.enabled": "true", "spark.memory.offHeap.size": f"{int(off_heap / 1024**2)}m"}
-
-
-def build(mode: str = "local", preset: Preset | None = None, extra: dict[str, str] | None = None) -> SparkSession:
-    """A session with the preset that the machine allows."""
+def build(mode: str = "local", memory: str = "2g", preset: Preset | None = None, extra: dict[str, str] | None = None) -> SparkSession:
+    """A session of so much memory, with the preset that the machine's free memory allows."""
     m = machine()
     preset = preset or preset_for(m["available"] / GB)
-    conf = mode_conf(mode, memory_gb(m["total"], m["available"]), m["cores"]) | preset.conf() | ALWAYS | (extra or {})
+    conf = mode_conf(mode, parse_memory(memory), m["cores"]) | preset.conf() | ALWAYS | (extra or {})
     builder = SparkSession.builder.appName("strataflow")
     for k, v in conf.items():
         builder = builder.config(k, v)
     return builder.getOrCreate()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names. Where it is unset, local mode takes a temporary one; a cluster has no
+    folder that all its machines see, so that is an error there."""
+    sc = spark.sparkContext
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set; it must name a folder that all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="strataflow-"))
+    return sc._jsc.sc().getCheckpointDir().get()

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import json
+from bisect import bisect_right
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from strataflow.functions.scalars import strip
 
@@ -23,11 +26,14 @@ def columns_with_prefix(df: DataFrame, *prefixes: str) -> list[str]:
     return [c for c in df.columns if c.startswith(prefixes)]
 
 
-def layer(spark: SparkSession, path: str, skip_corrupt: bool = False) -> DataFrame:
-    """A partitioned layer with string partition values. Corrupt files raise unless they are to be skipped, which
-    loses their rows."""
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-    return spark.read.option("ignoreCorruptFiles", str(skip_corrupt).lower()).parquet(path)
+def layer(spark: SparkSession, path: str, partitions: tuple[str, ...] = ("tissue_id",), skip_corrupt: bool = False, fmt: str = "parquet", schema: StructType | None = None) -> DataFrame:
+    """A partitioned layer in Parquet or another format of this session (delta, say). Partition values are strings, as
+    written: '01' stays '01'. An empty layer needs its schema. Corrupt files raise unless they are to be skipped, which loses their rows."""
+    reader = spark.read.format(fmt).option("ignoreCorruptFiles", str(skip_corrupt).lower())
+    if fmt != "parquet":
+        return reader.load(path)
+    seen = schema or reader.load(path).schema
+    return reader.schema(StructType([StructField(f.name, StringType() if f.name in partitions else f.dataType) for f in seen])).load(path)
 
 
 def files_below(spark: SparkSession, path: str) -> DataFrame:
@@ -72,16 +78,14 @@ def object_store(spark: SparkSession, endpoint: str, access: str, secret: str) -
         conf.set(f"fs.s3a.{k}", v)
 
 
-def synthetic_matrix(spark: SparkSession, rows: int, columns: int, zero_share: float = 0.5189, seed: int = 42) -> DataFrame:
-    """A generated wide matrix: zero with zero_share, else log-normal of mean 1.5 and deviation 2."""
-    cells = [F.when(F.rand(seed + i) < zero_share, 0.0).otherwise(F.exp(F.randn(seed + columns + i) * 2.0 + 1.5)).cast("float").alias(f"GTEX-SYNTH-{i:04d}-SM-TUNER") for i in range(columns)]
-    return spark.range(rows).select(F.format_string("ENSG%011d.1", "id").alias("Name"), F.format_string("GENE%05d", "id").alias("Description"), *cells)
+def synthetic_matrix(spark: SparkSession, rows: int, columns: int, zero_share: float = 0.5, seed: int = 7, location: float = 1.5, deviation: float = 2.0) -> DataFrame:
+    """A generated wide matrix: a cell is zero with zero_share, else log-normal."""
+    cells = [F.when(F.rand(seed + i) < zero_share, 0.0).otherwise(F.exp(F.randn(seed + columns + i) * deviation + location)).cast("float").alias(f"sample{i}") for i in range(columns)]
+    return spark.range(rows).select(F.concat(F.lit("entity"), "id").alias("Name"), F.concat(F.lit("symbol"), F.col("id") % 1000).alias("Description"), *cells)
 
 
 def synthetic_dimension(spark: SparkSession, columns: int, weights: dict[str, int]) -> DataFrame:
-    """Tissues dealt to the generated columns in proportion to weights, one each at least, the rest to the first."""
-    total, out = sum(weights.values()), []
-    for tissue, weight in weights.items():
-        out += [tissue] * max(1, round(columns * weight / total))
-    out = (out + [next(iter(weights))] * columns)[:columns]
-    return spark.createDataFrame([(f"GTEX-SYNTH-{i:04d}-SM-TUNER", t) for i, t in enumerate(out)], "sample_id string, tissue_id string")
+    """The groups of the generated columns: column i has the group in whose cumulative share of all weights it lies."""
+    bounds, total = list(accumulate(weights.values())), sum(weights.values())
+    groups = [list(weights)[bisect_right(bounds, (i + 0.5) / columns * total)] for i in range(columns)]
+    return spark.createDataFrame([(f"sample{i}", g) for i, g in enumerate(groups)], "sample_id string, tissue_id string")

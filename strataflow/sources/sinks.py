@@ -8,6 +8,9 @@ from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from strataflow.sources.readers import layer
 
 
 def _fs(spark: SparkSession, path: str):
@@ -15,26 +18,62 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def write_layer(df: DataFrame, path: str, partition: str, codec: str = "snappy", spread: int | None = None, records_per_file: int = 1_000_000) -> None:
-    """One atomic overwrite, a folder per partition value. Rows are dealt by the partition value and, for large
-    values, over `spread` salts, so that one value's rows are not one task's."""
+#: Long rows of one partition value that one write task takes.
+ROWS_PER_TASK = 5_000_000
+
+
+def write_layer(df: DataFrame, path: str, partition: str, codec: str = "snappy", spread: int | None = None, records_per_file: int = 1_000_000, fmt: str = "parquet") -> None:
+    """One atomic overwrite, a folder per partition value. With spread, rows are dealt by the partition value over so
+    many salts, so that one value's rows are not one task's; without it, each task writes what it holds."""
     if spread:
         # A data-determined salt: a retried task writes the same rows to the same file.
         salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns if c != partition]), F.lit(spread))
         df = df.repartition(F.col(partition), salt)
-    df.write.mode("overwrite").partitionBy(partition).option("compression", codec).option("maxRecordsPerFile", records_per_file).parquet(path)
+    df.write.format(fmt).mode("overwrite").partitionBy(partition).option("compression", codec).option("maxRecordsPerFile", records_per_file).save(path)
+
+
+def spread_for(rows: int) -> int:
+    """Salts with which even a value of all rows is dealt to tasks of ROWS_PER_TASK rows."""
+    return -(-rows // ROWS_PER_TASK) or 1
+
 
+def conform(df: DataFrame, schema: StructType) -> DataFrame:
+    """df with the columns, order and types of schema, for a layer of that schema; a missing column raises."""
+    return df.to(schema)
 
-def publish(spark: SparkSession, df: DataFrame, path: str, partition: str, check: Callable[[DataFrame], None], codec: str = "snappy") -> DataFrame:
-    """Writes beside the target, checks what was written, then moves it there; a failed check leaves the old layer."""
-    staged = f"{path}.staged"
-    write_layer(df, staged, partition, codec)
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-    check(spark.read.parquet(staged))
+
+def replace_folder(spark: SparkSession, staged: str, path: str) -> None:
+    """Moves staged to path. What is there steps aside first and comes back if the move fails, so a run that dies
+    between the two moves has lost nothing: the layer then lies beside its place as `.previous`."""
     fs, target = _fs(spark, path)
-    fs.delete(target, True)
-    if not fs.rename(spark._jvm.org.apache.hadoop.fs.Path(staged), target):
+    made = spark._jvm.org.apache.hadoop.fs.Path
+    aside = made(f"{path}.previous")
+    if not fs.exists(made(staged)):
+        raise OSError(f"there is no {staged}")
+    if fs.exists(target):
+        fs.delete(aside, True)
+        if not fs.rename(target, aside):
+            raise OSError(f"could not move {path} aside")
+    if not fs.rename(made(staged), target):
+        if fs.exists(aside):
+            fs.rename(aside, target)
         raise OSError(f"could not move {staged} to {path}")
+    fs.delete(aside, True)
+
+
+def publish(spark: SparkSession, df: DataFrame, path: str, partition: str, check: Callable[[DataFrame], None], codec: str = "snappy", spread: int | None = None, schema: StructType | None = None) -> DataFrame:
+    """Writes beside the target, realigned to schema if one is given, checks what was written, then moves it there; a
+    failed check leaves the old layer."""
+    staged, df = f"{path}.staged", conform(df, schema) if schema else df
+    write_layer(df, staged, partition, codec, spread)
+    check(layer(spark, staged, (partition,), schema=df.schema))
+    replace_folder(spark, staged, path)
+    return layer(spark, path, (partition,), schema=df.schema)
+
+
+def write_once(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    """df written and read again: what is used several times is then computed once."""
+    df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
@@ -55,7 +94,7 @@ def copy_raw(spark: SparkSession, source: str, target: str) -> dict:
     size, copied = (f.getContentSummary(p).getLength() for f, p in ((fs, src), (to, dst)))
     if size != copied:
         raise OSError(f"{target} has {copied} bytes, {source} has {size}")
-    return {"source_file": source, "source_size_bytes": size, "source_size_gb": round(size / 1024**3, 2), "bronze_path": target, "bronze_size_bytes": copied, "ingestion_timestamp": datetime.now(UTC).isoformat(), "transformation": "none"}
+    return {"source": source, "path": target, "bytes": copied, "copied_at_utc": datetime.now(UTC).isoformat()}
 
 
 def is_complete(spark: SparkSession, path: str, expected: int) -> bool:

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from strataflow.plans.pipeline import long_form
+from strataflow.operators.join import split
+from strataflow.plans.pipeline import LONG, tagged_long
 
 
 def stream_silver(spark: SparkSession, source: str, schema: StructType, dim: DataFrame, out: str, quarantine: str, checkpoint: str) -> StreamingQuery:
@@ -14,8 +15,10 @@ def stream_silver(spark: SparkSession, source: str, schema: StructType, dim: Dat
     overwritten if it is run again, so a retry repeats no row."""
 
     def write(batch: DataFrame, number: int) -> None:
-        matched, unmatched = long_form(batch, dim)
+        both = tagged_long(batch, dim).persist()  # two writes, one join
+        matched, unmatched = split(both, LONG)
         matched.write.mode("overwrite").partitionBy("tissue_id").parquet(f"{out}/batch={number}")
         unmatched.write.mode("overwrite").parquet(f"{quarantine}/batch={number}")
+        both.unpersist()
 
     return spark.readStream.schema(schema).parquet(source).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
