@@ -3,15 +3,21 @@
 For an item of m words, the windows of a document are all runs of m words (the whole document, if shorter). Windows
 worth a fingerprint are those that hold as many of the item's shingles as the least similarity needs, in any order; a
 window with fewer cannot reach it, so the others are left out exactly.
-A 64-bit SimHash of the window's shingle counts is looked up in RADIUS + 1 tables of bit blocks: two
+A 64-bit SimHash of the window's shingle counts is looked up in RADIUS + 1 tables of bit blocks, by item length: two
 fingerprints within RADIUS bits agree in at least one block, so no fingerprint within the radius is missed. What is
 found is verified by exact weighted similarity: sum of least counts over sum of greatest counts of k-word shingles.
-RADIUS lies over four standard deviations above the mean distance at the least similarity.
+
+RADIUS lies over four standard deviations above the mean distance at the least similarity: there 17 % of the bits
+differ, so blocks that guarantee a match hold under 64 / 25 bits. Tables of such blocks return most items of a length;
+no split of any number of bits does better with a guarantee (1 / 0.17 bits a block at most). The shingle count before
+and the distance after do the pruning.
 
 Words are runs of non-space bytes in lower case (A-Z). The benchmark is the stated query set; it is taken in blocks of
-BLOCK items, each broadcast (at most BLOCK items are held at once), and every block is run against all documents.
+BLOCK items, each broadcast (at most BLOCK items are held at once), and every block is run against all documents. The
+number of blocks changes no row: of all windows and all texts of an item_id, the one of greatest similarity stays, the
+first of equal ones.
 Null or empty texts and items match nothing. A document or item under k words is one shingle, its whole sequence.
-Repeated rows each give their rows. Other columns are left out.
+Rows that repeat a doc_id, a null one too, count as one document and give its best window. Other columns are left out.
 """
 
 from __future__ import annotations
@@ -120,8 +126,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: float = LEAST, k: int =
         rows = asked.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == i).orderBy("item_id", "text").collect()
         held = spark.sparkContext.broadcast(([r[0] for r in rows], [r[1] for r in rows]))
         out.append(docs.mapInArrow(scanner(held, least, k, radius), SCHEMA))
-    found = reduce(DataFrame.union, out)
-    return found if parts == 1 else found.groupBy("doc_id", "item_id").agg(F.max(F.struct("similarity", "start_word")).alias("x")).select("doc_id", "item_id", "x.start_word", "x.similarity")
+    best = F.max(F.struct("similarity", (-F.col("start_word")).alias("back")))
+    return reduce(DataFrame.union, out).groupBy("doc_id", "item_id").agg(best.alias("x")).select("doc_id", "item_id", (-F.col("x.back")).alias("start_word"), "x.similarity")
 
 
 def scanner(held, least: float, k: int, radius: int):

@@ -209,6 +209,24 @@ def test_decontamination_reordered(spark):
     assert got.keys() == want.keys() >= {(0, 0), (1, 1), (3, 0)} and all(got[k][0] == want[k][0] and math.isclose(got[k][1], want[k][1]) for k in got)
 
 
+def test_decontamination_blocks(spark, monkeypatch):
+    """One result rule for any number of item blocks: item_ids of two texts, repeated rows and items, ties, a very long
+    text, and tables without rows."""
+    rng = random.Random(12)
+    items = [prose(rng, rng.randrange(20, 50), 3000) for _ in range(12)]
+    rows = [*((i % 9, t) for i, t in enumerate(items)), (3, items[3]), (2, items[2])]
+    bench = spark.createDataFrame(rows, "item_id long, text string")
+    long = prose(rng, 60_000, 3000) + " " + items[4] + " " + prose(rng, 20_000, 3000)
+    texts = [items[0] + " x y " + items[9] + " z " + items[0], items[3], long, items[2] + " " + items[2], prose(rng, 90)]
+    docs = documents(spark, texts).union(documents(spark, texts[:2]))
+    forms = []
+    for block in (10_000, 5, 1):
+        monkeypatch.setattr(decontaminate, "BLOCK", block)
+        forms.append(sorted(map(tuple, decontaminate.leaks(docs, bench).collect())))
+    assert forms[0] == forms[1] == forms[2] == [(0, 0, 0, 1.0), (1, 3, 0, 1.0), (2, 4, 60_000, 1.0), (3, 2, 0, 1.0)]
+    assert decontaminate.leaks(docs.limit(0), bench).count() == 0
+
+
 def test_bpe(spark):
     from tokenizers import Tokenizer
 
