@@ -1,22 +1,28 @@
 """Operator 4: surrogates for personal data and secrets; DataFrame functions only.
 
-Detected: e-mail addresses, phone numbers, card numbers, US social security numbers, IBANs, IPv4 addresses, access
-keys, assigned passwords and tokens, and names behind an honorific. An entity's surrogate follows from a key, its type
-and its canonical form (so every mention, in any format, gets the same one): digits become digits and letters letters
-of their case, separators stay; card numbers keep a right check digit; names keep the honorific and take a name of its
-gender and script. Surrogates of one type are checked over the whole corpus: where two entities meet in one, or one is
-a real entity, the later ones (by canonical form) draw again, until none clash. Entities that had to draw again are
-few; they are joined back by document.
+Detected: e-mail addresses, phone numbers, card numbers, US social security numbers, IBANs, IP addresses, access keys,
+assigned passwords and tokens, names behind an honorific, and the same full names without one in the same document.
+
+An entity is a type and a canonical form, and its surrogate follows from these and a key, so every mention, in any
+format, gets the same one: digits become digits and letters letters of their case and script, separators stay; card
+numbers keep a right check digit, phone numbers their country code, with or without separators. Names go by their
+tokens: a family name has one surrogate behind any honorific or none, and a given name one of its gender and script, so
+`Mr. Stone`, `Mr Bob Stone` and `Bob Stone` stay one person. A given name's gender is that of most honorifics it
+stands behind in the corpus; behind `Dr` alone it is drawn. A family name alone, without honorific, is not detected.
+
+Surrogates of one type are checked over the whole corpus: where two entities meet in one, or one is a real entity, the
+later ones (by canonical form) draw again, until none clash. Entities that had to draw again and given names of mixed
+honorifics are few; they are joined back by document.
 
 Null texts stay null, empty ones empty, with n_entities 0. Repeated rows give repeated rows; other columns stay out.
-A doc_id that is null is treated like any other, but texts of clashing entities are looked up by doc_id and text hash.
+A doc_id that is null is treated like any other, but what is joined back is looked up by doc_id and text hash.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataflow.llm.graph import keep
@@ -24,126 +30,157 @@ from strataflow.llm.graph import keep
 KEY = "strataflow"
 HONORIFIC_F = r"Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|госпожа"
 HONORIFIC_M = r"Mr|Herr|Monsieur|Señor|Sr|господин"
-ASSIGN = r"(?i:password|passwd|pwd|token|secret|api[_-]?key)[^\w\n=:]{0,4}[=:][^\w\n]{0,5}"
-#: All honorifics but those that hold a shorter one.
-TITLES = f"{HONORIFIC_F}|{HONORIFIC_M}|Dr|Prof".split("|")
-TITLES = [t for t in TITLES if not any(o != t and o in t for o in TITLES)]
+HONORIFIC = f"{HONORIFIC_F}|{HONORIFIC_M}|Dr|Prof"
+ASSIGN = r"(?i:password|passwd|pwd|token|secret|api[_-]?key)(?:[^\w\n=:]{0,4}[=:][^\w\n]{0,5}|\s{1,3}is\s{1,3})"
+#: Country calling codes; all others have three digits.
+CODES = r"1|7|20|27|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}"
+#: A text without a mark or an honorific cannot hold an entity; plain searches are much cheaper than the pattern.
+MARKS = r"[@0-9=:]"
+TITLES = HONORIFIC.split("|")
+HINTS = ["sk-", "sk_", "ghp", "gho", "xox", "AKIA", *(t for t in TITLES if not any(o != t and o in t for o in TITLES))]
 #: One pattern for all; each part starts where a word starts, so no start is tried twice.
 PATTERN = "|".join(
     [
-        r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
+        r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)++",
         rf"(?<![\w]){ASSIGN}(?=[A-Za-z_\-]{{0,40}}\d)[A-Za-z0-9_\-]{{8,}}+",
+        r"(?<![\w:.])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\w:])",
+        r"(?<![\w:.])(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6}(?![\w:])",
         r"(?<![\w.-])(?=[A-Fa-f]{0,31}\d)[A-Fa-f0-9]{32,}+(?![\w])",
         r"\bAKIA[0-9A-Z]{16}\b",
         r"\b(?:sk|ghp|gho|xoxb|xoxp)[_-][A-Za-z0-9_-]{16,}+",
         r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
         r"(?<![\w.+-])(?:\d{1,3}\.){3}\d{1,3}(?!\w|\.\d)",
         r"(?<![\w.+-])\d{3}-\d{2}-\d{4}(?![\w-])",
+        r"(?<![\w.+-])\d{3} \d{2} \d{4}(?![\w-]| \d)",
         r"(?<![\w.+-])\d{4}[ -]?\d{4}[ -]?\d{4}[ -]?\d{1,7}(?!\w)",
         r"(?<![\w.])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\w)",
         r"(?<![\w.+-])(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\w)",
-        rf"(?<!\p{{L}})(?:{HONORIFIC_F}|{HONORIFIC_M}|Dr|Prof)\.? \p{{Lu}}[\p{{L}}'-]++(?: \p{{Lu}}[\p{{L}}'-]++)?",
+        r"(?<![\w.+-])0\d{2,4}[ -]\d{3,4}[ -]\d{3,4}(?![\w-]| \d)",
+        rf"(?<!\p{{L}})(?:{HONORIFIC})\.? \p{{Lu}}[\p{{L}}'-]++(?: \p{{Lu}}[\p{{L}}'-]++)?",
     ]
 )
-#: A text without any of these cannot hold an entity; plain searches are much cheaper than the pattern.
-MARKS = r"[@0-9=:]"
-HINTS = ["sk-", "sk_", "ghp", "gho", "xox", "AKIA", *TITLES]
-NAMES = {  # fixed values
-    "f": ["Alice", "Clara", "Emma", "Hannah", "Ines", "Julia", "Laura", "Marie", "Nora", "Sofia"],
-    "m": ["Adam", "Bruno", "David", "Felix", "Hugo", "Jonas", "Leon", "Martin", "Oscar", "Paul"],
-    "fc": ["Анна", "Вера", "Елена", "Ирина", "Мария", "Нина", "Ольга", "Софья"],
-    "mc": ["Антон", "Борис", "Виктор", "Иван", "Максим", "Олег", "Павел", "Юрий"],
-}
-ONSETS, ENDS = ["Bar", "Cal", "Den", "Far", "Gil", "Hol", "Kem", "Lan", "Mor", "Nel", "Pas", "Ros", "Sel", "Tor", "Val", "Wen"], ["ber", "cott", "den", "field", "gard", "land", "man", "mont", "ner", "ston", "vek", "well"]
-ONSETS_C, ENDS_C = ["Бел", "Вор", "Гор", "Дол", "Зим", "Кар", "Лен", "Мор", "Нов", "Сол"], ["енко", "ских", "юк", "аго", "ых", "ман"]
-
-
-def array(values: list[str]) -> str:
-    return "array(" + ", ".join(f"'{v}'" for v in values) + ")"
+# Names are put together from syllables, so that there are as many as a corpus needs; a later draw takes one more.
+ON = ["Al", "Bel", "Cor", "Dan", "El", "Fer", "Gar", "Hel", "Is", "Jul", "Kar", "Lor", "Mar", "Nel", "Or", "Per", "Ros", "Sel", "Tam", "Val"]
+MID = ["an", "ber", "di", "el", "ga", "in", "li", "mo", "ri", "ven"]
+END = {"f": ["a", "ia", "ina", "ella", "ette", "ine"], "m": ["o", "ald", "ert", "us", "ian", "ek"]}
+FAMILY_END = ["cott", "den", "field", "gard", "land", "mann", "mont", "ner", "ston", "well"]
+ON_C = ["Ал", "Бел", "Вор", "Гор", "Дан", "Ел", "Зор", "Кар", "Лен", "Мар", "Нов", "Ол", "Пав", "Род", "Сол", "Тим"]
+MID_C = ["ан", "вар", "ди", "ел", "ги", "ил", "мо", "ри", "сан", "та"]
+END_C = {"f": ["а", "ия", "ина", "ана"], "m": ["ей", "ан", "ий", "ир"]}
+FAMILY_END_C = ["енко", "ских", "юк", "аго", "ых", "ман"]
+LOWER_C = "абвгдежзийклмнопрстуфхцчшщъыьэюя"
 
 
 def kind(e: str) -> str:
-    """SQL: the type of an entity."""
-    return f"""case when {e} like '%@%' then 'email' when {e} rlike r'^(?:{ASSIGN}|[A-Fa-f0-9]{{32,}}$)' then 'secret' when {e} rlike r'^(?:AKIA|(?:sk|ghp|gho|xoxb|xoxp)[_-])' then 'key'
-      when {e} rlike r'^\\p{{L}}+\\.? \\p{{Lu}}' then 'name' when {e} rlike r'^\\d+(\\.\\d+){{3}}$' then 'ip' when {e} rlike r'^[A-Z]' then 'iban'
-      when {e} rlike r'^\\d{{3}}-\\d{{2}}-\\d{{4}}$' then 'ssn' when {e} rlike r'^\\d{{4}}[ -]?\\d{{4}}[ -]?\\d{{4}}' then 'card' else 'phone' end"""
+    """SQL: the type of a mention."""
+    return f"""case when {e} like '%@%' then 'email' when {e} like '%:%:%' and {e} rlike r'^[0-9A-Fa-f:]+$' then 'ip6' when {e} rlike r'^(?:{ASSIGN}|[A-Fa-f0-9]{{32,}}$)' then 'secret'
+      when {e} rlike r'^(?:AKIA|(?:sk|ghp|gho|xoxb|xoxp)[_-])' then 'key' when {e} rlike r'^\\p{{L}}[^ ]* \\p{{Lu}}' then 'name' when {e} rlike r'^\\d+(\\.\\d+){{3}}$' then 'ip'
+      when {e} rlike r'^[A-Z]{{2}}\\d' then 'iban' when {e} rlike r'^\\d{{3}}[ -]\\d{{2}}[ -]\\d{{4}}$' then 'ssn' when {e} rlike r'^\\d{{4}}[ -]?\\d{{4}}[ -]?\\d{{4}}' then 'card' else 'phone' end"""
 
 
 def canon(t: str, e: str) -> str:
-    """SQL: what all mentions of one entity share."""
-    return f"""case {t} when 'email' then lower({e}) when 'secret' then regexp_extract({e}, r'([A-Za-z0-9_\\-]+)$', 1) when 'phone' then regexp_replace({e}, r'\\D', '')
-      when 'card' then regexp_replace({e}, r'\\D', '') when 'iban' then replace({e}, ' ', '') else {e} end"""
+    """SQL: what all mentions of one entity share. A North American number without country code is that with it."""
+    digits = f"regexp_replace({e}, r'\\D', '')"
+    return f"""case when {t} in ('email', 'ip6', 'given', 'family') then lower({e}) when {t} = 'secret' then regexp_extract({e}, r'([A-Za-z0-9_\\-]+)$', 1)
+      when {t} = 'phone' then case when {e} rlike r'^(\\(|[^+0])' then concat('1', {digits}) else {digits} end
+      when {t} in ('card', 'ssn') then {digits} when {t} = 'iban' then replace({e}, ' ', '') else {e} end"""
+
+
+def name_part(e: str, i: int) -> str:
+    """SQL: the honorific with its blank (1), given name (2) or family name (3) of a name, empty if it has none."""
+    return f"regexp_extract({e}, r'^((?:{HONORIFIC})\\.? )?(?:([^ ]+) )?([^ ]+)$', {i})"
+
 
+def mention(m: str) -> str:
+    """SQL: (b, p) of m.t and m.e: what stays before the parts, and the parts (t, c, e, g); g is the gender that an
+    honorific tells."""
+    gender = f"case when {m}.e rlike r'^(?:{HONORIFIC_F})\\.? ' then 'f' when {m}.e rlike r'^(?:{HONORIFIC_M})\\.? ' then 'm' else 'n' end"
+    part = lambda t, e, g: f"named_struct('t', {t}, 'c', {canon(t, e)}, 'e', {e}, 'g', {g})"
+    both = f"""filter(array({part("'given'", name_part(f"{m}.e", 2), gender)}, {part("'family'", name_part(f"{m}.e", 3), "'n'")}), x -> x.e != '')"""
+    return f"""case when {m}.t = 'name' then named_struct('b', {name_part(f"{m}.e", 1)}, 'p', {both}) else named_struct('b', '', 'p', array({part(f"{m}.t", f"{m}.e", "'n'")})) end"""
 
-def surrogate(t: str, c: str, e: str, n: str) -> str:
-    """SQL: the surrogate of mention e of the entity (t, c) at draw n."""
+
+def listed(values: list[str]) -> str:
+    return "array(" + ", ".join(f"'{v}'" for v in values) + ")"
+
+
+def surrogate(t: str, c: str, e: str, n: str, g: str) -> str:
+    """SQL: the surrogate of part e of the entity (t, c) of gender g at draw n."""
     stream = f"concat(sha2(concat_ws('|', '{KEY}', {t}, {c}, {n}, 'a'), 256), sha2(concat_ws('|', '{KEY}', {t}, {c}, {n}, 'b'), 256))"
-    byte = lambda s, i: f"cast(conv(substr({s}, 1 + 2 * (({i}) % 60), 4), 16, 10) as int)"
-    # The place of a character among the letters and digits of the mention, so that separators don't matter.
-    at = "length(regexp_replace(substr(m.head, 1, i), r'[^A-Za-z0-9]', ''))"
-    swapped = f"""array_join(transform(split(m.head, ''), (x, i) -> case
-      when x rlike '[0-9]' then cast({byte('m.s', at)} % 10 as string) when x rlike '[a-z]' then chr(97 + {byte('m.s', at)} % 26)
-      when x rlike '[A-Z]' then chr(65 + {byte('m.s', at)} % 26) else x end), '')"""
-    head = f"""case {t} when 'email' then regexp_extract({e}, r'^(.*?)((?:\\.[A-Za-z0-9-]+)?\\.[A-Za-z0-9-]+)$', 1) when 'secret' then regexp_extract({e}, r'([A-Za-z0-9_\\-]+)$', 1)
-      when 'phone' then regexp_extract({e}, r'^(?:\\+\\d{{1,3}}(?=[ .-]))?(.*)$', 1) when 'key' then substr({e}, 5) when 'iban' then substr({e}, 3) else {e} end"""
-    before = f"""case {t} when 'secret' then substr({e}, 1, length({e}) - length(m.head)) when 'phone' then substr({e}, 1, length({e}) - length(m.head)) when 'key' then substr({e}, 1, 4) when 'iban' then substr({e}, 1, 2) else '' end"""
-    after = f"case {t} when 'email' then substr({e}, 1 + length(m.head)) else '' end"
+    byte = lambda i: f"cast(conv(substr(y.s, 1 + 2 * (({i}) % 60), 4), 16, 10) as int)"
+    pick = lambda values, i: f"element_at({listed(values)}, 1 + {byte(i)} % {len(values)})"
+    # Letters and digits by their place among such, so that separators don't matter; these are put back after.
+    swap = f"""case when {t} = 'ip6' then substr('0123456789abcdef', 1 + {byte('i')} % 16, 1) when x rlike '[0-9]' then cast({byte('i')} % 10 as string)
+      when x rlike r'[\\x{{430}}-\\x{{44F}}]' then substr('{LOWER_C}', 1 + {byte('i')} % 32, 1) when x rlike r'[\\x{{410}}-\\x{{42F}}]' then upper(substr('{LOWER_C}', 1 + {byte('i')} % 32, 1))
+      when x rlike r'\\p{{Lu}}' then chr(65 + {byte('i')} % 26) else chr(97 + {byte('i')} % 26) end"""
+    plain = r"regexp_replace(y.head, r'[^\p{L}\p{N}]', '')"
+    swapped = f"""case when {plain} = '' then y.head else array_join(zip_with(split(y.head, r'[\\p{{L}}\\p{{N}}]', -1), transform(split({plain}, ''), (x, i) -> {swap}), (a, b) -> concat(a, coalesce(b, ''))), '') end"""
+    head = f"""case {t} when 'email' then regexp_extract({e}, r'^(.*?)((?:\\.[\\p{{L}}\\p{{N}}-]+)?\\.[\\p{{L}}\\p{{N}}-]+)$', 1) when 'secret' then regexp_extract({e}, r'([A-Za-z0-9_\\-]+)$', 1)
+      when 'phone' then regexp_replace({e}, r'^(?:\\+(?:{CODES})|0)', '') when 'key' then substr({e}, 5) when 'iban' then substr({e}, 3) else {e} end"""
+    before = f"case when {t} in ('secret', 'phone', 'key', 'iban') then substr({e}, 1, length({e}) - length(y.head)) else '' end"
+    after = f"case {t} when 'email' then substr({e}, 1 + length(y.head)) else '' end"
     digits = "transform(split(regexp_replace(p.out, r'[^0-9]', ''), ''), x -> cast(x as int))"
     luhn = "aggregate(d.d, named_struct('s', 0, 'i', size(d.d)), (z, x) -> named_struct('s', z.s + case when z.i = 1 then 0 when z.i % 2 = 1 then x when x > 4 then 2 * x - 9 else 2 * x end, 'i', z.i - 1)).s"
     card = f"transform(array(named_struct('d', {digits})), d -> concat(substr(p.out, 1, length(p.out) - 1), cast((10 - {luhn} % 10) % 10 as string)))[0]"
-    ip = f"array_join(transform(sequence(0, 3), i -> cast(1 + {byte('m.s', '2 * i')} % 223 as string)), '.')"
-    pick = lambda values, i: f"element_at({array(values)}, 1 + {byte('m.s', i)} % {len(values)})"
+    ip = f"array_join(transform(sequence(0, 3), i -> cast(1 + {byte('2 * i')} % 223 as string)), '.')"
     cyr = f"{e} rlike r'\\p{{IsCyrillic}}'"
-    female = f"case when {e} rlike r'^(?:{HONORIFIC_F})\\b' then true when {e} rlike r'^(?:{HONORIFIC_M})\\b' then false else {byte('m.s', '40')} % 2 = 0 end"
-    given = f"case when {cyr} then case when {female} then {pick(NAMES['fc'], 1)} else {pick(NAMES['mc'], 1)} end when {female} then {pick(NAMES['f'], 1)} else {pick(NAMES['m'], 1)} end"
-    family = lambda a: f"case when {cyr} then concat({pick(ONSETS_C, a)}, {pick(ENDS_C, a + 1)}) else concat({pick(ONSETS, a)}, {pick(ENDS, a + 1)}) end"
-    more = f"case when {n} > 0 then concat('-', array_join(transform(sequence(1, {n}), k -> {family(20)}), '-')) else '' end"
-    two = f"{e} rlike r'^\\p{{L}}+\\.? \\p{{Lu}}\\S* \\p{{Lu}}'"
-    name = f"concat(regexp_extract({e}, r'^(\\p{{L}}+\\.? )', 1), case when {two} then concat({given}, ' ') else '' end, {family(5)}, {more})"
-    step = f"transform(array(named_struct('head', {head}, 's', {stream})), m -> named_struct('out', case {t} when 'ip' then {ip} when 'name' then {name} else concat({before}, {swapped}, {after}) end))"
+    female = f"({g} = 'f' or {g} = 'n' and {byte('40')} % 2 = 0)"
+    middle = lambda values, more: f"array_join(transform(sequence(1, {more}), k -> {pick(values, '4 + 3 * k')}), '')"
+    given = f"""case when {cyr} then concat({pick(ON_C, 1)}, {middle(MID_C, f'1 + {n}')}, case when {female} then {pick(END_C['f'], 3)} else {pick(END_C['m'], 3)} end)
+      else concat({pick(ON, 1)}, {middle(MID, f'1 + {n}')}, case when {female} then {pick(END['f'], 3)} else {pick(END['m'], 3)} end) end"""
+    family = f"case when {cyr} then concat({pick(ON_C, 1)}, {middle(MID_C, f'1 + {n}')}, {pick(FAMILY_END_C, 3)}) else concat({pick(ON, 1)}, {middle(MID, f'1 + {n}')}, {pick(FAMILY_END, 3)}) end"
+    made = f"case {t} when 'ip' then {ip} when 'given' then {given} when 'family' then {family} else concat({before}, {swapped}, {after}) end"
+    step = f"transform(array(named_struct('head', {head}, 's', {stream})), y -> named_struct('out', {made}))"
     return f"transform({step}, p -> case when {t} = 'card' then {card} else p.out end)[0]"
 
 
 def found(docs: DataFrame) -> DataFrame:
-    """docs with ents: mentions in order as (t, c, e)."""
+    """docs with pattern, which takes in the document's own full names, and ents: its mentions in order as (b, p)."""
     hint = reduce(lambda a, b: a | b, [F.col("text").rlike(MARKS), *(F.col("text").contains(h) for h in HINTS)])
-    mentions = F.when(hint, F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    return docs.withColumn("ents", F.coalesce(mentions, F.array().cast("array<string>"))).withColumn("ents", F.expr(f"transform(transform(ents, e -> named_struct('t', {kind('e')}, 'e', e)), m -> named_struct('t', m.t, 'c', {canon('m.t', 'm.e')}, 'e', m.e))"))
+    none = F.array().cast("array<string>")
+    first = F.coalesce(F.when(hint, F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0))), none)
+    two = docs.withColumn("ents", first).withColumn("full", F.expr(f"""array_distinct(transform(filter(ents, e -> e rlike r'^(?:{HONORIFIC})\\.? [^ ]+ [^ ]+$' and {kind('e')} = 'name'), e -> concat({name_part('e', 2)}, ' ', {name_part('e', 3)})))"""))
+    own = F.concat(F.lit(PATTERN + r"|(?<!\p{L})(?:"), F.array_join("full", "|"), F.lit(r")(?![\p{L}'-])"))
+    two = two.withColumn("pattern", F.when(F.size("full") > 0, own).otherwise(F.lit(PATTERN)))
+    again = F.when(F.size("full") > 0, F.regexp_extract_all("text", F.col("pattern"), F.lit(0))).otherwise(F.col("ents"))
+    return two.withColumn("ents", again).drop("full").withColumn("ents", F.expr(f"transform(transform(ents, e -> named_struct('t', {kind('e')}, 'e', e)), m -> {mention('m')})"))
 
 
 def redraws(entities: DataFrame) -> DataFrame:
-    """(t, c, n): the entities that need a draw after the first, and which."""
+    """(t, c, n, g): the entities that need a draw after the first, and which, or whose mentions differ in gender."""
     draw = keep(entities.withColumn("n", F.lit(0)))
     real = draw.select("t", F.col("c").alias("out"))
     while True:
-        made = draw.withColumn("out", F.expr(surrogate("t", "c", "e", "n"))).withColumn("out", F.expr(canon("t", "out")))
+        made = draw.withColumn("out", F.expr(surrogate("t", "c", "e", "n", "g"))).withColumn("out", F.expr(canon("t", "out")))
         first = made.groupBy("t", "out").agg(F.min(F.struct("n", "c")).alias("first"), F.count(F.lit(1)).alias("k")).where("k > 1")
         late = made.join(first, ["t", "out"]).where("struct(n, c) > first").select("t", "c")
         taken = made.join(real, ["t", "out"], "left_semi").select("t", "c")
         again = keep(late.union(taken).distinct())
         if again.isEmpty():
-            return draw.where("n > 0").select("t", "c", "n")
-        draw = keep(draw.join(again.withColumn("hit", F.lit(1)), ["t", "c"], "left").select("t", "c", "e", (F.col("n") + F.coalesce("hit", F.lit(0))).cast("int").alias("n")))
+            return draw.where("n > 0 or mixed").select("t", "c", "n", "g")
+        draw = keep(draw.join(again.withColumn("hit", F.lit(1)), ["t", "c"], "left").select("t", "c", "e", "g", "mixed", (F.col("n") + F.coalesce("hit", F.lit(0))).cast("int").alias("n")))
+
+
+def entities_of(mentions: DataFrame) -> DataFrame:
+    """(t, c, e, g, mixed) per entity: a mention, the gender of most of its honorifics, whether mentions differ in it."""
+    one = mentions.groupBy("t", "c").agg(F.min("e").alias("e"), F.count_if(F.col("g") == "f").alias("f"), F.count_if(F.col("g") == "m").alias("m"), (F.min("g") != F.max("g")).alias("mixed"))
+    return one.select("t", "c", "e", F.when((F.col("f") >= F.col("m")) & (F.col("f") > 0), "f").when(F.col("m") > 0, "m").otherwise("n").alias("g"), "mixed")
 
 
 def replace_entities(docs: DataFrame) -> DataFrame:
     """doc_id, n_entities, text_safe per document."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     seen = found(own)
-    mentions = seen.select("doc_id", F.xxhash64("text").alias("h"), F.explode("ents").alias("x")).select("doc_id", "h", "x.*")
-    entities = mentions.groupBy("t", "c").agg(F.min("e").alias("e"))
-    late = keep(redraws(entities))
+    mentions = seen.select("doc_id", F.xxhash64("text").alias("h"), F.explode(F.flatten("ents.p")).alias("x")).select("doc_id", "h", "x.*")
+    late = keep(redraws(entities_of(mentions)))
     if late.isEmpty():
-        drawn = seen.withColumn("late", F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<int>")))
+        drawn = seen.withColumn("late", F.expr("cast(map() as map<string, struct<n: int, g: string>>)"))
     else:
-        some = mentions.join(late, ["t", "c"]).select("doc_id", "h", F.concat_ws("|", "t", "c").alias("k"), "n").distinct()
-        some = some.groupBy("doc_id", "h").agg(F.map_from_entries(F.collect_list(F.struct("k", "n"))).alias("late"))
-        drawn = seen.withColumn("h", F.xxhash64("text")).alias("a").join(some.alias("b"), F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.h") == F.col("b.h")), "left").select("a.doc_id", "a.text", "a.ents", "b.late")
-    return drawn.select("doc_id", F.size("ents").cast("long").alias("n_entities"), rebuilt().alias("text_safe"))
-
-
-def rebuilt() -> Column:
-    new = f"transform(transform(ents, m -> named_struct('t', m.t, 'c', m.c, 'e', m.e, 'n', coalesce(late[concat_ws('|', m.t, m.c)], 0))), m -> {surrogate('m.t', 'm.c', 'm.e', 'm.n').replace('m.s', 'y.s').replace('m.head', 'y.head').replace(', m -> named_struct(', ', y -> named_struct(')})"
-    pieces = F.split("text", PATTERN, -1)
-    joined = F.array_join(F.zip_with(pieces, F.concat(F.expr(new), F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")
-    return F.when(F.size("ents") > 0, joined).otherwise(F.col("text"))
+        some = mentions.select("doc_id", "h", "t", "c").join(late, ["t", "c"]).select("doc_id", "h", F.concat_ws("|", "t", "c").alias("k"), F.struct("n", "g").alias("v")).distinct()
+        some = some.groupBy("doc_id", "h").agg(F.map_from_entries(F.collect_list(F.struct("k", "v"))).alias("late"))
+        drawn = seen.withColumn("h", F.xxhash64("text")).alias("a").join(some.alias("b"), F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.h") == F.col("b.h")), "left").select("a.doc_id", "a.text", "a.ents", "a.pattern", "b.late")
+    # Each part with its draw and gender, then its surrogate.
+    told = "transform(m.p, w -> named_struct('t', w.t, 'c', w.c, 'e', w.e, 'n', coalesce(late[concat_ws('|', w.t, w.c)].n, 0), 'g', coalesce(late[concat_ws('|', w.t, w.c)].g, w.g)))"
+    new = f"transform(ents, m -> concat(m.b, array_join(transform({told}, v -> {surrogate('v.t', 'v.c', 'v.e', 'v.n', 'v.g')}), ' ')))"
+    safe = F.array_join(F.zip_with(F.expr("split(text, pattern, -1)"), F.expr(new), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    return drawn.select("doc_id", F.size("ents").cast("long").alias("n_entities"), F.when(F.size("ents") > 0, safe).otherwise(F.col("text")).alias("text_safe"))
