@@ -12,6 +12,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions
 
 from strataflow.llm import bpe, chat_pairs, decontaminate, graph, jaccard_join, language_id, license_scan, line_dedup, multi_index, substring_dedup, surrogates
 from strataflow.llm.queries import tokenizer_path
@@ -166,6 +167,18 @@ def test_line_dedup(spark):
     assert line_dedup.line_dedup(df.limit(0)).count() == 0
 
 
+def test_line_runs(spark):
+    """Maximal runs, a run that overlaps itself, null ids, repeated rows and very long documents."""
+    a, b = [f"a{i}" for i in range(70)], [f"b{i}" for i in range(9)]
+    texts = ["\n".join(a), "\n".join(["x", *a[5:40], "y", *b]), "\n".join([*b, "z", *a[38:60]]), "\n".join(["q"] * 50), "\n".join(f"u{i}" for i in range(30_000))]
+    docs = documents(spark, texts).select("doc_id", "text").union(spark.createDataFrame([(None, texts[0]), (0, texts[0])], "doc_id long, text string"))
+    own = docs.withColumn("t", functions.xxhash64("text"))
+    got = {r.doc_id: [tuple(x) for x in r.runs] for r in line_dedup.repeated_runs(own).collect()}
+    assert got == {1: [(1, 36)], 2: [(0, 9), (10, 32)], 3: [(1, 50)]}
+    rows = sorted((r.doc_id is None, r.doc_id or 0, r.n_lines, r.n_kept) for r in line_dedup.line_dedup(docs).collect())
+    assert rows == [(False, 0, 70, 70), (False, 0, 70, 70), (False, 1, 46, 11), (False, 2, 32, 1), (False, 3, 50, 1), (False, 4, 30_000, 30_000), (True, 0, 70, 70)]
+
+
 def test_decontamination(spark):
     rng = random.Random(9)
     items = [prose(rng, n, 3000) for n in (15, 22, 40, 59)] + ["", "too short"]
