@@ -318,3 +318,16 @@ def jaccard_join(docs: DataFrame, num: int = NUM, den: int = DEN, k: int = K) ->
     whole = whole.select("n", "d1", "d2", F.coalesce("component", "rep").alias("component_id"), (F.coalesce("w", F.lit(0)) + F.col("members") - 1).alias("n_links"))
     n_links = F.when(F.col("doc_id").isNotNull(), F.coalesce("n_links", F.lit(0)))
     return sets.join(whole, ["n", "d1", "d2"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), n_links.alias("n_links"))
+
+
+ORACLE = f"""
+with recursive own as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as words from documents),
+grams as (select distinct doc_id, array_to_string(words[i : i + {K - 1}], ' ') as gram from (select doc_id, words, unnest(range(1, greatest(len(words) - {K - 2}, 2))) as i from own where len(words) > 0)),
+sizes as (select doc_id, count(*) as n from grams group by doc_id),
+pairs as (select a.doc_id as x, b.doc_id as y, count(*) as c from grams a join grams b on a.gram = b.gram and a.doc_id != b.doc_id group by all),
+links as (select x, y from pairs join sizes s on s.doc_id = x join sizes t on t.doc_id = y where {DEN} * c >= {NUM} * (s.n + t.n - c)),
+reach(x, y) as (select x, y from links union select r.x, l.y from reach r join links l on r.y = l.x)
+select o.doc_id, coalesce(n, 0) as n_shingles, least(o.doc_id, coalesce((select min(y) from reach where x = o.doc_id), o.doc_id)) as component_id,
+  (select count(*) from links where x = o.doc_id) as n_links
+from own o left join sizes using (doc_id)
+"""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strataflow.llm import bpe, chat_pairs, decontaminate, jaccard_join, language_id, license_scan, line_dedup, multi_index, substring_dedup, surrogates
 from strataflow.llm.graph import read
@@ -17,7 +18,9 @@ def tokenizer_path() -> str:
 
 
 def op1_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat_pairs.preference_pairs(read(spark, sf_dir, "conversations"))
+    """Every conversation against its copy with another last answer; loss spans as text."""
+    pairs = chat_pairs.preference_pairs(chat_pairs.rejections(read(spark, sf_dir, "conversations")))
+    return pairs.withColumns({c: F.expr(chat_pairs.span_text(c)) for c in ("chosen_loss", "rejected_loss")})
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,4 +63,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_preference_pairs, op2_substring_dedup, op3_multi_index, op4_surrogates, op5_bpe_encode_decode, op6_language_id, op7_line_dedup, op8_license_scan, op9_jaccard_join, op10_decontamination)
 }
-ORACLES: dict[str, str] = {"op7_line_dedup": line_dedup.ORACLE}
+ORACLES: dict[str, str] = {"op1_preference_pairs": chat_pairs.ORACLE, "op2_substring_dedup": substring_dedup.ORACLE, "op7_line_dedup": line_dedup.ORACLE, "op9_jaccard_join": jaccard_join.ORACLE}

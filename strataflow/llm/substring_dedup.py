@@ -167,3 +167,13 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     spans = repeated_spans(known, window, gram)
     rest = own.where("doc_id is null").withColumn("spans", F.lit(None).cast(spans.schema["spans"].dataType))
     return strip_spans(known.join(spans, "doc_id", "left").unionByName(rest), window)
+
+
+ORACLE = f"""
+with own as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as words from documents),
+wins as (select doc_id, i, array_to_string(words[i : i + {WINDOW - 1}], ' ') as win from (select doc_id, words, unnest(range(1, len(words) - {WINDOW - 2})) as i from own where len(words) >= {WINDOW})),
+gone as (select distinct doc_id, unnest(range(i, i + {WINDOW})) as pos from (select *, count(*) over (partition by win) as n from wins) where n > 1),
+said as (select doc_id, unnest(words) as word, generate_subscripts(words, 1) as pos from own),
+kept as (select doc_id, count(g.pos) as n_removed, string_agg(word, ' ' order by s.pos) filter (where g.pos is null) as text from said s left join gone g using (doc_id, pos) group by doc_id)
+select o.doc_id, len(words) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(k.text, '')) as kept_sha256 from own o left join kept k using (doc_id)
+"""

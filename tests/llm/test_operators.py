@@ -15,7 +15,7 @@ import pytest
 from pyspark.sql import functions
 
 from strataflow.llm import bpe, chat_pairs, decontaminate, graph, jaccard_join, language_id, license_scan, line_dedup, multi_index, substring_dedup, surrogates
-from strataflow.llm.queries import tokenizer_path
+from strataflow.llm.queries import ORACLES, QUERIES, tokenizer_path
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id long, text string, n long, a string, spans string, row int"
@@ -416,12 +416,46 @@ def test_license_places(spark):
 
 def test_preference_pairs(spark):
     rows = [(0, 0, "user", "hi"), (0, 1, "assistant", "yes"), (1, 0, "user", "hi"), (1, 1, "assistant", "no"), (1, 2, "user", None), (2, 0, "user", "q"), (3, 0, "user", "q"), (4, 0, "user", "alone"), (None, 0, "user", "x"), (1, 1, "assistant", "no"), (6, None, None, None), (7, 0, "assistant", "z")]
-    got = {r.pair_id: r for r in chat_pairs.preference_pairs(spark.createDataFrame([(*r, 1) for r in rows], "conv_id long, turn long, role string, text string, pair_id int")).collect()}
+    turns = spark.createDataFrame([(*r, 1) for r in rows], "conv_id long, turn long, role string, text string, upto int")
+    pairs = turns.where("conv_id is not null").selectExpr("conv_id", "floor(conv_id / 2) pair_id", "conv_id % 2 = 0 is_chosen").distinct()
+    got = {r.pair_id: r for r in chat_pairs.preference_pairs(turns, pairs).collect()}
     assert got.keys() == {0, 1, 3}
     p = got[0]
     assert (p.n_prompt_turns, p.prompt) == (1, "<|user|>\nhi<|end|>\n") and p.chosen == "<|assistant|>\nyes<|end|>\n"
     assert [p.chosen[s.start : s.stop] for s in p.chosen_loss] == ["yes<|end|>"] and [p.rejected[s.start : s.stop] for s in p.rejected_loss] == ["no<|end|>"]
     assert got[1].chosen == got[1].rejected == "" and got[1].chosen_loss == [] and got[3].n_prompt_turns == 0
+    assert chat_pairs.preference_pairs(turns.limit(0), pairs).count() == chat_pairs.preference_pairs(chat_pairs.rejections(turns.limit(0))).count() == 0
+
+
+def test_preference_pairs_brute(spark):
+    """Pairs of random conversations that share prefixes, a long one among them, against a plain version."""
+    rng = random.Random(13)
+    say = lambda: "".join(rng.choices("ab \n|🙂", k=rng.randrange(4)))
+    base = [[(rng.choice(["user", "assistant", "tool"]), say()) for _ in range(rng.randrange(1, 7))] for _ in range(6)] + [[("assistant" if i % 2 else "user", f"m{i}") for i in range(4000)]]
+    convs = {2 * i + s: [*b[: rng.randrange(len(b) + 1)], *((("assistant", say()), ("user", "x")) if s or not b else b[-1:])] for i, b in enumerate(base * 3) for s in (0, 1)}
+    rows = [(c, t, *x) for c, turns in convs.items() for t, x in enumerate(turns)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r.pair_id: r for r in chat_pairs.preference_pairs(turns, turns.selectExpr("conv_id", "conv_id div 2 pair_id", "conv_id % 2 = 0 is_chosen").distinct()).collect()}
+    for p in range(len(convs) // 2):
+        a, b = convs[2 * p], convs[2 * p + 1]
+        k = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+        shown = lambda s: "".join(f"<|{r}|>\n{t}<|end|>\n" for r, t in s)
+        assert (got[p].n_prompt_turns, got[p].prompt, got[p].chosen, got[p].rejected) == (k, shown(a[:k]), shown(a[k:]), shown(b[k:]))
+        for side, text, spans in ((a, got[p].chosen, got[p].chosen_loss), (b, got[p].rejected, got[p].rejected_loss)):
+            assert [text[s.start : s.stop] for s in spans] == [t + "<|end|>" for r, t in side[k:] if r == "assistant"]
+    assert any(r.n_prompt_turns for r in got.values())
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_queries_match_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "conversations"):
+        con.sql(f"create view {t} as select * from '/root/testdata/sf0.001/{t}.parquet'")
+    got, want = QUERIES[name](spark, "/root/testdata/sf0.001"), con.sql(ORACLES[name])
+    cols = sorted(got.columns)
+    assert cols == sorted(want.columns)
+    rows = sorted(tuple(r[c] for c in cols) for r in got.collect())
+    assert rows == sorted(con.sql(f"select {', '.join(cols)} from ({ORACLES[name]})").fetchall()) and rows
 
 
 def test_language_rejection(spark):
