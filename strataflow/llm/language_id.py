@@ -1,13 +1,15 @@
 """Operator 6: language identification by nearest centroid.
 
-A text is the vector of its hashed byte 1- to 3-gram counts (of letters and single blanks), damped by log1p, weighted by inverse document frequency
-and scaled to length 1. Each language has up to CLUSTERS centroids (spherical k-means over its training vectors); the
-prediction is the language of the centroid of greatest cosine. A text is rejected where that cosine is below SHARE of
-what all but one in a hundred of the language's training texts reach, or where it has no letter. Very short texts of a
-known language stay far above that; other scripts and noise fall below.
+A text is the vector of its hashed byte 1- to 3-gram counts (of letters and single blanks), damped by log1p, weighted by
+inverse document frequency and scaled to length 1. Each language has up to CLUSTERS centroids (spherical k-means over its
+training vectors); the prediction is the language of the centroid of greatest cosine. A text is rejected where that
+cosine is below SHARE of what is usual at its length, or where it has no letter: short texts are far from any centroid
+by nature, a long one is so if it is noise, another script, or one word over and over.
 
-Fitting reads at most PER_LANG labelled rows of a language, those of least hash of doc_id, and their vectors are made
-by the executors; idf belongs to the classifier and comes from the same rows. The rest covers all rows.
+Fitting reads at most PER_LANG labelled rows of a language, those of least hash of doc_id (fewer where languages are so
+many that there would be over SAMPLE rows in all), and their vectors are made by the executors; idf belongs to the
+classifier and comes from the same rows. What is usual at a length is the median over pieces of these texts, one a text,
+of lengths from 4 to 2,048 bytes. The rest covers all rows and whole texts.
 
 Null texts and texts without a letter are `und` with score 0 and rejected. Rows whose lang is null never train.
 Without training rows every text is `und` and rejected. Repeated rows give repeated rows; other columns stay out.
@@ -17,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -25,9 +28,9 @@ from pyspark.sql import functions as F
 
 from strataflow.llm.textops import slices, text_bytes
 
-DIM, PER_LANG, CLUSTERS, ROUNDS, SHARE = 4096, 400, 4, 12, 0.2
-#: Distinct languages that a model takes; the most frequent ones, should there be more.
-LANGS = 200
+DIM, PER_LANG, CLUSTERS, ROUNDS, SHARE, SAMPLE = 4096, 400, 4, 12, 0.5, 80_000
+#: Lengths in bytes of the pieces that tell what cosine is usual.
+PIECES = [4 << i for i in range(10)]
 #: Bytes as the n-grams see them: ASCII letters in lower case, other ASCII as one blank, the rest as it is.
 SEEN = np.array([b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b > 127 else 32 for b in range(256)], np.uint8)
 
@@ -67,7 +70,13 @@ class Model:
     idf: np.ndarray
     centroids: np.ndarray
     langs: list[str]
-    least: np.ndarray
+    #: Logarithms of text lengths, rising, and the cosine that is usual there.
+    lengths: np.ndarray
+    usual: np.ndarray
+
+    def least(self, sizes: np.ndarray) -> np.ndarray:
+        """The cosine below which texts of these lengths are rejected."""
+        return SHARE * np.interp(np.log(np.maximum(sizes, 1)), self.lengths, self.usual)
 
 
 def kmeans(x: np.ndarray, k: int, rounds: int) -> np.ndarray:
@@ -84,47 +93,59 @@ def kmeans(x: np.ndarray, k: int, rounds: int) -> np.ndarray:
     return c
 
 
+def pieces(texts: pa.Array, ids: list[str]) -> tuple[list[bytes], list[int]]:
+    """Of each text its first bytes, so many as its id picks, or all if it is shorter; no character is cut."""
+    out = []
+    for text, k in zip(texts.to_pylist(), ids, strict=True):
+        out.append(text.encode("utf-8", "surrogatepass")[: PIECES[crc32(k.encode()) % len(PIECES)]].decode("utf-8", "ignore"))
+    return out, [len(t.encode()) for t in out]
+
+
 def fit(labelled: DataFrame, per_lang: int = PER_LANG, clusters: int = CLUSTERS) -> Model:
-    """labelled: doc_id, text, lang. The bound on what reaches the driver: LANGS * per_lang vectors of DIM bytes-sized
-    counts, packed as float16."""
+    """labelled: doc_id, text, lang. The bound on what reaches the driver: per_lang rows a language and SAMPLE rows in
+    all, two vectors of DIM float16 each; at least `clusters` rows a language."""
     rows = labelled.where("text is not null and lang is not null").select("doc_id", "text", "lang")
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGS).collect()
+    sizes = rows.groupBy("lang").count().collect()  # one row a language
+    few = max(clusters, min(per_lang, SAMPLE // max(1, len(sizes))))
     # Only hashes below a share that holds four times the rows asked for are ranked, so a language of a third of all
     # rows is no large group.
-    h = F.xxhash64(F.col("doc_id").cast("string"))
-    most = F.create_map(*[x for r in sizes for x in (F.lit(r["lang"]), F.lit(min(1.0, 4.0 * per_lang / r["count"])))]) if sizes else F.lit(None).cast("map<string,double>")
-    few = rows.select("doc_id", "lang").where(F.pmod(h, F.lit(1 << 40)) <= F.element_at(most, F.col("lang")) * float(1 << 40))
-    order = Window.partitionBy("lang").orderBy(F.pmod(h, F.lit(1 << 40)), "doc_id")
-    sample = few.withColumn("at", F.row_number().over(order)).where(F.col("at") <= per_lang).select("doc_id", "lang")
-    # At most LANGS * per_lang ids: small enough to send to every task.
+    h = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 40))
+    share = F.create_map(*[x for r in sizes for x in (F.lit(r["lang"]), F.lit(min(1.0, 4.0 * few / r["count"])))]) if sizes else F.lit(None).cast("map<string,double>")
+    ranked = rows.select("doc_id", "lang").where(h <= F.element_at(share, F.col("lang")) * float(1 << 40))
+    order = Window.partitionBy("lang").orderBy(h, "doc_id")
+    sample = ranked.withColumn("at", F.row_number().over(order)).where(F.col("at") <= few).select("doc_id", "lang")
+    # At most SAMPLE ids: small enough to send to every task.
     picked = rows.join(F.broadcast(sample), ["doc_id", "lang"], "left_semi").select("doc_id", "text", "lang")
+    half = lambda x: pa.array([v.astype(np.float16).tobytes() for v in x], pa.binary())
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in (x.slice(lo, 256) for x in slices(batch) for lo in range(0, x.num_rows, 256)):
                 if part.num_rows:
-                    yield pa.RecordBatch.from_arrays([part.column(2), pa.array([v.astype(np.float16).tobytes() for v in counts(part.column(1))], pa.binary()), part.column(0).cast(pa.string())], ["lang", "v", "k"])
+                    ids = part.column(0).cast(pa.string())
+                    short, size = pieces(part.column(1), ids.to_pylist())
+                    yield pa.RecordBatch.from_arrays([part.column(2), half(counts(part.column(1))), ids, half(counts(pa.array(short, pa.string()))), pa.array(size, pa.int32())], ["lang", "v", "k", "p", "n"])
 
-    got = sorted(map(tuple, picked.mapInArrow(vectors, "lang string, v binary, k string").collect()), key=lambda r: (r[0], r[2], r[1]))
+    got = sorted(map(tuple, picked.mapInArrow(vectors, "lang string, v binary, k string, p binary, n int").collect()), key=lambda r: (r[0], r[2], r[1]))
     if not got:
-        return Model(np.ones(DIM, np.float32), np.zeros((0, DIM), np.float32), [], np.zeros(0, np.float32))
-    x = np.stack([np.frombuffer(v, np.float16).astype(np.float32) for _, v, _ in got])
+        return Model(np.ones(DIM, np.float32), np.zeros((0, DIM), np.float32), [], np.zeros(1), np.zeros(1))
+    whole = lambda i: np.stack([np.frombuffer(r[i], np.float16).astype(np.float32) for r in got])
+    x = whole(1)
     idf = np.log((1 + len(x)) / (1 + (x > 0).sum(axis=0))).astype(np.float32) + 1
-    x = unit(x * idf)
-    label = np.array([lang for lang, _, _ in got])
-    cents, names, least = [], [], []
+    x, p, size = unit(x * idf), unit(whole(3) * idf), np.array([r[4] for r in got])
+    label = np.array([r[0] for r in got])
+    cents, names, near = [], [], np.zeros(len(got))
     for lang in sorted(set(label.tolist())):
-        own = x[label == lang]
-        c = kmeans(own, clusters, ROUNDS)
-        best = own @ c.T
-        which = best.argmax(axis=1)
+        c = kmeans(x[label == lang], clusters, ROUNDS)
+        near[label == lang] = (p[label == lang] @ c.T).max(axis=1)
         cents.append(c)
         names += [lang] * len(c)
-        # Singleton clusters say nothing of distances; the language's first percentile covers its centroids.
-        big = np.bincount(which, minlength=len(c))[which] > 1
-        own_cos = best.max(axis=1)[big] if big.any() else best.max(axis=1)
-        least += [SHARE * float(np.quantile(own_cos, 0.01))] * len(c)
-    return Model(idf, np.concatenate(cents).astype(np.float32), names, np.array(least, np.float32))
+    # Medians by octave of length; longer pieces are never farther off than shorter ones.
+    octave = np.log2(np.maximum(size, 1)).astype(int)
+    at = [o for o in sorted(set(octave.tolist()))]
+    usual = np.maximum.accumulate([np.median(near[octave == o]) for o in at])
+    lengths = np.array([np.log(np.maximum(size[octave == o], 1)).mean() for o in at])
+    return Model(idf, np.concatenate(cents).astype(np.float32), names, lengths, usual)
 
 
 def predict(docs: DataFrame, model: Model, carry: list[str]) -> DataFrame:
@@ -143,10 +164,11 @@ def predict(docs: DataFrame, model: Model, carry: list[str]) -> DataFrame:
                     x = unit(counts(piece) * m.idf)
                     cos = x @ m.centroids.T
                     best = cos.argmax(axis=1)
+                    least = m.least(np.diff(text_bytes(piece)[1]))
                     top = np.clip(cos[np.arange(len(best)), best], 0, 1)
                     for i, c in enumerate(best.tolist()):
                         if letters[lo + i]:
-                            names[lo + i], score[lo + i], refused[lo + i] = m.langs[c], float(top[i]), bool(top[i] < m.least[c])
+                            names[lo + i], score[lo + i], refused[lo + i] = m.langs[c], float(top[i]), bool(top[i] < least[i])
                 yield pa.RecordBatch.from_arrays([*part.columns[2:], pa.array(names, pa.string()), pa.array(score, pa.float64()), pa.array(refused, pa.bool_())], [*carry, "lang_pred", "score", "rejected"])
 
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}

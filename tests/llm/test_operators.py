@@ -461,6 +461,24 @@ def test_queries_match_sql(spark, name):
 def test_language_rejection(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
     model = language_id.fit(docs)
-    assert language_id.predict(docs, model, ["doc_id"]).where("rejected").count() == 0
-    odd = spark.createDataFrame([(1, "こんにちは世界"), (2, "xq zzkw jjqx vvkz qqqx"), (3, "the"), (4, None)], "doc_id long, text string")
-    assert {r.doc_id for r in language_id.predict(odd, model, ["doc_id"]).where("rejected").collect()} == {1, 2, 4}
+    refused = language_id.predict(docs, model, ["doc_id", "text"]).where("rejected").collect()
+    assert len(refused) <= 10 and all(Counter(r.text.split()).most_common(1)[0][1] > len(r.text.split()) / 3 for r in refused if len(r.text) > 300)
+    word = "Ñíue " * 1500
+    odd = spark.createDataFrame([(1, "こんにちは世界"), (2, "xq zzkw jjqx vvkz qqqx"), (3, "the"), (4, None), (5, word), (6, "In " * 700)], "doc_id long, text string")
+    assert {r.doc_id for r in language_id.predict(odd, model, ["doc_id"]).where("rejected").collect()} == {1, 2, 4, 5, 6}
+
+
+def test_language_edges(spark):
+    """Clashing columns, long and repeated texts, many languages, one training row, an empty table."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang", functions.lit(1).alias("score"), functions.lit("x").alias("lang_pred"), functions.lit(0).alias("rejected"))
+    rows = language_id.identify(docs.union(docs.limit(5))).collect()
+    assert len(rows) == docs.count() + 5 and all(isinstance(r.score, float) and isinstance(r.rejected, bool) for r in rows)
+    assert language_id.identify(docs.limit(0)).count() == 0
+    own = [(i, f"{chr(97 + i // 26)}{chr(97 + i % 26)} " * 40, f"l{i}") for i in range(300) for _ in (0, 1)]
+    many = spark.createDataFrame(own, "doc_id long, text string, lang string")
+    model = language_id.fit(many)
+    assert len(set(model.langs)) == 300
+    assert all(r.lang_pred == r.lang for r in language_id.predict(many, model, ["lang"]).collect())
+    one = language_id.fit(many.limit(1))
+    long = spark.createDataFrame([(1, own[0][1] * 20_000)], "doc_id long, text string")
+    assert [(r.lang_pred, r.rejected) for r in language_id.predict(long, one, ["doc_id"]).collect()] == [("l0", False)]
