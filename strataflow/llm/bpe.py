@@ -1,9 +1,9 @@
 """Operator 5: byte-level BPE by backtracking over longest matches, and decoding with an offset table.
 
-An Aho-Corasick automaton of the vocabulary gives the longest token at a place. A token may follow another only if the
-merges would not have joined across them; that is read from a table of compatible pairs, filled as pairs occur. Where
-no shorter token fits, the last token is taken back and the place is closed, so each place is visited a bounded number
-of times. Pieces are cut beforehand by the tokenizer's own pattern, as the library does.
+One walk of an Aho-Corasick automaton of the vocabulary over a piece gives the longest token at each place. A token may
+follow another only if the merges would not have joined across them; that is read from a table of compatible pairs,
+filled as pairs occur. Where no shorter token fits, the last token is taken back and the place is closed, so each place
+is visited a bounded number of times. Pieces are cut beforehand by the tokenizer's own pattern, as the library does.
 
 Nulls are empty texts: no ids, empty decoding. Repeated rows give repeated rows; other columns are left out.
 """
@@ -107,9 +107,9 @@ class Bpe:
         """Ids of one piece. Each token of the vocabulary is what merging its own bytes gives."""
         if data in self.id_of:
             return [self.id_of[data]]
-        text, n = data.decode("latin-1"), len(data)
+        n, longest = len(data), self.longest(data)
         closed, out, at = bytearray(n + 1), [], 0
-        token = self.longest(text, 0)
+        token = longest[0] if n else None
         while token is not None:
             while token is not None:
                 end = at + len(self.bytes_of[token])
@@ -123,19 +123,17 @@ class Bpe:
                 continue
             out.append(token)
             at = end
-            token = self.longest(text, at) if at < n else None
+            token = longest[at] if at < n else None
         return out
 
-    def longest(self, text: str, at: int) -> int:
-        part = text[at : at + self.longest_token()]
-        raw = part[: self.trie.longest_prefix(part)].encode("latin-1")
-        while raw not in self.id_of:  # a path in the automaton may end between tokens
-            raw = raw[:-1]
-        return self.id_of[raw]
-
-    @lru_cache(None)  # noqa: B019  one object a worker
-    def longest_token(self) -> int:
-        return max(map(len, self.id_of))
+    def longest(self, data: bytes) -> list[int]:
+        """The longest token that starts at each byte: one walk of the automaton, which names all tokens by their end."""
+        size = [1] * len(data)
+        for end, n in self.trie.iter(data.decode("latin-1")):
+            start = end - n + 1
+            if n > size[start]:
+                size[start] = n
+        return [self.id_of[data[at : at + n]] for at, n in enumerate(size)]
 
     def coded(self, piece: str) -> bytes:
         got = self.pieces.get(piece)
