@@ -1,20 +1,25 @@
-"""Operator 2: repeated word windows by relative Lempel-Ziv factors over anchored reference blocks.
+"""Operator 2: words in repeated windows, by counting windows over anchored blocks.
 
-The corpus is its own reference. Blocks are cut by content: in every window of `window` words the k-word gram of least
-fingerprint is its anchor, so equal windows carry equal anchors wherever they stand, and the windows of one anchor
-form one block (its context). Blocks are indexed by anchor; a document is factored against all blocks of its anchors:
+This stands in for a relative Lempel-Ziv parse, whose greedy factors cannot give the result asked for: a window counts
+if it starts anywhere else, whichever factors it lies across, and a longest match in one block hides shorter ones in
+others, so every window near a factor's border has to be looked up by itself anyway. What is kept of the parse is its
+division of labour: long stretches that stand elsewhere are decided as a whole, and only what is around their ends is
+looked at window by window.
 
-* a context that stands elsewhere as a whole extends the factor over all its windows;
-* where it doesn't, but the anchor stands elsewhere, a factor begins or ends inside it. These contexts, and one copy
-  of each differing context of such anchors, are compared window by window: the check at factor boundaries.
+Blocks are cut by content: in every window of `window` words the k-word gram of least fingerprint is its anchor, so equal
+windows carry equal anchors wherever they stand, and the windows of one anchor at one place form its context.
+
+* A context that stands elsewhere as a whole is repeated with all its windows.
+* Where it doesn't, but the anchor stands elsewhere, a repeated stretch may begin or end inside it. These contexts, and
+  one copy of each differing context of such anchors, are compared window by window.
 
 Every window belongs to exactly one context, so both steps together decide each window. All counts are aggregations
 that combine before their shuffle: a passage in a third of all documents is a count, never a group in one task.
 
 Equality is that of 128 bits (64 of the anchor and 64 of the context or window).
 Nulls and empty texts have no words. Texts shorter than a window lose nothing. Repeated rows count as documents of
-their own and so lose all their windows, if doc_id differs; doc_id identifies a document and may not be repeated; rows of a null
-doc_id keep all their words. Other columns are left out.
+their own and so lose all their windows, if doc_id differs; doc_id identifies a document and may not be repeated; rows
+of a null doc_id keep all their words. Other columns are left out.
 """
 
 from __future__ import annotations
