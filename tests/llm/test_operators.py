@@ -414,6 +414,35 @@ def test_license_places(spark):
     assert [(r.doc_id, r.template) for r in own] == [(4, "zorba")]
 
 
+def test_license_brute(spark):
+    """Against blocks at every word of the text: notices whole, wrapped, spaced, with words left out, put in or changed."""
+    rng, scanner = random.Random(14), license_scan.Scanner(license_scan.TEMPLATES)
+    texts = []
+    for name in [*license_scan.TEMPLATES] * 3:
+        said = license_scan.TEMPLATES[name].split()
+        for _ in range(rng.randrange(1 + len(said) // 12)):
+            at = rng.randrange(len(said))
+            said[at : at + rng.randrange(2)] = [rng.choice(["other", "license", "copy", "the"])] * rng.randrange(2)
+        head = f"{prose(rng, rng.randrange(5))}{rng.choice([' ', chr(10), '. '])}".lstrip(" ")
+        texts.append(head + rng.choice([" ", "\n", "   ", "\n * "]).join(said) + f". {prose(rng, 6)}")
+    every = license_scan.Scanner(license_scan.TEMPLATES)
+    every.starts = lambda said: {(k, s) for k in every.words for s in range(len(said))}
+    want = {i: [(r[0], r[1], r[3]) for r in every.scan(t)] for i, t in enumerate(texts)}
+    got = {i: [(r[0], r[1], r[3]) for r in scanner.scan(t)] for i, t in enumerate(texts)}
+    assert got == want and sum(map(len, want.values())) >= len(texts) * 0.8
+    rows = sorted((r.doc_id, r.line, r.template, r.matched) for r in license_scan.licenses(documents(spark, texts)).collect())
+    assert rows == sorted((i, *r) for i, v in want.items() for r in v)
+
+
+def test_license_edges(spark):
+    """Very long texts, repeated rows and notices, an empty table."""
+    mit = license_scan.TEMPLATES["MIT-text"]
+    texts = ["lorem ipsum dolor sit amet. " * 40_000 + mit, f"{mit}\n{mit}", "x"]
+    docs = documents(spark, texts).union(documents(spark, texts[1:2]).selectExpr("1L", "text", "n", "a", "spans", "row"))
+    got = Counter((r.doc_id, r.line, r.template) for r in license_scan.licenses(docs).collect())
+    assert got == {(0, 0, "MIT-text"): 1, (1, 0, "MIT-text"): 2, (1, 1, "MIT-text"): 2} and license_scan.licenses(docs.limit(0)).count() == 0
+
+
 def test_preference_pairs(spark):
     rows = [(0, 0, "user", "hi"), (0, 1, "assistant", "yes"), (1, 0, "user", "hi"), (1, 1, "assistant", "no"), (1, 2, "user", None), (2, 0, "user", "q"), (3, 0, "user", "q"), (4, 0, "user", "alone"), (None, 0, "user", "x"), (1, 1, "assistant", "no"), (6, None, None, None), (7, 0, "assistant", "z")]
     turns = spark.createDataFrame([(*r, 1) for r in rows], "conv_id long, turn long, role string, text string, upto int")
