@@ -2,19 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strataflow.session import shared_folder
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names; a temporary one of this machine only where the setting is missing
-    (local mode, tests)."""
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="strataflow-"))
-    return sc._jsc.sc().getCheckpointDir().get()
+#: Edges of one node that go to one task of a round; a hub's are dealt over as many parts as it needs.
+SPLIT = 256
 
 
 def keep(df: DataFrame) -> DataFrame:
@@ -26,22 +20,29 @@ def keep(df: DataFrame) -> DataFrame:
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, component): the smallest node that each node of edges (a, b) reaches.
 
-    Rounds of minimum over neighbours, from the third on with a jump to the label's own label; the aggregations combine before their
-    shuffle, and AQE splits a hub's rows in the joins. Ends when no label changes. Null nodes take no part; loops and
-    repeated edges have no effect; no edges give no rows.
+    Rounds of minimum over neighbours, from the third on with a jump to the label's own label; the aggregations combine
+    before their shuffle, and a hub's edges are dealt over parts, each with a copy of its label, so that no task holds
+    them all. Ends when no label changes. Null nodes take no part; loops and repeated edges have no effect; no edges give
+    no rows.
     """
     edges = edges.where("a is not null and b is not null and a != b").select("a", "b")
-    both = keep(edges.union(edges.select("b", "a")).toDF("a", "b").distinct())
-    labels = keep(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("label")))
+    both = edges.union(edges.select("b", "a")).toDF("a", "b").distinct()
+    degree = F.ceil(F.count(F.lit(1)) / SPLIT).cast("int").alias("parts")
+    # Both directions are in the edges, so a node's own rows are as many as those that ask for its label.
+    labels = keep(both.groupBy("a").agg(F.min("b").alias("m"), degree).select(F.col("a").alias("node"), F.least("a", "m").alias("label"), "parts"))
+    hubs = labels.where("parts > 1").select(F.col("node").alias("b"), "parts")
+    part = F.coalesce(F.pmod(F.xxhash64("a"), F.col("parts")), F.lit(0)).cast("int").alias("part")
+    both = keep(both.join(hubs, "b", "left").select("a", "b", part))
     for i in range(rounds):
-        near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("n"))
-        new = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "n").alias("label"))
+        told = labels.select(F.col("node").alias("b"), "label", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+        near = both.join(told, ["b", "part"]).groupBy(F.col("a").alias("node")).agg(F.min("label").alias("n"))
+        new = labels.join(near, "node").select("node", "parts", F.col("label").alias("old"), F.least("label", "n").alias("label"))
         if i > 1:  # stars have settled by now; chains are halved by jumps
             jump = new.select(F.col("node").alias("label"), F.col("label").alias("up"))
-            new = new.join(jump, "label").select("node", "old", F.least("label", "up").alias("label"))
+            new = new.join(jump, "label").select("node", "parts", "old", F.least("label", "up").alias("label"))
         new = keep(new)
         changed = new.where("old != label").limit(1).count()
-        labels = new.select("node", "label")
+        labels = new.select("node", "label", "parts")
         if not changed:
             return labels.select("node", F.col("label").alias("component"))
     raise RuntimeError(f"components did not settle in {rounds} rounds")

@@ -3,7 +3,9 @@
 1. Each document becomes its set of distinct k-word shingles (64-bit fingerprints). Documents of equal sets are one
    class, held by its smallest doc_id; only classes go on.
 2. Shingles are dealt by fingerprint to shards as packed arrays; each shard finds the shingles of two documents or
-   more and their frequency. A class with fewer shared shingles than the threshold asks for links with nothing and ends here.
+   more and their frequency. Hot shingles are known beforehand, from the counts of the first pass: they are HOT at most,
+   whatever the input, all with two HOT-th parts of all shingles among them. They are dealt by document instead and
+   take that pass's count as their frequency, which only orders them, so no shard holds all documents of one. A class with fewer shared shingles than the threshold asks for links with nothing and ends here.
 3. Sets are put in one global order, rare shingles first. Linked sets share a shingle among the first
    n - ceil(t n) + 1 of each; classes that share one there are joined into candidate groups (components of
    star-shaped edges, never all pairs).
@@ -31,19 +33,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataflow.llm.graph import components, keep
-from strataflow.llm.textops import Words, shingle_sets, signed, slices
+from strataflow.llm.textops import Words, mix, shingle_sets, signed, slices
 
 K, NUM, DEN = 5, 75, 100
 #: Shingles that one task of the tree join holds for a side.
 LIMIT = 2_000_000
 #: Shingles gathered before packed arrays are sent, and characters of text for one shard.
 FLUSH, SHARD_CHARS = 1_000_000, 12_000_000
+#: Hot shingles: those counted for one HOT-th part of all shingles at least, so there are no more than so many.
+HOT = 200_000
 
 
 def set_rows(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, n, d1, d2): size and digest of each document's set."""
+    """(doc_id, n, d1, d2, g, c): size and digest of each document's set; and, with g, shingles that make up a HOT-th
+    part of a flush of them, with their count c in it. Summed over flushes, the count of a shingle falls short of its
+    documents by less than a HOT-th part of all shingles."""
+
+    def heavy(held: list[np.ndarray]) -> pa.RecordBatch:
+        g, c = np.unique(np.concatenate(held), return_counts=True)
+        much = c >= max(2, -(-sum(map(len, held)) // HOT))
+        none = pa.nulls(int(much.sum()), pa.int64())
+        return pa.RecordBatch.from_arrays([none] * 4 + [pa.array(signed(g[much])), pa.array(c[much].astype(np.int64))], ["doc_id", "n", "d1", "d2", "g", "c"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count = [], 0
         for batch in batches:
             for part in slices(batch):
                 row, h = shingle_sets(Words(part.column(1), lower=True), k)
@@ -52,30 +65,56 @@ def set_rows(docs: DataFrame, k: int) -> DataFrame:
                 np.cumsum(h, out=sums[0, 1:])
                 np.cumsum((h ^ (h >> np.uint64(29))) * np.uint64(0x9FB21C651E98DF25) ^ (h >> np.uint64(32)), out=sums[1, 1:])
                 d = sums[:, edge[1:]] - sums[:, edge[:-1]]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(edge)), pa.array(signed(np.ascontiguousarray(d[0]))), pa.array(signed(np.ascontiguousarray(d[1])))], ["doc_id", "n", "d1", "d2"])
-
-    return docs.mapInArrow(run, "doc_id long, n long, d1 long, d2 long")
-
-
-def packed(docs: DataFrame, k: int, shards: int) -> DataFrame:
-    """(shard, docs, sizes, counts, grams): per shard, documents and the fingerprints of theirs that fall in it."""
-
-    def send(held: list) -> Iterator[pa.RecordBatch]:
-        doc, size, h = (np.concatenate(x) for x in zip(*held, strict=True))
-        shard = (h >> np.uint64(44)).astype(np.int64) % shards
+                none = pa.nulls(part.num_rows, pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(edge)), pa.array(signed(np.ascontiguousarray(d[0]))), pa.array(signed(np.ascontiguousarray(d[1]))), none, none], ["doc_id", "n", "d1", "d2", "g", "c"])
+                held.append(h)
+                count += len(h)
+                if count >= FLUSH:
+                    yield heavy(held)
+                    held, count = [], 0
+        if count:
+            yield heavy(held)
+
+    return docs.mapInArrow(run, "doc_id long, n long, d1 long, d2 long, g long, c long")
+
+
+def hot_shingles(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Hot shingles, rising, and their counts; HOT at most."""
+    total = rows.agg(F.sum("n")).first()[0] or 0
+    found = rows.where("g is not null").groupBy("g").agg(F.sum("c").alias("c")).where(F.col("c") >= max(2.0, total / HOT)).toArrow()
+    g, c = found.column("g").to_numpy().astype(np.int64).view(np.uint64), found.column("c").to_numpy().astype(np.int64)
+    order = np.argsort(g)
+    return g[order], c[order]
+
+
+def packed(docs: DataFrame, k: int, shards: int, hot: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """(shard, docs, sizes, counts, grams, dfs): per shard, documents and the fingerprints of theirs that fall in it;
+    dfs only for hot shingles, which are in shards by document, from `shards` on."""
+    told = docs.sparkSession.sparkContext.broadcast(hot)
+
+    def send(doc: np.ndarray, size: np.ndarray, h: np.ndarray, shard: np.ndarray, df: np.ndarray | None) -> Iterator[pa.RecordBatch]:
         order = np.argsort(shard, kind="stable")
         doc, size, h, shard = doc[order], size[order], h[order], shard[order]
-        edge = np.searchsorted(shard, np.arange(shards + 1))
-        for lo in range(0, shards, 256):
-            rows: list[list] = [[], [], [], [], []]
-            for s in range(lo, min(shards, lo + 256)):
-                i, j = int(edge[s]), int(edge[s + 1])
-                if j > i:
-                    first = np.flatnonzero(np.append(True, doc[i + 1 : j] != doc[i : j - 1]))
-                    for col, x in zip(rows, (s, doc[i:j][first].tobytes(), size[i:j][first].astype(np.int32).tobytes(), np.diff(np.append(first, j - i)).astype(np.int32).tobytes(), h[i:j].tobytes()), strict=True):
-                        col.append(x)
-            if rows[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int32()), *(pa.array(x, pa.binary()) for x in rows[1:])], ["shard", "docs", "sizes", "counts", "grams"])
+        df = df[order] if df is not None else None
+        edge = np.flatnonzero(np.append(np.append(True, shard[1:] != shard[:-1]), True)) if len(shard) else np.zeros(1, np.int64)
+        for lo in range(0, len(edge) - 1, 256):
+            rows: list[list] = [[], [], [], [], [], []]
+            for i, j in zip(edge[:-1][lo : lo + 256].tolist(), edge[1:][lo : lo + 256].tolist(), strict=True):
+                first = np.flatnonzero(np.append(True, doc[i + 1 : j] != doc[i : j - 1]))
+                for col, x in zip(rows, (int(shard[i]), doc[i:j][first].tobytes(), size[i:j][first].astype(np.int32).tobytes(), np.diff(np.append(first, j - i)).astype(np.int32).tobytes(), h[i:j].tobytes(), df[i:j].tobytes() if df is not None else None), strict=True):
+                    col.append(x)
+            yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int32()), *(pa.array(x, pa.binary()) for x in rows[1:])], ["shard", "docs", "sizes", "counts", "grams", "dfs"])
+
+    def both(held: list) -> Iterator[pa.RecordBatch]:
+        grams, counts = told.value
+        doc, size, h = (np.concatenate(x) for x in zip(*held, strict=True))
+        at = np.minimum(np.searchsorted(grams, h), max(0, len(grams) - 1))
+        is_hot = grams[at] == h if len(grams) else np.zeros(len(h), bool)
+        cold = ~is_hot
+        yield from send(doc[cold], size[cold], h[cold], (h[cold] >> np.uint64(44)).astype(np.int64) % shards, None)
+        if is_hot.any():
+            d = doc[is_hot]
+            yield from send(d, size[is_hot], h[is_hot], shards + (mix(d.view(np.uint64)) % np.uint64(shards)).astype(np.int64), counts[at[is_hot]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
@@ -87,12 +126,12 @@ def packed(docs: DataFrame, k: int, shards: int) -> DataFrame:
                 held.append((ids[row], size[row], h))
                 n += len(h)
                 if n >= FLUSH:
-                    yield from send(held)
+                    yield from both(held)
                     held, n = [], 0
         if n:
-            yield from send(held)
+            yield from both(held)
 
-    return docs.mapInArrow(run, "shard int, docs binary, sizes binary, counts binary, grams binary")
+    return docs.mapInArrow(run, "shard int, docs binary, sizes binary, counts binary, grams binary, dfs binary")
 
 
 def shared(parts: DataFrame) -> DataFrame:
@@ -102,14 +141,17 @@ def shared(parts: DataFrame) -> DataFrame:
         cat = lambda c, t: np.concatenate([np.frombuffer(x.as_py(), t) for x in table.column(c)])
         docs, sizes, counts, grams = cat("docs", np.int64), cat("sizes", np.int32), cat("counts", np.int32), cat("grams", np.uint64)
         which = np.repeat(np.arange(len(docs)), counts)
-        order = np.argsort(grams)
-        g = grams[order]
-        first = np.append(True, g[1:] != g[:-1])
-        df = np.diff(np.append(np.flatnonzero(first), len(g)))[np.cumsum(first) - 1]
-        two = df > 1
-        which, g, df = which[order][two], g[two], df[two].astype(np.int64)
-        order = np.argsort(which, kind="stable")
-        which, g, df = which[order], g[order], df[order]
+        if table.column("dfs").null_count:
+            order = np.argsort(grams)
+            g = grams[order]
+            first = np.append(True, g[1:] != g[:-1])
+            df = np.diff(np.append(np.flatnonzero(first), len(g)))[np.cumsum(first) - 1]
+            two = df > 1
+            which, g, df = which[order][two], g[two], df[two].astype(np.int64)
+            order = np.argsort(which, kind="stable")
+            which, g, df = which[order], g[order], df[order]
+        else:
+            g, df = grams, cat("dfs", np.int64)
         edge = np.flatnonzero(np.append(np.append(True, which[1:] != which[:-1]), True)) if len(which) else np.zeros(1, np.int64)
         at = which[edge[:-1]]
         spans = list(zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True))
@@ -279,12 +321,13 @@ def tree_pairs(tiles: DataFrame, num: int, den: int) -> DataFrame:
 def candidates(docs: DataFrame, num: int, den: int, k: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Sets of all documents, classes (n, d1, d2, rep, members), and the tiles of the tree join."""
     own = docs.selectExpr("cast(doc_id as long) doc_id", "text")
-    sets = keep(set_rows(own, k))
+    rows = keep(set_rows(own, k))
+    sets, hot = rows.where("g is null").select("doc_id", "n", "d1", "d2"), hot_shingles(rows)
     classes = sets.where("n > 0 and doc_id is not null").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("members"))
     chars = own.agg(F.sum(F.length("text"))).first()[0] or 0
     shards = max(32, chars // SHARD_CHARS)
     # Copies are counted along (texts need no shuffle then); only classes' smallest members go on from here.
-    rows = shared(packed(own.where("text is not null and doc_id is not null"), k, shards))
+    rows = shared(packed(own.where("text is not null and doc_id is not null"), k, shards, hot))
     common = rows.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").groupBy("doc_id").agg(F.max("n").alias("n"), F.sum("m").alias("m"), F.collect_list("grams").alias("grams"), F.collect_list("dfs").alias("dfs"))
     common = common.where(f"{den} * m >= {num} * n").select("doc_id", "n", "grams", "dfs")
     left = keep(order_sets(common, num, den))

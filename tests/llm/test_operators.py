@@ -80,9 +80,10 @@ def groups_brute(sets):
     return [(len(s), find(i)) for i, s in enumerate(sets)]
 
 
-@pytest.mark.parametrize("limit", [jaccard_join.LIMIT, 900])
-def test_jaccard_join(spark, corpus, monkeypatch, limit):
+@pytest.mark.parametrize(("limit", "hot"), [(jaccard_join.LIMIT, jaccard_join.HOT), (900, 3_000), (900, 50)])
+def test_jaccard_join(spark, corpus, monkeypatch, limit, hot):
     monkeypatch.setattr(jaccard_join, "LIMIT", limit)
+    monkeypatch.setattr(jaccard_join, "HOT", hot)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_join(documents(spark, corpus)).collect()}
     want = groups_brute(list(sets_brute(corpus)))
     assert [got[i] for i in range(len(corpus))] == want and len({c for _, c in want}) < len(want) - 5
@@ -137,9 +138,10 @@ def test_tree_against_pairs():
 
 
 def test_components(spark):
-    edges = [(i, i + 1) for i in range(30)] + [(100, 101), (101, 100), (7, 7), (None, 3)]
+    star = [(1000, 2000 + i) for i in range(900)]
+    edges = [(i, i + 1) for i in range(30)] + [(100, 101), (101, 100), (7, 7), (None, 3), *star]
     got = dict(map(tuple, graph.components(spark.createDataFrame(edges, "a long, b long")).collect()))
-    assert got == {**{i: 0 for i in range(31)}, 100: 100, 101: 100}
+    assert got == {**{i: 0 for i in range(31)}, 100: 100, 101: 100, **dict.fromkeys([1000, *range(2000, 2900)], 1000)}
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
