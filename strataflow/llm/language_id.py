@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 from strataflow.llm.textops import slices, text_bytes
 
 DIM, PER_LANG, CLUSTERS, ROUNDS, SHARE, SAMPLE = 4096, 400, 4, 12, 0.5, 80_000
+#: A cluster holds this share of its language's rows at least.
+FEW = 0.02
 #: Lengths in bytes of the pieces that tell what cosine is usual.
 PIECES = [4 << i for i in range(10)]
 #: Bytes as the n-grams see them: ASCII letters in lower case, other ASCII as one blank, the rest as it is.
@@ -137,6 +139,9 @@ def fit(labelled: DataFrame, per_lang: int = PER_LANG, clusters: int = CLUSTERS)
     cents, names, near = [], [], np.zeros(len(got))
     for lang in sorted(set(label.tolist())):
         c = kmeans(x[label == lang], clusters, ROUNDS)
+        # Starts lie far apart, so odd texts get clusters of their own; a cluster of hardly any texts is no language.
+        size_of = np.bincount(np.argmax(x[label == lang] @ c.T, axis=1), minlength=len(c))
+        c = c[size_of >= min(size_of.max(), max(2, FEW * (label == lang).sum()))]
         near[label == lang] = (p[label == lang] @ c.T).max(axis=1)
         cents.append(c)
         names += [lang] * len(c)
