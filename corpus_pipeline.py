@@ -20,7 +20,7 @@ ORACLE_SQL = None
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text no centroid accepts go, as do those without text or letters."""
+    """Documents whose text is too far from all centroids for its length go, as do those without text or letters."""
     model = language_id.fit(docs)
     return language_id.predict(docs, model, docs.columns).where(~F.col("rejected")).select(*docs.columns)
 
@@ -36,13 +36,13 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, the one of smallest doc_id."""
+    """One document of each group stays, the one of smallest doc_id; rows of a null doc_id stay."""
     later = jaccard_join.jaccard_join(docs).where("component_id != doc_id").select("doc_id")
     return docs.join(later, "doc_id", "left_anti").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark passage go."""
+    """Documents that hold a benchmark passage go, with all rows of their doc_id; rows of a null doc_id stay."""
     found = decontaminate.leaks(docs, read(spark, sf_dir, "benchmark")).select("doc_id").distinct()
     return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
 
@@ -55,9 +55,14 @@ STAGES = [("language_id", language), ("line_dedup", lines), ("jaccard_join", nea
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, top = read(spark, sf_dir, "documents"), f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    """All stages. A stage's folder goes when the next one is written; the last one's stays."""
+    docs, top, last = read(spark, sf_dir, "documents"), f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}", None
     for i, (name, stage) in enumerate(STAGES):
         path = f"{top}/{i}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if last:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(last)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        last = path
     return docs
