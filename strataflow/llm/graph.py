@@ -9,6 +9,8 @@ from strataflow.session import shared_folder
 
 #: Edges of one node that go to one task of a round; a hub's are dealt over as many parts as it needs.
 SPLIT = 256
+#: Parts that the nodes of one label are dealt over where labels are looked up.
+JUMP = 32
 
 
 def keep(df: DataFrame) -> DataFrame:
@@ -38,8 +40,12 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         near = both.join(told, ["b", "part"]).groupBy(F.col("a").alias("node")).agg(F.min("label").alias("n"))
         new = labels.join(near, "node").select("node", "parts", F.col("label").alias("old"), F.least("label", "n").alias("label"))
         if i > 1:  # stars have settled by now; chains are halved by jumps
-            jump = new.select(F.col("node").alias("label"), F.col("label").alias("up"))
-            new = new.join(jump, "label").select("node", "parts", "old", F.least("label", "up").alias("label"))
+            # Labels that have a smaller label themselves, each for all parts, since many nodes share a label.
+            asked = new.select("label").distinct()
+            up = asked.join(new.select(F.col("node").alias("label"), F.col("label").alias("up")), "label").where("up != label")
+            up = up.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(JUMP - 1))))
+            new = new.withColumn("part", F.pmod(F.xxhash64("node"), F.lit(JUMP)).cast("int")).join(up, ["label", "part"], "left")
+            new = new.select("node", "parts", "old", F.coalesce("up", "label").alias("label"))
         new = keep(new)
         changed = new.where("old != label").limit(1).count()
         labels = new.select("node", "label", "parts")
