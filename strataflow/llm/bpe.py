@@ -20,8 +20,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-#: Entries of the piece cache of one worker; a full cache is emptied, results do not depend on it.
-CACHE = 400_000
+#: Entries of one worker's caches of pieces and of compatible pairs, about 70 MB in all. Of pieces the older half goes when
+#: the newer one is full, of pairs all; results do not depend on it.
+CACHE, PAIRS = 160_000, 300_000
 #: Fixed value: the pre-tokenizer's public pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -67,9 +68,10 @@ class Bpe:
         self.blob = np.frombuffer(b"".join(table), np.uint8)
         self.offset = np.zeros(size + 1, np.int64)
         np.cumsum([len(b) for b in table], out=self.offset[1:])
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.fits: dict[int, bool] = {}
         self.shorter_of: dict[int, int | None] = {}
         self.pieces: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def shorter(self, token: int) -> int | None:
         """The next shorter token that token begins with."""
@@ -81,7 +83,7 @@ class Bpe:
     def compatible(self, left: int, right: int) -> bool:
         """Whether left then right is what the merges make of their bytes: undo the younger token's last merge step by
         step; no pair that stands at the border then may have a merge that would have come before."""
-        key = (left, right)
+        key = left << 32 | right
         if key not in self.fits:
             a, b, before, ok = left, right, (1 << 60), True
             # On a tie of ranks the merge further left is done first, so a pair on the border loses to left's own
@@ -98,7 +100,7 @@ class Bpe:
                     before, a = 2 * ra, self.parts[a][1]
                 else:
                     before, b = 2 * rb + 1, self.parts[b][0]
-            if len(self.fits) > 2_000_000:
+            if len(self.fits) >= PAIRS:
                 self.fits.clear()
             self.fits[key] = ok
         return self.fits[key]
@@ -138,10 +140,12 @@ class Bpe:
     def coded(self, piece: str) -> bytes:
         got = self.pieces.get(piece)
         if got is None:
-            got = np.asarray(self.piece(piece.encode()), "<u4").tobytes()
+            got = self.older.get(piece)
+            if got is None:
+                got = np.asarray(self.piece(piece.encode()), "<u4").tobytes()
             if len(piece) <= 64:
-                if len(self.pieces) >= CACHE:
-                    self.pieces.clear()
+                if len(self.pieces) >= CACHE // 2:
+                    self.older, self.pieces = self.pieces, {}
                 self.pieces[piece] = got
         return got
 
