@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import bpe, chat_pairs, decontaminate, jaccard_join, language_id, license_scan, line_dedup, multi_index, substring_dedup, surrogates
+from strataflow.llm import bpe, chat_pairs, decontaminate, exact_dedup, jaccard_join, language_id, license_scan, line_dedup, multi_index, substring_dedup, surrogates
 from strataflow.llm.graph import read
 
 
@@ -59,8 +59,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_dedup(spark, exact_dedup.arrivals(read(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_preference_pairs, op2_substring_dedup, op3_multi_index, op4_surrogates, op5_bpe_encode_decode, op6_language_id, op7_line_dedup, op8_license_scan, op9_jaccard_join, op10_decontamination)
+    for f in (op1_preference_pairs, op2_substring_dedup, op3_multi_index, op4_surrogates, op5_bpe_encode_decode, op6_language_id, op7_line_dedup, op8_license_scan, op9_jaccard_join, op10_decontamination, op11_exact_dedup)
 }
-ORACLES: dict[str, str] = {"op1_preference_pairs": chat_pairs.ORACLE, "op2_substring_dedup": substring_dedup.ORACLE, "op7_line_dedup": line_dedup.ORACLE, "op9_jaccard_join": jaccard_join.ORACLE}
+ORACLES: dict[str, str] = {"op1_preference_pairs": chat_pairs.ORACLE, "op2_substring_dedup": substring_dedup.ORACLE, "op7_line_dedup": line_dedup.ORACLE, "op9_jaccard_join": jaccard_join.ORACLE, "op11_exact_dedup": exact_dedup.ORACLE}
