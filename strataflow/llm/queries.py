@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import bpe, chat_pairs, decontaminate, exact_dedup, jaccard_join, language_id, license_scan, line_dedup, multi_index, prefix_trie, substring_dedup, surrogates
+from strataflow.llm import bpe, chat_pairs, decontaminate, exact_dedup, jaccard_join, language_id, license_scan, line_dedup, multi_index, prefix_trie, structure_repair, substring_dedup, surrogates
 from strataflow.llm.graph import read
 
 
@@ -68,8 +68,13 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie_nodes(prefix_trie.rebuilt(prefix_trie.sequences(read(spark, sf_dir, "conversations"))))
 
 
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repairs of the conversations with planted damage."""
+    return structure_repair.repair(structure_repair.damaged(read(spark, sf_dir, "conversations")), "present")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_preference_pairs, op2_substring_dedup, op3_multi_index, op4_surrogates, op5_bpe_encode_decode, op6_language_id, op7_line_dedup, op8_license_scan, op9_jaccard_join, op10_decontamination, op11_exact_dedup, op12_prefix_trie)
+    for f in (op1_preference_pairs, op2_substring_dedup, op3_multi_index, op4_surrogates, op5_bpe_encode_decode, op6_language_id, op7_line_dedup, op8_license_scan, op9_jaccard_join, op10_decontamination, op11_exact_dedup, op12_prefix_trie, op13_structure_repair)
 }
-ORACLES: dict[str, str] = {"op1_preference_pairs": chat_pairs.ORACLE, "op2_substring_dedup": substring_dedup.ORACLE, "op7_line_dedup": line_dedup.ORACLE, "op9_jaccard_join": jaccard_join.ORACLE, "op11_exact_dedup": exact_dedup.ORACLE, "op12_prefix_trie": prefix_trie.ORACLE}
+ORACLES: dict[str, str] = {"op1_preference_pairs": chat_pairs.ORACLE, "op2_substring_dedup": substring_dedup.ORACLE, "op7_line_dedup": line_dedup.ORACLE, "op9_jaccard_join": jaccard_join.ORACLE, "op11_exact_dedup": exact_dedup.ORACLE, "op12_prefix_trie": prefix_trie.ORACLE, "op13_structure_repair": structure_repair.ORACLE}
