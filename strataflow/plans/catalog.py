@@ -73,6 +73,23 @@ def posexplode_embeddings(spark, sf):
     return long.withColumn("value", F.col("value").cast("double"))
 
 
+#: Value columns that wide_unpivot makes of each position of a vector.
+FOLD = 24
+
+
+@query(f"""select 'p' || pos || '_' || k as sample_id, count(*) n, count(v) known, round(sum(v), 6) total, min(v) low, max(v) high from (
+  select pos, k, cast(cast(x as double) * k as float)::double as v from (select generate_subscripts(embedding, 1) - 1 as pos, unnest(embedding) as x from embeddings), range(1, {FOLD + 1}) t(k)) group by all""")
+def wide_unpivot(spark, sf):
+    """A wide matrix (FOLD columns for each vector position, over 1,000 for 64 positions), written, read and made long."""
+    t, path = table(spark, sf, "embeddings"), _path(spark, "wide")
+    width = t.agg(F.max(F.size("embedding"))).first()[0] or 0
+    t.selectExpr("vec_id", *(f"cast(cast(embedding[{i}] as double) * {k} as float) as p{i}_{k}" for i in range(width) for k in range(1, FOLD + 1))).write.parquet(path)
+    wide = spark.read.parquet(path)
+    long = reshape.to_long(wide, ["vec_id"], readers.value_columns(wide, ["vec_id"]))
+    v = F.col("tpm_value").cast("double")
+    return long.groupBy("sample_id").agg(F.count(F.lit(1)).alias("n"), F.count(v).alias("known"), F.round(F.sum(v), 6).alias("total"), F.min(v).alias("low"), F.max(v).alias("high"))
+
+
 @query("""select pos, cast(count(*) as integer) sample_count, round(avg(ln(1 + v)), 7) mean_log1p, round(case when count(*) >= 2 then stddev_pop(ln(1 + v)) end, 7) std_log1p, round(median(ln(1 + v)), 7) median_log1p, round(avg(case when v = 0 then 1.0 else 0.0 end), 7) zero_fraction
   from (select generate_subscripts(embedding, 1)::integer - 1 as pos, cast(unnest(embedding) as double) v from embeddings) group by pos""")
 def wide_features(spark, sf):
