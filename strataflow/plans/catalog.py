@@ -13,7 +13,7 @@ from strataflow.functions.scalars import digest, is_zero, null_class, partition_
 from strataflow.operators import features, join, metrics, profiling, quality, reshape
 from strataflow.plans import lineage
 from strataflow.session import shared_folder
-from strataflow.sources import readers, sinks
+from strataflow.sources import footers, readers, sinks
 from strataflow.sources.readers import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -310,10 +310,53 @@ def schema_dims(spark, sf):
 def sink_roundtrip(spark, sf):
     """Written by status, checked, published, and read back with string partitions."""
     orders = table(spark, sf, "orders").select("o_custkey", "o_totalprice", "o_orderstatus")
-    back = sinks.publish(spark, orders, f"{shared_folder(spark)}/layer-{uuid.uuid4().hex}", "o_orderstatus", lambda df: None, spread=4)
+    back = sinks.publish(spark, orders, f"{shared_folder(spark)}/layer-{uuid.uuid4().hex}", "o_orderstatus", lambda df: None, spread=sinks.spread_for(orders, "o_orderstatus", 10_000))
     return back.groupBy("o_custkey", "o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
 
 
+@query(ORACLES["silver_metrics"])
+def written_metrics(spark, sf):
+    """The metrics of a long form, taken on its write; nothing is read again but footers and folder names."""
+    t, keys, found = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_tax", "l_returnflag"), ["l_orderkey", "l_returnflag"], []
+    sinks.publish(spark, t, _path(spark, "long"), "l_returnflag", found.append, measures=metrics.silver_measures(keys, "l_tax"))
+    m = metrics.with_share(found[0])
+    names = ["row_count", *(f"nulls_{k}" for k in keys), "nulls_value", "nan_value", "zero_count", "group_count"]
+    return rounded(spark.createDataFrame([(*(m[n] for n in names), float(m["zero_fraction"]))], ", ".join(f"{n} long" for n in names) + ", zero_fraction double"))
+
+
+@query("""with o as (select o_orderpriority = '1-URGENT' or o_orderkey % 3 > 0 as hot, o_orderpriority as p from orders), v as (select case when hot then 'hot' else p end as value, count(*) n from o group by 1)
+  select value, n, cast(greatest(ceil(n / 2000.0), 1) as bigint) as files, true even from v""")
+def spread_files(spark, sf):
+    """A skewed layer written by counted spread: files by value, and whether each has about its share of rows."""
+    path, hot = _path(spark, "spread"), F.expr("o_orderpriority = '1-URGENT' or o_orderkey % 3 > 0")
+    t = table(spark, sf, "orders").select("o_orderkey", F.when(hot, "hot").otherwise(F.col("o_orderpriority")).alias("value"))
+    sinks.write_layer(t, path, "value", spread=sinks.spread_for(t, "value", 2_000))
+    each = footers.footers(spark, path).where("column is null").groupBy("file").agg(F.sum("rows").alias("rows")).withColumn("value", partition_value(F.element_at(F.split("file", "/"), -2)))
+    whole = each.groupBy("value").agg(F.sum("rows").alias("n"), F.count(F.lit(1)).alias("files"), (F.max("rows") <= 2 * F.min("rows")).alias("even"))
+    return whole
+
+
+@query("select o_orderstatus, count(*) n, round(sum(o_totalprice), 2) total from orders where o_orderdate >= (select min(o_orderdate) + interval 1 year from orders) group by 1")
+def layer_versions(spark, sf):
+    """A layer published twice: readers resolve its pointer to the second data folder."""
+    path, t = _path(spark, "layer"), table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_totalprice", "o_orderstatus")
+    sinks.publish(spark, t, path, "o_orderstatus", lambda df: None)
+    since = F.add_months(F.lit(t.agg(F.min("o_orderdate")).first()[0]), 12)
+    sinks.publish(spark, t.where(F.col("o_orderdate") >= since), path, "o_orderstatus", lambda df: None)
+    return readers.layer(spark, path, ("o_orderstatus",)).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+
+
+#: Columns of lineitem by how their ranges are written; texts have none.
+RANGED = {"l_orderkey": "bigint", "l_linenumber": "bigint", "l_tax": "double", "l_extendedprice": "double"}
+
+
+@query(" union all ".join(f"""select '{c}' as "column", count(*) as rows, count(*) - count({c}) as nulls, min({c})::double low, max({c})::double high from lineitem""" for c in RANGED) + """ union all select 'l_returnflag', count(*), count(*) - count(l_returnflag), null, null from lineitem""")
+def footer_profile(spark, sf):
+    """Rows, nulls and ranges of columns from Parquet footers."""
+    told = footers.column_profile(spark, f"{sf}/lineitem.parquet", [*RANGED, "l_returnflag"])
+    return told.withColumns({c: F.col(c).cast("double") for c in ("low", "high")})
+
+
 @query("select source, lang, count(*) n, substring(sha256(source), 1, 16) digest from (select trim(source) source, lang from documents) group by all")
 def scalar_functions(spark, sf):
     d = table(spark, sf, "documents").select(strip(F.col("source")).alias("source"), "lang")

@@ -75,13 +75,13 @@ def run(spark: SparkSession, source: str, dimension_tsv: str, out: str, key: str
     lost = spark.read.parquet(f"{at.staged}/quarantine").count()
     found: dict = {}
 
-    def check_silver(df: DataFrame) -> None:
-        m = found["silver"] = metrics.silver(df, KEYS, "tpm_value", "tissue_id").first().asDict()
+    def check_silver(measures: dict) -> None:
+        m = found["silver"] = metrics.with_share(measures)
         quality.require_match(m["row_count"])
         found["silver_report"] = quality.gate(quality.silver_report(m, KEYS, lost, rows, len(samples), zero_baseline, tolerance, most_quarantined))
 
-    spread = sinks.spread_for(rows * len(samples))
-    silver = sinks.publish(spark, silver, at.silver, "tissue_id", check_silver, spread=spread, schema=schema(spark, SILVER))
+    spread = sinks.spread_for(silver, "tissue_id")
+    silver = sinks.publish(spark, silver, at.silver, "tissue_id", check_silver, spread=spread, schema=schema(spark, SILVER), measures=metrics.silver_measures(KEYS, "tpm_value"))
     sinks.replace_folder(spark, f"{at.staged}/quarantine", at.quarantine)
     m = found["silver"]
     s_line = lineage.document("silver", bronze, {"path": at.silver, "partition_col": "tissue_id", "row_count": m["row_count"], "tissue_count": m["group_count"], "quarantine_count": lost, "quarantine_path": at.quarantine}, found["silver_report"], ["unpivot", "attach tissue", "cast to float", "route unmatched"], lineage_closure=lineage.closure(rows, len(samples), m["row_count"], lost), duration_seconds=time.time() - began, **infra)
@@ -90,12 +90,12 @@ def run(spark: SparkSession, source: str, dimension_tsv: str, out: str, key: str
     began = time.time()
     entities = silver.select(*IDS).distinct().count()
 
-    def check_gold(df: DataFrame) -> None:
-        g = found["gold"] = metrics.gold(df, KEYS, "tissue_id").first().asDict()
+    def check_gold(g: dict) -> None:
+        found["gold"] = g
         # Features must agree with the share of zeros that silver has, not with the one expected of the source.
         found["gold_report"] = quality.gate(quality.gold_report(g, KEYS, entities, m["group_count"], m["zero_fraction"], tolerance))
 
-    sinks.publish(spark, summary(silver), at.gold, "tissue_id", check_gold, "zstd", schema=schema(spark, GOLD))
+    sinks.publish(spark, summary(silver), at.gold, "tissue_id", check_gold, "zstd", schema=schema(spark, GOLD), measures=metrics.gold_measures(KEYS))
     g = found["gold"]
     g_line = lineage.document("gold", s_line["output"], {"path": at.gold, "partition_col": "tissue_id", "row_count": g["row_count"], "tissue_count": g["group_count"]}, found["gold_report"], ["group features of log1p"], duration_seconds=time.time() - began, **infra)
     sinks.save_json(spark, g_line, f"{at.lineage}/gold.json")

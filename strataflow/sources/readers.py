@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from strataflow.functions.scalars import strip
+from strataflow.sources import versions
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,7 +29,9 @@ def columns_with_prefix(df: DataFrame, *prefixes: str) -> list[str]:
 
 def layer(spark: SparkSession, path: str, partitions: tuple[str, ...] = ("tissue_id",), skip_corrupt: bool = False, fmt: str = "parquet", schema: StructType | None = None) -> DataFrame:
     """A partitioned layer in Parquet or another format of this session (delta, say). Partition values are strings, as
-    written: '01' stays '01'. An empty layer needs its schema. Corrupt files raise unless they are to be skipped, which loses their rows."""
+    written: '01' stays '01'. An empty layer needs its schema. Corrupt files raise unless they are to be skipped, which
+    loses their rows. Of a layer with versions, the current one."""
+    path = versions.resolve(spark, path)
     reader = spark.read.format(fmt).option("ignoreCorruptFiles", str(skip_corrupt).lower())
     if fmt != "parquet":
         return reader.load(path)

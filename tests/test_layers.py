@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from strataflow import session
 from strataflow.operators import features, join, metrics, profiling, quality, reshape
 from strataflow.plans import lineage, pipeline
-from strataflow.sources import readers, sinks
+from strataflow.sources import footers, readers, sinks, versions
 from strataflow.streaming.incremental import stream_silver
 
 FEATURES = "g string, v float"
@@ -68,7 +68,7 @@ def test_median_of_large_groups(spark):
 def test_publish_keeps_the_old_layer(spark, tmp_path):
     path, df = f"{tmp_path}/layer", spark.createDataFrame([("a", 1), ("01", 2)], "k string, v int")
     wider = spark.createDataFrame([], "v long, k string").schema
-    assert sinks.publish(spark, df, path, "k", lambda d: None, spread=3, schema=wider).schema["v"].dataType.simpleString() == "bigint"
+    assert sinks.publish(spark, df, path, "k", lambda d: None, spread=sinks.spread_for(df, "k"), schema=wider).schema["v"].dataType.simpleString() == "bigint"
 
     def refuse(_):
         raise ValueError("no")
@@ -77,11 +77,121 @@ def test_publish_keeps_the_old_layer(spark, tmp_path):
         sinks.publish(spark, df.limit(0), path, "k", refuse)
     assert {r.k for r in readers.layer(spark, path, ("k",)).collect()} == {"a", "01"}
     sinks.publish(spark, df.limit(1), path, "k", lambda d: None)
-    assert readers.layer(spark, path, ("k",)).count() == 1 and not (tmp_path / "layer.previous").exists()
+    assert readers.layer(spark, path, ("k",)).count() == 1 and sinks.is_complete(spark, path, 1)
+    plain = f"{tmp_path}/plain"
+    sinks.write_quarantine(df, f"{plain}.staged")
+    sinks.replace_folder(spark, f"{plain}.staged", plain)
     with pytest.raises(OSError):
-        sinks.replace_folder(spark, f"{tmp_path}/nothing", path)
+        sinks.replace_folder(spark, f"{tmp_path}/nothing", plain)
+    assert spark.read.parquet(plain).count() == 2 and not (tmp_path / "plain.previous").exists()
+
+
+@pytest.mark.parametrize("step", ["write", "check", "create", "half"])
+def test_a_crash_leaves_the_old_layer_or_the_new(spark, tmp_path, monkeypatch, step):
+    path, one = f"{tmp_path}/layer", spark.createDataFrame([("a", 1)], "k string, v int")
+    two = one.unionAll(one)
+    sinks.publish(spark, one, path, "k", lambda d: None)
+    whole, write = versions.files.write_text, sinks.write_layer
+
+    def crash(*_, **__):
+        raise RuntimeError("crash")
+
+    def half(session, file, text, replace=True):
+        whole(session, file, text[: len(text) // 2], replace)
+        crash()
+
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "write_layer", crash if step == "write" else write)
+        m.setattr(versions.files, "write_text", crash if step == "create" else half if step == "half" else whole)
+        with pytest.raises(RuntimeError):
+            sinks.publish(spark, two, path, "k", crash if step == "check" else lambda d: None)
     assert readers.layer(spark, path, ("k",)).count() == 1
-    assert sinks.spread_for(0) == 1 and sinks.spread_for(sinks.ROWS_PER_TASK * 3 + 1) == 4
+    sinks.publish(spark, two, path, "k", lambda d: None)
+    assert readers.layer(spark, path, ("k",)).count() == 2
+    assert versions.current(spark, path)["number"] == (3 if step == "half" else 2)
+    assert len(versions.sweep(spark, path)) == (1 if step in ("create", "half") else 0) and readers.layer(spark, path, ("k",)).count() == 2
+
+
+def test_concurrent_publishers(spark, tmp_path):
+    path, one = f"{tmp_path}/layer", spark.createDataFrame([("a", 1)], "k string, v int")
+
+    def meanwhile(_):
+        sinks.publish(spark, one.unionAll(one), path, "k", lambda d: None)
+
+    with pytest.raises(versions.Conflict):
+        sinks.publish(spark, one, path, "k", meanwhile)
+    assert readers.layer(spark, path, ("k",)).count() == 2
+    with pytest.raises(versions.Conflict):  # both saw version 1, the other's pointer is there when this one creates its own
+        versions.files.write_text(spark, versions.pointer(path, 2), "")
+        monkey = pytest.MonkeyPatch()
+        monkey.setattr(versions, "last_number", lambda *_: 1)
+        try:
+            versions.commit(spark, path, "x", 1)
+        finally:
+            monkey.undo()
+    for n in (3, 4, 5):
+        sinks.publish(spark, one, path, "k", lambda d: None)
+        assert versions.current(spark, path)["number"] == n
+    assert len(versions.files.names(spark, f"{path}.data")) == 3 and len(versions.sweep(spark, path)) == 1
+
+
+def test_measures_come_from_the_write(spark, tmp_path, monkeypatch):
+    rows = [("a", None, 0.0), ("a", "x", math.nan), ("b", "y", 3.0), (None, "z", None)] * 50
+    df, keys = spark.createDataFrame(rows, "t string, g string, v double").repartition(7), ["g", "t"]
+    want = metrics.silver(df, keys, "v", "t").first().asDict()
+    for i, wrong in enumerate((False, True)):
+        found = []
+        with monkeypatch.context() as m:
+            if wrong:  # what the write counted does not agree with the files: measured again
+                m.setattr(sinks, "row_count", lambda *_: 1)
+            else:  # else the layer is not read
+                m.setattr(sinks, "layer", lambda *_, **__: None)
+            sinks.publish(spark, df, f"{tmp_path}/l{i}", "t", found.append, spread=sinks.spread_for(df, "t", 60), measures=metrics.silver_measures(keys, "v"))
+        assert metrics.with_share(found[0]) == want
+    empty = []
+    sinks.publish(spark, df.limit(0), f"{tmp_path}/empty", "t", empty.append, measures=metrics.silver_measures(keys, "v"))
+    assert metrics.with_share(empty[0])["zero_fraction"] == 0.0 and empty[0]["row_count"] == 0 == empty[0]["group_count"]
+
+
+def test_spread_makes_even_files(spark, tmp_path):
+    sizes = {"huge": 40_000, "big": 21_000, "mid": 10_500, "small": 900, "one": 1}
+    df = spark.createDataFrame([(k,) for k in sizes], "k string").select("k", F.explode(F.expr("sequence(1, " + "".join(f"if(k = '{k}', {n}, " for k, n in sizes.items()) + "0" + ")" * len(sizes) + ")")).alias("v"))
+    spread = sinks.spread_for(df, "k", 5_000)
+    assert spread == {"huge": 8, "big": 5, "mid": 3}
+    for i in (0, 1):  # the same rows in the same parts each time
+        sinks.write_layer(df, f"{tmp_path}/{i}", "k", spread=spread)
+    files = [sorted((p.parent.name, pq.read_metadata(p).num_rows) for p in (tmp_path / str(i)).rglob("*.parquet")) for i in (0, 1)]
+    assert files[0] == files[1] and spark.read.parquet(f"{tmp_path}/0").count() == sum(sizes.values())
+    heavy = [n for k, n in files[0] if k[2:] in spread]
+    assert len(heavy) == 16 and max(heavy) <= 2 * min(heavy) and len(files[0]) == 18
+
+
+def test_footers_answer_like_a_scan(spark, tmp_path):
+    import datetime
+
+    day = datetime.date(2024, 2, 29)
+    one = pa.table({"i": [2**60 + 1, None, -5], "f": [math.nan, 0.5, None], "s": ["a", None, "b"], "d": [day, None, day], "n": pa.nulls(3, pa.int32()), "l": [[1], None, []]})
+    two = pa.table({"i": [7], "f": [2.5], "s": ["z"], "d": [None], "n": pa.array([4], pa.int32()), "l": [[3]]}, schema=one.schema)
+    pq.write_table(one, tmp_path / "a.parquet", row_group_size=2)
+    pq.write_table(two, tmp_path / "b b%20.parquet", write_statistics=False)
+    got = {r.column: tuple(r)[1:] for r in footers.column_profile(spark, str(tmp_path)).collect()}
+    assert got == {"i": (4, 1, "-5", str(2**60 + 1)), "f": (4, 1, "0.5", "2.5"), "s": (4, 1, None, None), "d": (4, 2, "2024-02-29", "2024-02-29"), "n": (4, 3, "4", "4"), "l": (4, 1, None, None)}
+    assert footers.row_count(spark, str(tmp_path)) == 4
+    groups = footers.footers(spark, str(tmp_path)).where("column is null").collect()
+    assert sorted((r.row_group, r.rows) for r in groups) == [(0, 1), (0, 2), (1, 1)]
+
+
+def test_footers_read_no_data_page(spark, tmp_path):
+    """Every data page is destroyed; the footer still answers, a scan cannot."""
+    file = tmp_path / "a.parquet"
+    pq.write_table(pa.table({"i": list(range(10_000))}), file, compression="none", use_dictionary=False)
+    raw = file.read_bytes()
+    size = int.from_bytes(raw[-8:-4], "little") + 8
+    file.write_bytes(raw[:4] + b"\xff" * (len(raw) - size - 4) + raw[-size:])
+    assert footers.row_count(spark, str(tmp_path)) == 10_000 and sinks.is_complete(spark, str(tmp_path), 10_000)
+    assert tuple(footers.column_profile(spark, str(tmp_path)).first()) == ("i", 10_000, 0, "0", "9999")
+    with pytest.raises(Exception):  # noqa: B017
+        spark.read.parquet(str(tmp_path)).agg(F.sum("i")).collect()
 
 
 def test_copy_fails_on_another_size(spark, tmp_path):
