@@ -15,15 +15,18 @@ def sized(dim: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(dim) if dim.limit(limit + 1).count() <= limit else dim
 
 
-def tagged(facts: DataFrame, dim: DataFrame, key: str) -> DataFrame:
-    """facts with the dimension's columns and `matched`: one left join. dim has one row per key. Null keys don't match."""
-    return facts.join(sized(dim.withColumn("matched", F.lit(True))), key, "left").withColumn("matched", F.col("matched").isNotNull())
+def tagged(facts: DataFrame, dim: DataFrame, key: str, measured: bool = False) -> DataFrame:
+    """facts with the dimension's columns and `matched`: one left join. dim has one row per key. Null keys don't match.
+    A dimension that was measured before, by sized(), is not counted again."""
+    marked = dim.withColumn("matched", F.lit(True))
+    return facts.join(marked if measured else sized(marked), key, "left").withColumn("matched", F.col("matched").isNotNull())
 
 
 def attach(facts: DataFrame, dim: DataFrame, key: str, reason: str = "no_tissue_match") -> tuple[DataFrame, DataFrame]:
-    """(matched with the dimension's columns, unmatched with a reason), two views of one tagged join. A caller that
-    needs both writes tagged() once and gives that to split()."""
-    return split(tagged(facts, dim, key), facts.columns, reason)
+    """(matched with the dimension's columns, unmatched with a reason): an inner and an anti join, for callers that want
+    one of them. Who needs both writes tagged() once and gives that to split()."""
+    dim = sized(dim)
+    return facts.join(dim, key), facts.join(dim, key, "left_anti").withColumn("reason", F.lit(reason))
 
 
 def split(both: DataFrame, columns: list[str], reason: str = "no_tissue_match") -> tuple[DataFrame, DataFrame]:

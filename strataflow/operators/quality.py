@@ -5,6 +5,9 @@ from __future__ import annotations
 from dataclasses import asdict, dataclass, field
 from datetime import UTC, datetime
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 #: Severities, and below the names, limits and baselines of the checks and the fields of their records,
 #: which readers of the reports look up.
 CRITICAL, WARNING = "critical", "warning"
@@ -105,10 +108,20 @@ def gold_report(m: dict, keys: list[str], entities: int, groups: int, baseline:
     return Report("gold", [*(nulls(m[f"nulls_{k}"], k) for k in keys), equals("gold_row_count", m["row_count"], entities * groups), equals("gold_tissue_count", m["group_count"], groups), at_least("gold_min_sample_count", m["min_sample_count"], 1), near("gold_zero_fraction_consistency", m["mean_zero_fraction"] or 0.0, baseline, tolerance)])
 
 
+#: What is said of an empty, a small and a large enough mapping; the numbers are its size and the least one.
+MAPPING = ("the mapping is empty", "%1$d samples, %2$d are needed", "%1$d samples")
+
+
 def valid_mapping(size: int, least: int = 100) -> tuple[bool, str]:
-    if size == 0:
-        return False, "the mapping is empty"
-    return (True, f"{size} samples") if size >= least else (False, f"{size} samples, {least} are needed")
+    said = MAPPING[0 if size == 0 else 1 if size < least else 2]
+    return size >= max(least, 1), said.replace("%1$d", str(size)).replace("%2$d", str(least))
+
+
+def mapping_checks(sizes: DataFrame, size: str, least: int = 100) -> DataFrame:
+    """sizes with ok and message, by the rule of valid_mapping()."""
+    n = F.col(size)
+    said = [F.format_string(text, n, F.lit(least)) for text in MAPPING]
+    return sizes.withColumn("ok", n >= max(least, 1)).withColumn("message", F.when(n == 0, said[0]).when(n < least, said[1]).otherwise(said[2]))
 
 
 def require_mapping(size: int, least: int = 100) -> None:

@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataflow.functions.scalars import digest, is_zero, null_class, partition_value, share, skew_class, strip
-from strataflow.operators import features, join, metrics, profiling, quality, reshape
+from strataflow.operators import features, join, keysets, metrics, profiling, quality, reshape, states
 from strataflow.plans import lineage
 from strataflow.session import shared_folder
-from strataflow.sources import footers, readers, sinks
+from strataflow.sources import footers, formats, readers, sinks
 from strataflow.sources.readers import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,6 +50,32 @@ def gold_features_sparse(spark, sf):
     return rounded(features.group_features(table(spark, sf, "lineitem"), ["l_suppkey", "l_partkey"], "l_discount", double=True))
 
 
+@query(feature_sql("l_suppkey, l_returnflag", "l_tax", "lineitem"))
+def gold_increments(spark, sf):
+    """Features kept by mergeable states: the table arrives in two parts, and the second update reads its files only."""
+    t, keys = table(spark, sf, "lineitem").select("l_suppkey", "l_returnflag", "l_linenumber", "l_tax"), ["l_suppkey", "l_returnflag"]
+    source, path = _path(spark, "arrivals"), _path(spark, "states")
+    for part in ("l_linenumber <= 3", "not l_linenumber <= 3"):
+        t.where(part).write.mode("append").parquet(source)
+        kept = states.refresh(spark, source, path, lambda df: states.feature_states(df, keys, "l_tax"), lambda a, b: states.merge_features(a, b, keys))
+    return rounded(states.features_of(kept, keys, double=True))
+
+
+DISTINCT = ["l_orderkey", "l_partkey", "l_suppkey", "l_returnflag"]
+
+
+@query(" union all ".join(f"""select '{c}' as "column", count({c}) known, count(distinct {c}) exact_count, true as within, true as bounded from lineitem""" for c in DISTINCT))
+def distinct_sketches(spark, sf):
+    """Distinct counts from sketches stored per file, beside the exact ones: within 4 standard errors of them."""
+    t, source, path = table(spark, sf, "lineitem").select(*DISTINCT), _path(spark, "parts"), _path(spark, "sketches")
+    t.repartition(6).write.parquet(source)
+    kept = states.refresh(spark, source, path, lambda df: states.distinct_states(df, DISTINCT), DataFrame.unionByName)
+    exact = t.agg(*(F.count_distinct(c).alias(c) for c in DISTINCT)).unpivot([], DISTINCT, "column", "exact_count")
+    both = states.distinct_estimates(kept).join(F.broadcast(exact), "column")
+    error = 4 * 1.04 / 2 ** (states.HLL / 2)
+    return both.select("column", "known", "exact_count", (F.abs(F.col("estimate") - F.col("exact_count")) <= error * F.col("exact_count")).alias("within"), (F.col("least") <= F.col("exact_count")).alias("bounded"))
+
+
 @query(feature_sql("user_id, event_type", "value", "events"))
 def event_features(spark, sf):
     return rounded(features.group_features(table(spark, sf, "events"), ["user_id", "event_type"], "value", double=True))
@@ -169,10 +195,11 @@ def report_rows(spark: SparkSession, report: quality.Report) -> DataFrame:
   select 'row_count' as name, 'critical' severity, n > 0 passed from m union all select 'nulls_l_orderkey', 'critical', k = 0 from m
   union all select 'duplicates_line', 'critical', d = 0 from m union all select 'zero_fraction', 'warning', z between 0.5189 - 0.05 and 0.5189 + 0.05 from m""")
 def quality_report_rows(spark, sf):
+    """Checks of a scan; the rows expected are those of the footers."""
     t = table(spark, sf, "lineitem")
     d = profiling.duplicates(t, ["l_orderkey", "l_linenumber"]).first()["duplicates"]
     m = metrics.silver(t, ["l_orderkey"], "l_tax", "l_returnflag").first()
-    report = quality.Report("lineitem", [quality.row_count(m.row_count, max(1, t.count())), quality.nulls(m.nulls_l_orderkey, "l_orderkey"), quality.no_duplicates(d, "line"), quality.near("zero_fraction", m.zero_fraction, 0.5189)])
+    report = quality.Report("lineitem", [quality.row_count(m.row_count, footers.row_count(spark, f"{sf}/lineitem.parquet")), quality.nulls(m.nulls_l_orderkey, "l_orderkey"), quality.no_duplicates(d, "line"), quality.near("zero_fraction", m.zero_fraction, 0.5189)])
     return report_rows(spark, report).drop("report_passed")
 
 
@@ -215,13 +242,13 @@ def gold_suite(spark, sf):
     return report_rows(spark, quality.gold_report(g, keys, t.agg(F.count_distinct("l_suppkey")).first()[0], base.group_count, base.zero_fraction))
 
 
-@query("""select user_id, n, n > 0 ok, case when n = 0 then 'the mapping is empty' when n < 100 then n || ' samples, 100 are needed' else n || ' samples' end message from (select user_id, count(distinct event_id) n from events group by 1)""")
+@query("""select user_id, n, n >= 100 ok, case when n = 0 then 'the mapping is empty' when n < 100 then n || ' samples, 100 are needed' else n || ' samples' end message from (select user_id, count(distinct event_id) n from events group by 1)
+  union all select -1, n, n >= 100, case when n = 0 then 'the mapping is empty' when n < 100 then n || ' samples, 100 are needed' else n || ' samples' end from (select count(distinct event_id) n from events)""")
 def mapping_validation(spark, sf):
-    """Each user's events as a mapping, judged by its size."""
-    sizes = table(spark, sf, "events").groupBy("user_id").agg(F.count_distinct("event_id").alias("n"))
-    small, large = quality.valid_mapping(99)[1].replace("99", "", 1), quality.valid_mapping(100)[1].replace("100", "", 1)
-    text = F.when(F.col("n") == 0, quality.valid_mapping(0)[1]).when(F.col("n") < 100, F.concat(F.col("n").cast("string"), F.lit(small))).otherwise(F.concat(F.col("n").cast("string"), F.lit(large)))
-    return sizes.select("user_id", "n", (F.col("n") > 0).alias("ok"), text.alias("message"))
+    """Each user's events as a mapping, and all of them as one (user -1), judged by size."""
+    t, n = table(spark, sf, "events").select("user_id", "event_id"), F.count_distinct("event_id").alias("n")
+    sizes = t.groupBy(F.col("user_id").cast("long").alias("user_id")).agg(n).unionByName(t.agg(n).select(F.lit(-1).cast("long").alias("user_id"), "n"))
+    return quality.mapping_checks(sizes, "n").select("user_id", "n", "ok", "message")
 
 
 @query("select cast(count(*) as bigint) total, count(distinct (l_orderkey, l_linenumber)) distinct_keys, count(*) - count(distinct (l_orderkey, l_linenumber)) duplicates from lineitem")
@@ -229,6 +256,32 @@ def duplicates_index(spark, sf):
     return profiling.duplicates(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+@query(ORACLES["duplicates_index"])
+def duplicates_filtered(spark, sf):
+    """The same through filters of the partitions: unique keys are not shuffled."""
+    return keysets.duplicates(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@query("select count(*) total, count(distinct (o_custkey, o_orderstatus)) distinct_keys, count(*) - count(distinct (o_custkey, o_orderstatus)) duplicates from orders")
+def duplicates_of_customers(spark, sf):
+    """Keys that mostly repeat."""
+    return keysets.duplicates(table(spark, sf, "orders"), ["o_custkey", "o_orderstatus"])
+
+
+@query("""with k as (select distinct event_type as g, user_id from events where event_type is not null and user_id is not null)
+  select x.g as a, y.g as b, count(*) n from k x join k y using (user_id) where x.g <= y.g group by all""")
+def group_overlaps(spark, sf):
+    """Users that two kinds of events share, for all kinds, by bitmaps."""
+    return keysets.overlaps(table(spark, sf, "events"), "event_type", "user_id")
+
+
+@query("""with k as (select distinct l_suppkey as g, l_partkey as p from lineitem), o as (select x.g as a, y.g as b, count(*) n from k x join k y using (p) where x.g < y.g group by all)
+  select a, b, n from o""")
+def supplier_overlaps(spark, sf):
+    """Parts that two suppliers share, for all suppliers."""
+    return keysets.overlaps(table(spark, sf, "lineitem"), "l_suppkey", "l_partkey").where("a < b")
+
+
 def _profile_sql(column: str) -> str:
     return f"""select '{column}' as "column", count(*) total, count(*) filter (where {column} is null) nulls, count(*) filter (where {column} = 0) zeros, round(count(*) filter (where {column} is null) * 100.0 / count(*), 4)::double null_pct,
       round(count(*) filter (where {column} = 0) * 100.0 / count(*), 2)::double zero_pct, case when count(*) filter (where {column} is null) * 100.0 / count(*) < 0.1 then 'clean' when count(*) filter (where {column} is null) * 100.0 / count(*) < 1 then 'acceptable' else 'review' end verdict from lineitem"""
@@ -390,6 +443,28 @@ def tsv_dimension(spark, sf):
     return readers.dimension(spark, path, "c_custkey", "c_mktsegment")
 
 
+@query("select cast(c_custkey as varchar) as c_custkey, trim(c_mktsegment) as c_mktsegment from customer where trim(c_mktsegment) <> '' and c_custkey in (1, 5, 77, 100)")
+def tsv_format(spark, sf):
+    """The same as a named format, with a filter that reaches the source."""
+    path = _path(spark, "tsv")
+    rows = table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("c_custkey"), "c_name", F.concat(F.col("c_mktsegment"), F.lit(" ")).alias("c_mktsegment"))
+    rows.write.csv(path, sep="\t", header=True, quote="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    formats.register(spark)
+    dim = spark.read.format("tsv_dimension").option("key", "c_custkey").option("value", "c_mktsegment").load(path)
+    return dim.where(F.col("c_custkey").isin("1", "5", "77", "100"))
+
+
+@query("""select 'p' || pos as sample_id, vec_id, cast(x as double) as v from (select vec_id, generate_subscripts(embedding, 1) - 1 as pos, unnest(embedding) as x from embeddings) where pos in (0, 3, 17)""")
+def matrix_format(spark, sf):
+    """A wide matrix as a named format; the filter on the long name chooses its columns."""
+    t, path = table(spark, sf, "embeddings"), _path(spark, "wide")
+    width = t.agg(F.max(F.size("embedding"))).first()[0] or 0
+    t.selectExpr("vec_id", *(f"embedding[{i}] as p{i}" for i in range(width))).write.parquet(path)
+    formats.register(spark)
+    long = spark.read.format("wide_matrix").option("ids", "vec_id").load(path)
+    return long.where(F.col("sample_id").isin("p0", "p3", "p17")).select("sample_id", "vec_id", F.col("tpm_value").cast("double").alias("v"))
+
+
 @query("select event_type, count(*) n from events where event_type is not null group by 1")
 def json_document(spark, sf):
     """Counts as a JSON document, written and read through Spark's file systems."""

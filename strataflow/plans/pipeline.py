@@ -14,6 +14,7 @@ from strataflow.operators.profiling import duplicates
 from strataflow.operators.reshape import to_long
 from strataflow.plans import lineage
 from strataflow.sources import readers, sinks
+from strataflow.sources.footers import row_count
 
 IDS = ["gene_id", "gene_symbol"]
 KEYS = [*IDS, "tissue_id"]
@@ -32,10 +33,11 @@ class Layout:
         return f"{self.root}/{name}"
 
 
-def tagged_long(wide: DataFrame, dim: DataFrame) -> DataFrame:
-    """The long rows of a matrix with Name, Description and one column per sample, with tissue_id and matched."""
+def tagged_long(wide: DataFrame, dim: DataFrame, measured: bool = False) -> DataFrame:
+    """The long rows of a matrix with Name, Description and one column per sample, with tissue_id and matched; measured
+    as in join.tagged()."""
     named = wide.withColumnsRenamed({"Name": "gene_id", "Description": "gene_symbol"})
-    return join.tagged(to_long(named, IDS, readers.value_columns(named, IDS)), dim, "sample_id")
+    return join.tagged(to_long(named, IDS, readers.value_columns(named, IDS)), dim, "sample_id", measured)
 
 
 def long_form(wide: DataFrame, dim: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -43,8 +45,13 @@ def long_form(wide: DataFrame, dim: DataFrame) -> tuple[DataFrame, DataFrame]:
     return join.split(tagged_long(wide, dim), LONG)
 
 
-def summary(silver: DataFrame) -> DataFrame:
-    return group_features(silver, KEYS, "tpm_value").withColumnsRenamed(NAMES)
+#: Rows of a group from which its median is bracketed first, so that its buffer stays bounded.
+LARGE_GROUP = 1_000_000
+
+
+def summary(silver: DataFrame, largest: int = 0) -> DataFrame:
+    """Features; largest is the number of rows that a group may have."""
+    return group_features(silver, KEYS, "tpm_value", large_groups=largest > LARGE_GROUP).withColumnsRenamed(NAMES)
 
 
 def schema(spark: SparkSession, text: str):
@@ -53,14 +60,14 @@ def schema(spark: SparkSession, text: str):
 
 def run(spark: SparkSession, source: str, dimension_tsv: str, out: str, key: str = "SAMPID", value: str = "SMTSD", zero_baseline: float = 0.5189, tolerance: float = 0.05, most_quarantined: float = 0.01, least_samples: int = 100, expected_rows: int | None = None) -> dict:
     """Runs all layers and returns the pipeline's lineage. A failed critical check raises and publishes nothing, the
-    quarantine neither. The raw copy must have expected_rows rows, those of the source where none are given."""
+    quarantine neither. A scan of the raw copy must find expected_rows rows, or as many as the footers of the source say."""
     at, infra = Layout(out), {"infra_fingerprint": session.fingerprint(session.machine())}
     bronze = sinks.copy_raw(spark, source, at.bronze)
     if not bronze:
         raise FileNotFoundError(source)
     wide = spark.read.parquet(at.bronze)
     samples = readers.value_columns(wide, ["Name", "Description"])
-    expected = spark.read.parquet(source).count() if expected_rows is None else expected_rows
+    expected = row_count(spark, source) if expected_rows is None else expected_rows
     dup = duplicates(wide, ["Name"]).first()
     rows = dup["total"]
     quality.gate(quality.bronze_report(dup["duplicates"], rows, wide.where("Description is null").count(), expected))
@@ -95,7 +102,9 @@ def run(spark: SparkSession, source: str, dimension_tsv: str, out: str, key: str
         # Features must agree with the share of zeros that silver has, not with the one expected of the source.
         found["gold_report"] = quality.gate(quality.gold_report(g, KEYS, entities, m["group_count"], m["zero_fraction"], tolerance))
 
-    sinks.publish(spark, summary(silver), at.gold, "tissue_id", check_gold, "zstd", schema=schema(spark, GOLD), measures=metrics.gold_measures(KEYS))
+    # One entity's rows in a tissue: its samples, unless names repeat.
+    largest = (dim.groupBy("tissue_id").count().agg({"count": "max"}).first()[0] or 0) * -(-rows // max(entities, 1))
+    sinks.publish(spark, summary(silver, largest), at.gold, "tissue_id", check_gold, "zstd", schema=schema(spark, GOLD), measures=metrics.gold_measures(KEYS))
     g = found["gold"]
     g_line = lineage.document("gold", s_line["output"], {"path": at.gold, "partition_col": "tissue_id", "row_count": g["row_count"], "tissue_count": g["group_count"]}, found["gold_report"], ["group features of log1p"], duration_seconds=time.time() - began, **infra)
     sinks.save_json(spark, g_line, f"{at.lineage}/gold.json")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from bisect import bisect_right
 from itertools import accumulate
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,16 +46,19 @@ def files_below(spark: SparkSession, path: str) -> DataFrame:
 
 
 def dimension(spark: SparkSession, path: str, key: str, value: str) -> DataFrame:
-    """(key, value) of a tab-separated file with a header. Lines are read with their place, so that of repeated keys
-    the last valid line wins; short lines and blank keys or values are left out; quotes are literal."""
-    lines = spark.read.option("wholetext", "false").text(path).select(F.split("value", "\t", -1).alias("f"), F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"))
-    head = lines.orderBy("file", "at").first()
-    names = [c.strip() for c in head["f"]] if head else []
+    """(key, value) of a tab-separated file with a header, or of a folder of such files in the order of their names.
+    Lines are read with their place, so that of repeated keys the last valid line wins; short lines and blank keys or
+    values are left out; quotes are literal. The header is that of the first file."""
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("at"))
+    lines = spark.read.option("wholetext", "false").text(path)
+    files = lines.inputFiles()
+    head = spark.read.text(unquote(min(files))).first() if files else None
+    names = [c.strip() for c in head[0].split("\t")] if head else []
     missing = [c for c in (key, value) if c not in names]
     if missing:
         raise KeyError(f"{path} has no column {', '.join(missing)}")
     i, j = names.index(key), names.index(value)
-    rows = lines.where(f"size(f) > {max(i, j)}").select(strip(F.col("f")[i]).alias(key), strip(F.col("f")[j]).alias(value), "at")
+    rows = lines.select(F.split("value", "\t", -1).alias("f"), place.alias("at")).where(f"size(f) > {max(i, j)}").select(strip(F.col("f")[i]).alias(key), strip(F.col("f")[j]).alias(value), "at")
     rows = rows.where((F.col(key) != "") & (F.col(value) != "") & ~((F.col(key) == key) & (F.col(value) == value)))
     return last_wins(rows, key, value, "at")
 

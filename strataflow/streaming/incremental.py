@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from strataflow.operators.join import split
+from strataflow.operators.join import sized, split
 from strataflow.plans.pipeline import LONG, tagged_long
 
 
@@ -14,8 +14,10 @@ def stream_silver(spark: SparkSession, source: str, schema: StructType, dim: Dat
     """Takes the files of `source` that the checkpoint has not seen. A batch's files are named by its number and
     overwritten if it is run again, so a retry repeats no row."""
 
+    dim = sized(dim)  # counted once, not in each batch
+
     def write(batch: DataFrame, number: int) -> None:
-        both = tagged_long(batch, dim).persist()  # two writes, one join
+        both = tagged_long(batch, dim, measured=True).persist()  # two writes, one join
         matched, unmatched = split(both, LONG)
         matched.write.mode("overwrite").partitionBy("tissue_id").parquet(f"{out}/batch={number}")
         unmatched.write.mode("overwrite").parquet(f"{quarantine}/batch={number}")

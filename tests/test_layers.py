@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import json
 import math
+import subprocess
+import sys
 import time
 
 import numpy as np
@@ -15,9 +17,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from strataflow import session
-from strataflow.operators import features, join, metrics, profiling, quality, reshape
+from strataflow.operators import features, join, keysets, metrics, profiling, quality, reshape, states
 from strataflow.plans import lineage, pipeline
-from strataflow.sources import footers, readers, sinks, versions
+from strataflow.sources import footers, formats, readers, sinks, versions
 from strataflow.streaming.incremental import stream_silver
 
 FEATURES = "g string, v float"
@@ -65,6 +67,97 @@ def test_median_of_large_groups(spark):
         assert a[0] == b[0] and all(x == y or math.isclose(x, y, abs_tol=1e-12) for x, y in zip(a[1:], b[1:], strict=True))
 
 
+def test_states_of_increments_equal_one_run(spark, tmp_path):
+    """Two increments, then a changed file: states equal those of one run, and only new files are read."""
+    rng, made, keys = np.random.default_rng(2), [], ["g"]
+    rows = lambda n, shift: [(None if i % 9 == 0 else f"g{i % 4}", None if i % 13 == 0 else 0.0 if i % 5 == 0 else float(rng.exponential(3) + shift)) for i in range(n)]
+    source, path = f"{tmp_path}/in", f"{tmp_path}/states"
+
+    def make(df):
+        made.append(len(df.inputFiles()))
+        return states.feature_states(df, keys, "v")
+
+    def refresh():
+        return states.refresh(spark, source, path, make, lambda a, b: states.merge_features(a, b, keys))
+
+    with pytest.raises(Exception):  # noqa: B017  no such folder
+        refresh()
+    spark.createDataFrame([*rows(900, 0), ("only first", 4.0)], FEATURES).coalesce(2).write.parquet(source)
+    refresh()
+    spark.createDataFrame([*rows(700, 5e5), ("only last", 2.0)], FEATURES).coalesce(1).write.mode("append").parquet(source)
+    kept = refresh()
+    assert made == [2, 1] and refresh().count() == kept.count() and made == [2, 1]
+    want = {r.g: tuple(r)[1:] for r in features.group_features(spark.read.parquet(source), keys, "v", True).collect()}
+    for again in range(2):
+        got = {r.g: tuple(r)[1:] for r in states.features_of(refresh(), keys, True).collect()}
+        assert set(got) == set(want) and all(x == y or math.isclose(x, y, rel_tol=1e-9) for g in want for x, y in zip(got[g], want[g], strict=True))
+        if not again:  # a file goes: all others are read anew
+            gone = next(p for p in (tmp_path / "in").glob("*.parquet") if pq.read_table(p).num_rows == 701)
+            gone.unlink()
+            want = {r.g: tuple(r)[1:] for r in features.group_features(spark.read.parquet(source), keys, "v", True).collect()}
+    assert made == [2, 1, 2]
+
+
+def test_median_of_merged_sketches_is_within_its_bound(spark):
+    x = np.random.default_rng(4).lognormal(1.5, 2.0, 40_000)
+    parts = [spark.createDataFrame([("a", float(v)) for v in x[i::2]], FEATURES.replace("float", "double")) for i in (0, 1)]
+    merged = states.merge_features(*(states.feature_states(p, ["g"], "v") for p in parts), ["g"])
+    got = states.features_of(merged, ["g"], True).first()
+    rank = (np.log1p(x) <= got.median_log1p).mean()
+    assert abs(rank - 0.5) <= states.median_error() < 0.006 and got.sample_count == 40_000
+    assert math.isclose(got.mean_log1p, np.log1p(x).mean()) and math.isclose(got.std_log1p, np.log1p(x).std())
+
+
+def test_distinct_sketches_union_without_a_scan(spark, tmp_path):
+    df = spark.range(60_000).selectExpr("id % 20011 as a", "cast(id % 7 as string) as b", "cast(null as int) as c")
+    df.repartition(5).write.parquet(f"{tmp_path}/in")
+    make = lambda d: states.distinct_states(d, ["a", "b", "c"])
+    kept = states.refresh(spark, f"{tmp_path}/in", f"{tmp_path}/s", make, lambda a, b: a.unionByName(b))
+    spark.range(60_000, 60_000 + 500).selectExpr("id as a", "cast(id as string) as b", "1 as c").write.mode("append").parquet(f"{tmp_path}/in")
+    kept = states.refresh(spark, f"{tmp_path}/in", f"{tmp_path}/s", make, lambda a, b: a.unionByName(b))
+    files = {f.rsplit("/", 1)[1] for f in spark.read.parquet(f"{tmp_path}/in").inputFiles()}
+    got = {r.column: r for r in states.distinct_estimates(kept).collect()}
+    assert {r.file.rsplit("/", 1)[1] for r in kept.collect()} == files
+    assert not any("/in/" in f for f in states.distinct_estimates(kept).inputFiles())
+    for c, exact, known in (("a", 20_511, 60_500), ("b", 507, 60_500), ("c", 1, 500)):
+        assert got[c].known == known and abs(got[c].estimate - exact) <= 0.033 * exact and got[c].least <= exact
+
+
+KEYS_DDL = "a string, b int"
+
+
+@pytest.mark.parametrize(("n", "repeat"), [(0, 0), (1, 3), (4_000, 0), (4_000, 700), (10, 5_000)])
+def test_duplicates_behind_a_filter(spark, n, repeat):
+    rows = [(f"k{i}", i % 5) for i in range(n)] + [(f"k{i % 90}", 1) for i in range(repeat)] + [(None, 1), (None, 1), ("x", None), (None, None)]
+    df = spark.createDataFrame(rows, KEYS_DDL).repartition(5)
+    assert keysets.duplicates(df, ["a", "b"]).first() == profiling.duplicates(df, ["a", "b"]).first()
+
+
+def test_a_unique_key_is_hardly_shuffled(spark):
+    df = spark.range(0, 400_000, 1, 8).selectExpr("concat('a-key-of-some-length-', id) as k")
+    parts = keysets.positions_of(df, ["k"], 400_000 * keysets.ROOM).select("__at").mapInArrow(keysets.filter_parts(400_000 * keysets.ROOM), "slot int, bits binary")
+    sent = parts.agg(F.sum(F.octet_length("bits"))).first()[0]
+    twice = parts.groupBy("slot").applyInArrow(keysets.hit_twice(400_000 * keysets.ROOM), "__at long").count()
+    assert sent / 400_000 < 2.5 and twice < 1_000
+    values = np.unique(np.random.default_rng(1).integers(0, 2**40, 1000))
+    assert (keysets.unpacked(keysets.packed(values)) == values).all() and (keysets.unpacked(keysets.packed(np.zeros(1, np.int64))) == 0).all()
+
+
+def test_overlaps_equal_semi_joins(spark):
+    rng = np.random.default_rng(6)
+    rows = [(f"g{rng.integers(5)}", int(k)) for k in rng.integers(0, 90_000, 60_000)] + [(None, 1), ("g0", None), ("alone", -5), ("g1", -5), ("alone", -5)]
+    df = spark.createDataFrame(rows, "g string, k long")
+    got = {(r.a, r.b): r.n for r in keysets.overlaps(df, "g", "k").collect()}
+    names = sorted({r[0] for r in rows} - {None})
+    for i, a in enumerate(names):
+        for b in names[i:]:
+            left, right = (df.where(F.col("g") == x).select("k") for x in (a, b))
+            assert got.get((a, b), 0) == join.overlap(left, right, "k").where("k is not null").count()
+    codes = keysets.coded(df, "k").orderBy("k").collect()
+    assert [r.code for r in codes] == list(range(len({r[1] for r in rows} - {None})))
+    assert keysets.overlaps(df.limit(0), "g", "k").count() == 0
+
+
 def test_publish_keeps_the_old_layer(spark, tmp_path):
     path, df = f"{tmp_path}/layer", spark.createDataFrame([("a", 1), ("01", 2)], "k string, v int")
     wider = spark.createDataFrame([], "v long, k string").schema
@@ -268,6 +361,41 @@ def test_dimension_rules(spark, tmp_path):
         readers.dimension(spark, str(p), "SAMPID", "NOPE")
 
 
+def test_dimension_as_a_format(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "dims"
+    folder.mkdir()
+    (folder / "a.tsv").write_text('SAMPID\tX\tSMTSD\ns1\t.\tLiver\ns1\t.\t \ns1\t.\t Blood \ns2\t.\ns3\t.\t"Q" A\ns4\t.\t\n')
+    (folder / "b.tsv").write_text("SAMPID\tX\tSMTSD\ns5\t.\tÄ\ns3\t.\tlate\n" + "".join(f"n{i}\t.\tt{i % 3}\n" for i in range(500)))
+    formats.register(spark)
+    for size in (1 << 20, 1_000):  # one partition, several
+        monkeypatch.setattr(formats, "PART", size)
+        reader = formats.DimensionReader(str(folder), "SAMPID", "SMTSD")
+        assert sorted(r for p in reader.partitions() for r in reader.read(p)) == sorted(map(tuple, readers.dimension(spark, str(folder), "SAMPID", "SMTSD").collect()))
+    dim = spark.read.format("tsv_dimension").option("key", "SAMPID").option("value", "SMTSD").load(str(folder))
+    assert sorted(map(tuple, dim.collect())) == sorted(map(tuple, readers.dimension(spark, str(folder), "SAMPID", "SMTSD").collect()))
+    assert {tuple(r) for r in dim.where("SAMPID in ('s1', 's3', 'no')").collect()} == {("s1", "Blood"), ("s3", "late")}
+    assert {tuple(r) for r in dim.where("SAMPID = 's1' and SMTSD = 'x'").collect()} == set()
+    with pytest.raises(KeyError):
+        formats.DimensionReader(str(folder), "SAMPID", "NOPE")
+
+
+def test_matrix_as_a_format(spark, tmp_path):
+    rng = np.random.default_rng(9)
+    cells = {f"s{i}": pa.array([None if rng.random() < 0.1 else float(v) for v in rng.random(40)], pa.float64()) for i in range(130)}
+    whole = pa.table({"Name": [f"g{i % 30}" for i in range(40)], "Description": [None if i % 7 == 0 else f"d{i}" for i in range(40)], **cells})
+    (tmp_path / "m").mkdir()
+    pq.write_table(whole, tmp_path / "m" / "a.parquet", row_group_size=15)
+    pq.write_table(whole.slice(0, 3), tmp_path / "m" / "b.parquet")
+    formats.register(spark)
+    long = spark.read.format("wide_matrix").option("width", "50").load(str(tmp_path / "m"))
+    wide = spark.read.parquet(str(tmp_path / "m"))
+    want = reshape.to_long(wide, ["Name", "Description"], readers.value_columns(wide, ["Name", "Description"]))
+    assert sorted(map(str, long.collect())) == sorted(map(str, want.collect())) and long.rdd.getNumPartitions() == 4 * 3
+    some = "sample_id in ('s3', 's77', 'none') and Name = 'g4' and tpm_value > 0.2"
+    assert sorted(map(str, long.where(some).collect())) == sorted(map(str, want.where(some).collect()))
+    assert long.where("sample_id = 's3'").rdd.getNumPartitions() == 4 and long.where("sample_id = 'none'").count() == 0
+
+
 def test_checks():
     q = quality
     assert q.quarantine(1, 100).passed and not q.quarantine(2, 100).passed and q.quarantine(0, 0).passed
@@ -297,6 +425,37 @@ def test_profiles(spark):
     assert profiling.skew(df.limit(0), "k").first().ratio == 999.0
 
 
+def test_mapping_rule_is_one(spark):
+    sizes = spark.createDataFrame([(n,) for n in (0, 1, 99, 100, 5_000)], "n int")
+    for least in (100, 1, 0):
+        assert [(r.ok, r.message) for r in quality.mapping_checks(sizes, "n", least).orderBy("n").collect()] == [quality.valid_mapping(n, least) for n in (0, 1, 99, 100, 5_000)]
+
+
+def test_session_is_built_from_a_preset():
+    """In a process of its own: a session of the mode, the memory and the preset."""
+    code = "from strataflow import session as s; p = s.preset_named('BALANCED'); b = s.build('local', '1g', p, {'spark.ui.enabled': 'false'}); print('CONF', all(b.conf.get(k) == v for k, v in p.conf().items()), b.conf.get('spark.driver.memory'), b.conf.get('spark.ui.enabled'), b.range(5).count()); b.stop()"
+    said = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120, check=True).stdout
+    assert said.strip().endswith("CONF True 1g false 5")
+
+
+def test_layers_in_a_store_that_only_spark_reads(spark, tmp_path):
+    """A mounted store, as an object store is: read, written, published and copied by its own path."""
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.shop.link./in", f"file://{tmp_path}")
+    at, df = "viewfs://shop/in", spark.createDataFrame([("a", 1), ("b", 2), ("b", 3)], "k string, v int")
+    found = []
+    sinks.publish(spark, df, f"{at}/layer", "k", found.append, measures=[F.sum("v").alias("s")])
+    assert found == [{"row_count": 3, "s": 6, "group_count": 2}] and readers.layer(spark, f"{at}/layer", ("k",)).count() == 3
+    assert sinks.is_complete(spark, f"{at}/layer", 3) and not sinks.is_complete(spark, f"{at}/none", 3)
+    df.coalesce(1).write.parquet(f"{at}/raw")
+    assert {r.column: r.high for r in footers.column_profile(spark, f"{at}/raw").collect()} == {"k": None, "v": "3"}
+    assert sinks.copy_raw(spark, f"{at}/raw", f"{at}/copy")["bytes"] > 0 and spark.read.parquet(f"{at}/copy").count() == 3
+    sinks.save_json(spark, {"é": 1}, f"{at}/x.json")
+    assert readers.json_document(spark, f"{at}/x.json") == {"é": 1}
+    kept = states.refresh(spark, f"{at}/raw", f"{at}/states", lambda d: states.feature_states(d, ["k"], "v"), lambda a, b: states.merge_features(a, b, ["k"]))
+    assert kept.count() == 2
+
+
 def test_session_presets():
     assert [session.preset_for(x).name for x in (1, 4, 16, 64)] == ["SURVIVAL", "BALANCED", "PERFORMANCE", "PRO"]
     assert session.downgrade(session.preset_named("pro")).name == "PERFORMANCE" and session.downgrade(session.preset_named("survival")) is None
