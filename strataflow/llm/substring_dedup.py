@@ -17,9 +17,9 @@ Every window belongs to exactly one context, so both steps together decide each
 that combine before their shuffle: a passage in a third of all documents is a count, never a group in one task.
 
 Equality is that of 128 bits (64 of the anchor and 64 of the context or window).
-Nulls and empty texts have no words. Texts shorter than a window lose nothing. Repeated rows count as documents of
-their own and so lose all their windows, if doc_id differs; doc_id identifies a document and may not be repeated; rows
-of a null doc_id keep all their words. Other columns are left out.
+Nulls and empty texts have no words. Texts shorter than a window lose nothing. Every row is a document of its own, also
+where doc_id is null or repeated, so equal rows lose all their windows. Spans belong to a doc_id with a text (a null
+doc_id: with a second hash of the text), so rows that share a doc_id don't meet. Other columns are left out.
 """
 
 from __future__ import annotations
@@ -37,6 +37,7 @@ from strataflow.llm.graph import keep
 from strataflow.llm.textops import Words, signed, slices
 
 WINDOW, GRAM = 35, 8
+KEY = "struct<d: long, t: long>"
 SCHEMA = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
 
@@ -67,7 +68,7 @@ def contexts(words: Words, window: int, gram: int) -> tuple[np.ndarray, ...]:
 
 
 def find_contexts(docs: DataFrame, window: int, gram: int) -> DataFrame:
-    """(a, c, docs, lo, hi): contexts with their places; equal ones of one slice of texts are one row."""
+    """docs: key, text. (a, c, docs, lo, hi): contexts with their places; equal ones of one slice of texts are one row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -82,11 +83,11 @@ def find_contexts(docs: DataFrame, window: int, gram: int) -> DataFrame:
                 lists = [pa.ListArray.from_arrays(ends, x) for x in (part.column(0).take(pa.array(row)), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32)))]
                 yield pa.RecordBatch.from_arrays([pa.array(signed(a[first])), pa.array(signed(c[first])), *lists], ["a", "c", "docs", "lo", "hi"])
 
-    return docs.mapInArrow(run, "a long, c long, docs array<long>, lo array<int>, hi array<int>")
+    return docs.mapInArrow(run, f"a long, c long, docs array<{KEY}>, lo array<int>, hi array<int>")
 
 
 def window_rows(docs: DataFrame, window: int) -> DataFrame:
-    """docs: doc_id, text, spans array<struct<a, lo, hi, n>>. One row per window of the spans; n copies each."""
+    """docs: key, text, spans array<struct<a, lo, hi, n>>. One row per window of the spans; n copies each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -102,9 +103,9 @@ def window_rows(docs: DataFrame, window: int) -> DataFrame:
                 pos = lo[which] + np.arange(len(which)) - np.repeat(np.cumsum(size) - size, size)
                 start = words.first[row[which]] + pos
                 h = words.runs(start, start + window, total)
-                yield pa.RecordBatch.from_arrays([pa.array(a[which]), pa.array(signed(h)), part.column(0).take(pa.array(row[which])), pa.array(pos.astype(np.int32)), pa.array(n[which])], ["a", "w", "doc_id", "pos", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(a[which]), pa.array(signed(h)), part.column(0).take(pa.array(row[which])), pa.array(pos.astype(np.int32)), pa.array(n[which])], ["a", "w", "key", "pos", "n"])
 
-    return docs.mapInArrow(run, "a long, w long, doc_id long, pos int, n long")
+    return docs.mapInArrow(run, f"a long, w long, key {KEY}, pos int, n long")
 
 
 def strip_spans(docs: DataFrame, window: int) -> DataFrame:
@@ -144,8 +145,7 @@ def strip_spans(docs: DataFrame, window: int) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """(doc_id, spans): runs of first words of windows that also start elsewhere. docs: doc_id, text, no nulls in
-    doc_id."""
+    """(key, spans): runs of first words of windows that also start elsewhere. docs: key, text."""
     # The index is dealt by anchor once, after equal contexts were combined slice by slice; what only one place has
     # ends here.
     dealt = find_contexts(docs, window, gram).repartition("a")
@@ -153,25 +153,25 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
     index = dealt.withColumn("n", F.sum(F.size("docs")).over(Window.partitionBy("a", "c"))).withColumn("first", ~F.col("c").eqNullSafe(F.lag("c").over(by_anchor)))
     index = index.withColumn("kinds", F.sum(F.col("first").cast("long")).over(Window.partitionBy("a"))).where("n > 1 or kinds > 1")
     index = keep(index)
-    asked = index.where("kinds > 1 and first").select(F.col("docs")[0].alias("doc_id"), F.struct("a", F.col("lo")[0].alias("lo"), F.col("hi")[0].alias("hi"), "n").alias("s"))
-    asked = asked.groupBy("doc_id").agg(F.collect_list("s").alias("spans"))
+    asked = index.where("kinds > 1 and first").select(F.col("docs")[0].alias("key"), F.struct("a", F.col("lo")[0].alias("lo"), F.col("hi")[0].alias("hi"), "n").alias("s"))
+    asked = asked.groupBy("key").agg(F.collect_list("s").alias("spans"))
     # Read twice below; the shuffled texts are one exchange, shared with the last join.
-    windows = window_rows(docs.join(asked, "doc_id"), window)
+    windows = window_rows(docs.join(asked, "key").select("key", "text", "spans"), window)
     # Contexts of several copies are decided; their windows only count for the others.
     twice = windows.groupBy("a", "w").agg(F.sum("n").alias("total"), F.min("n").alias("least")).where("total > 1 and least = 1")
-    inside = windows.where("n = 1").join(twice.select("a", "w"), ["a", "w"], "left_semi").select("doc_id", F.struct(F.col("pos").alias("lo"), F.col("pos").alias("hi")).alias("s"))
+    inside = windows.where("n = 1").join(twice.select("a", "w"), ["a", "w"], "left_semi").select("key", F.struct(F.col("pos").alias("lo"), F.col("pos").alias("hi")).alias("s"))
     places = index.where("n > 1").select(F.explode(F.arrays_zip("docs", "lo", "hi")).alias("x"))
-    whole = places.select(F.col("x.docs").alias("doc_id"), F.struct("x.lo", "x.hi").alias("s"))
-    return whole.union(inside).groupBy("doc_id").agg(F.collect_list("s").alias("spans"))
+    whole = places.select(F.col("x.docs").alias("key"), F.struct("x.lo", "x.hi").alias("s"))
+    # A set: equal rows share a key and have the same spans.
+    return whole.union(inside).groupBy("key").agg(F.collect_set("s").alias("spans"))
 
 
 def substring_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """Per document: words, words removed and the digest of the words kept."""
-    own = docs.selectExpr("cast(doc_id as long) doc_id", "text")
-    known = own.where("doc_id is not null")
-    spans = repeated_spans(known, window, gram)
-    rest = own.where("doc_id is null").withColumn("spans", F.lit(None).cast(spans.schema["spans"].dataType))
-    return strip_spans(known.join(spans, "doc_id", "left").unionByName(rest), window)
+    key = F.struct(F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.lit(7), "text")).alias("d"), F.xxhash64("text").alias("t"))
+    own = docs.select(key.alias("key"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    spans = repeated_spans(own.select("key", "text"), window, gram)
+    return strip_spans(own.join(spans, "key", "left").select("doc_id", "text", "spans"), window)
 
 
 ORACLE = f"""
