@@ -8,7 +8,8 @@ left, so a round costs what still repeats. In an interval of min_lines lines or
 order stays; the others are later copies. Each is deleted at the deepest interval in which it is one, and deletions that
 touch are put together to the maximal repeated runs.
 
-Lines are split at line feeds and told apart by 128-bit hashes; ranks of hashes are in the order of hashes, so the
+Lines are split at line feeds and told apart by two 64-bit hashes whose seeds differ from the first byte on, so that
+neither follows from the other; ranks of hashes are in the order of hashes, so the
 array's order is not that of the letters, which its intervals don't need. A run may overlap itself. Null texts stay null,
 empty ones empty; documents under min_lines lines stay as they are. With long_words, a repeated line of at least so many
 words is a run by itself, also where it is a whole document; op7 goes by its SQL, without it. A document is a doc_id with
@@ -33,10 +34,10 @@ PLACE = ["doc_id", "t", "pos"]
 
 
 def line_rows(docs: DataFrame, long_words: int | None) -> DataFrame:
-    """(doc_id, t, pos, x, y, long): every line with the two halves of its hash."""
+    """(doc_id, t, pos, x, y, long): every line with its two hashes."""
     lines = docs.where("text is not null and doc_id is not null").select("doc_id", "t", F.posexplode(F.split("text", "\n", -1)).alias("pos", "l"))
     long = F.expr(f"length(l) >= {2 * long_words - 1} and size(filter(split(l, r'\\s+'), w -> w != '')) >= {long_words}") if long_words else F.lit(False)
-    return lines.select(*PLACE, F.xxhash64("l").alias("x"), F.expr("xxhash64(l, length(l), 7)").alias("y"), long.alias("long"))
+    return lines.select(*PLACE, F.xxhash64("l").alias("x"), F.xxhash64(F.lit(7), "l").alias("y"), long.alias("long"))
 
 
 def ranked(suffixes: DataFrame, key: list[str]) -> DataFrame:

@@ -61,6 +61,25 @@ def test_substring_dedup(spark, corpus):
     assert substring_dedup.substring_dedup(documents(spark, corpus).limit(0)).count() == 0
 
 
+def test_substring_dedup_of_repeated_and_null_ids(spark):
+    """Texts that share a doc_id, in any order, equal rows, and rows without one: each is judged by itself."""
+    rng = random.Random(12)
+    shared, other, alone = prose(rng, 60), prose(rng, 50), prose(rng, 45)
+    rows = [(1, shared + " tail of one"), (2, "head " + shared), (1, prose(rng, 20)), (None, "before " + other), (2, other), (3, alone), (3, alone), (None, prose(rng, 40)), (None, None), (None, "x " + shared), (4, prose(rng, 90)), (4, "few words")]
+    for turn in (rows, rows[::-1]):
+        got = substring_dedup.substring_dedup(spark.createDataFrame(turn, "doc_id long, text string").coalesce(1)).collect()
+        want = [(i, *x) for (i, _), x in zip(turn, strip_brute([t for _, t in turn], 35), strict=True)]
+        assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+        assert {r[2] for r in got if r[1] == 61} == {60}
+
+
+def test_line_hashes_are_independent(spark):
+    """The second hash is no continuation of the first, so lines that meet in one need not meet in the other."""
+    lines = line_dedup.line_rows(spark.createDataFrame([(1, "some line\nanother\n", 0)], "doc_id long, text string, t long"), None)
+    for r in lines.withColumn("l", functions.expr("split('some line\\nanother\\n', '\\n', -1)[pos]")).selectExpr("x", "y", "xxhash64(l) x2", "xxhash64(7, l) y2", "xxhash64(l, 7) z", "xxhash64(l, length(l), 7) z2").collect():
+        assert (r.x, r.y) == (r.x2, r.y2) and r.y not in (r.z, r.z2)
+
+
 def sets_brute(texts):
     low = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
     for t in texts:
