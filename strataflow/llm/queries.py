@@ -32,7 +32,8 @@ def op3_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return surrogates.replace_entities(read(spark, sf_dir, "documents"))
+    """With the key that the session's setting strataflow.surrogates.key names, or one drawn for this run."""
+    return surrogates.replace_entities(read(spark, sf_dir, "documents"), spark.conf.get("strataflow.surrogates.key", None))
 
 
 def op5_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -394,6 +394,78 @@ def test_surrogates_formats(spark):
     assert out[12][:2] == "DE" and out[12].replace(" ", "")[:22] == out[12].replace(" ", "")[22:] and out[13] == "at 12:30:45 on 2024-01-02"
 
 
+def test_surrogates_whole_names(spark):
+    """All words of a name, particles kept, any blank, known family names alone, no name through an honorific."""
+    out = safe(spark, ["Dr. Martin Luther King spoke", "Señora María José García López y más", "Mr. Stone met Stone, and Stone's dog; Stones stay", "Herr von Stein, Mr  Double Space", "Mr\nNewline Name, Frau Anna de la Cruz", "Prof. Dr. Ada Lovelace", "Mr. J. R. Smith. He left", "Herr Klein Frau Klein", "Ms O'Neil-Jones and Mrs. Jones"])
+    for i, words in enumerate(("Martin Luther King", "María José García López", "Stone", "Stein Double Space", "Newline Name Anna Cruz", "Ada Lovelace", "Smith J. R.", "Klein", "O'Neil Jones")):
+        assert not any(re.search(rf"(?<![^\W_]){re.escape(w)}(?![^\W_])", out[i]) for w in words.split(" ")), out[i]
+    assert re.fullmatch(r"Dr\. [A-Z]\w+ [A-Z]\w+ [A-Z]\w+ spoke", out[0]) and out[1].endswith(" y más") and out[1].count(" ") == 6
+    family = re.match(r"Mr\. (\w+) met", out[2])[1]
+    assert out[2] == f"Mr. {family} met {family}, and {family}'s dog; Stones stay"
+    assert re.fullmatch(r"Herr von \w+, Mr  \w+ \w+", out[3]) and re.fullmatch(r"Mr\n\w+ \w+, Frau \w+ de la \w+", out[4]) and out[5].startswith("Prof. Dr. ") and out[6].endswith(". He left")
+    assert re.fullmatch(r"Herr (\w+) Frau \1", out[7])
+
+
+def test_surrogates_keep_script_and_format(spark):
+    out = safe(spark, ["bob@mail.acme-corp.com", "Dr Παπαδόπουλος", "δήμος@παράδειγμα.gr", "王伟@例子.cn", "ёлка@пример.рф", "sk-ABCDEFGHIJKLMNOP1234", "DE89 3704 0044 0532 0130 00", "+44 20 7946 0958 or 020 7946 0958", "ping ::1 and std::add", "שלום@דוגמה.co.il", "한국@예시.kr"])
+    assert re.fullmatch(r"[a-z]{3}@[a-z]{4}\.[a-z]{4}-[a-z]{4}\.com", out[0]) and "acme" not in out[0]
+    assert re.fullmatch(r"Dr [Α-Ω][α-ω]{11}", out[1]) and "Παπ" not in out[1] and re.fullmatch(r"[α-ω]{5}@[α-ω]{10}\.gr", out[2])
+    assert re.fullmatch(r"[一-鿿]{2}@[一-鿿]{2}\.cn", out[3]) and out[3] != "王伟@例子.cn" and re.fullmatch(r"[а-яё]{4}@[а-яё]{6}\.рф", out[4])
+    assert out[5].startswith("sk-") and out[5][3:7] != "ABCD" and not out[5].startswith("sk-ABC") and re.fullmatch(r"[א-ת]{4}@[א-ת]{5}\.[a-z]{2}\.il", out[9]) and re.fullmatch(r"[가-힣]{2}@[가-힣]{2}\.kr", out[10])
+    iban = out[6].replace(" ", "")
+    assert int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1 and [len(x) for x in out[6].split(" ")] == [4, 4, 4, 4, 4, 2]
+    a, b = out[7].split(" or ")
+    assert re.sub(r"\D", "", a)[2:] == re.sub(r"\D", "", b)[1:] and a.startswith("+44") and b[0] == "0" and "7946" not in out[7]
+    assert "::1 " not in out[8] and out[8].endswith("and std::add")
+
+
+def test_surrogates_follow_the_key(spark):
+    docs = documents(spark, ["Mr. Bob Stone a@b.org"])
+    one, same, other, drawn, again = (surrogates.replace_entities(docs, k).first().text_safe for k in ("k1", "k1", "k2", None, None))
+    assert one == same and len({one, other, drawn, again}) == 4
+
+
+def test_surrogates_random(spark):
+    """Random texts of planted entities and plain words: no entity is left, all else is, each entity has one surrogate
+    in every text, and no two share one."""
+    rng = random.Random(77)
+    pick = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    low = "abcdefghijklmnopqrstuvwxyz"
+    people = [(rng.choice(["Mr", "Mrs", "Dr"]), pick(low, 6).capitalize(), pick(low, 8).capitalize()) for _ in range(25)]
+    make = {
+        "mail": lambda: f"{pick(low, 7)}.{pick('0123456789', 2)}@{pick(low, 6)}.{pick(low, 5)}.com",
+        "phone": lambda: f"+1 ({pick('23456789', 3)}) {pick('23456789', 3)}-{pick('0123456789', 4)}",
+        "card": lambda: pick("123456789", 16),
+        "ip": lambda: ".".join(str(rng.randrange(10, 255)) for _ in range(4)),
+        "secret": lambda: "1" + pick("0123456789abcdef", 38) + "7",
+    }
+    pool = {k: [f() for _ in range(30)] for k, f in make.items()}
+    texts, planted = [], []
+    for _ in range(120):
+        parts, own = [], []
+        for _ in range(rng.randrange(1, 9)):
+            parts.append(" ".join(pick(low, rng.randrange(2, 9)) for _ in range(rng.randrange(1, 6))))
+            kind = rng.choice([*pool, "name"])
+            if kind == "name":
+                title, given, family = rng.choice(people)
+                own.append(f"{title}. {given} {family}")
+            else:
+                own.append(rng.choice(pool[kind]))
+            parts.append(own[-1])
+        texts.append(" ".join(parts) + " end")
+        planted.append(own)
+    got, to, of = safe(spark, texts), {}, {}
+    for text, new, own in zip(texts, got, planted, strict=True):
+        rest = re.escape(text)
+        for e in own:
+            rest = rest.replace(re.escape(e), "(.+?)", 1)
+        found = re.fullmatch(rest, new)
+        assert found, (text, new)
+        for e, s in zip(own, found.groups(), strict=True):
+            assert to.setdefault(e, s) == s and of.setdefault(s, e) == e and s != e and len(s) >= 5
+            assert not any(w in s for w in re.findall(r"[A-Z][a-z]{5,}|\d{4,}", e))
+
+
 def test_surrogates_edges(spark):
     """Long texts and entities, repeated rows, null ids, an empty table; the rest of a text is untouched."""
     long = "lorem ipsum, " * 20_000
