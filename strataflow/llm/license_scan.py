@@ -2,10 +2,11 @@
 
 The hints of a template are so many of its longest words that no wording of MATCH can lack them all. At each place of
 a hint, blocks start at every word where the template may then start, with up to SLACK words put in or the missing ones
-left out before it. Blocks that hold enough of the template's words are compressed plainly and with the template as a
-raw-content zstandard dictionary; those that save bytes are confirmed by their exact wording: the words of block and
-template are aligned and the template is reported if the share of its words that stand in order is MATCH at least, with
-the differences (words missing and words put in). Of notices that overlap, the one of most words stands.
+left out before it. Every block is compressed plainly and with its template as a raw-content zstandard dictionary, and
+the blocks of all templates are ranked by the bytes that the dictionary saves. In that order each is confirmed by its
+exact wording, unless it overlaps a notice that stands already: the words of block and template are aligned, and the
+template is reported if the share of its words that stand in order is MATCH at least, with the differences (words
+missing and words put in). So of several templates whose wording fits, the one that compresses the block best is it.
 
 The whole text is searched, across line breaks and at any place of a line; line is the line of the notice's first word.
 Null and empty texts hold nothing. Repeated rows each give their rows; equal notices in one document are separate rows.
@@ -89,17 +90,20 @@ class Scanner:
                 out.update((name, s) for s in range(max(0, at - i - SLACK), min(at, at - i + missing) + 1))
         return out
 
-    def hit(self, name: str, got: list[str], block: str) -> tuple | None:
-        """(words in order, share, saved, differences, first and last aligned word) where block has the wording."""
+    def saved(self, name: str, block: str) -> int:
+        """Bytes by which the template as a dictionary shrinks the block."""
+        raw = " ".join(block.split()).encode("utf-8", "surrogatepass")
+        return len(self.plain.compress(raw)) - len(self.given[name].compress(raw))
+
+    def confirmed(self, name: str, got: list[str]) -> tuple | None:
+        """(share, differences, first and last aligned word) where a block has the template's wording."""
         own, bag = self.words[name], Counter(got)
         if sum(min(n, bag[w]) for w, n in self.bags[name].items()) < least(own):
             return None
-        raw = " ".join(block.split()).encode("utf-8", "surrogatepass")
-        saved = len(self.plain.compress(raw)) - len(self.given[name].compress(raw))
         match = SequenceMatcher(None, own, got, autojunk=False)
         runs = match.get_matching_blocks()[:-1]
         count = sum(m.size for m in runs)
-        if saved <= 0 or count < least(own):
+        if count < least(own):
             return None
         diff = []
         for op, i, j, k, m in match.get_opcodes():
@@ -110,23 +114,29 @@ class Scanner:
                 diff += [f"+{w}" for w in got[max(k, m - j) : m]]
             elif op == "replace" or op == "insert" and 0 < i < len(own):
                 diff += [f"+{w}" for w in got[k : min(m, k + (j - i))] or got[k:m]]
-        return count, count / len(own), saved, diff, runs[0].b, runs[-1].b + runs[-1].size
+        return count / len(own), diff, runs[0].b, runs[-1].b + runs[-1].size
 
     def scan(self, text: str) -> Iterator[tuple[int, str, int, float, list[str]]]:
         spans = [m.span() for m in WORD.finditer(text)]
         said = [text[i:j].lower() for i, j in spans]
-        found = []
+        ranked = []
         for name, s in self.starts(said):
             e = min(len(said), s + len(self.words[name]) + SLACK)
-            hit = self.hit(name, said[s:e], text[spans[s][0] : spans[e - 1][1]])
-            if hit:
-                count, share, saved, diff, first, last = hit
-                found.append((-count, -share, len(diff), -saved, s + first, s + last, name, diff))
-        taken, out = set(), []
-        for _, share, _, saved, first, last, name, diff in sorted(found):
-            if taken.isdisjoint(range(first, last)):
-                taken.update(range(first, last))
-                out.append((spans[first][0], name, -saved, -share, diff))
+            gain = self.saved(name, text[spans[s][0] : spans[e - 1][1]])
+            if gain > 0:
+                ranked.append((-gain, s, name, e))
+        blocks, tried, taken, out = defaultdict(dict), {}, set(), []
+        for gain, s, name, e in ranked:
+            blocks[name][s] = (gain, e)
+        for _, s, name, _ in sorted(ranked):
+            # The template is chosen by its best block; its place, by the wording of its blocks around there.
+            near = [k for k in range(s - len(self.words[name]), s + len(self.words[name]) + 1) if k in blocks[name]]
+            tried |= {(name, k): self.confirmed(name, said[k : blocks[name][k][1]]) for k in near if (name, k) not in tried}
+            fits = [(-f[0], len(f[1]), k, f) for k in near if (f := tried[name, k]) and taken.isdisjoint(range(k + f[2], k + f[3]))]
+            if tried[name, s] and fits:
+                share, _, k, (_, diff, first, last) = min(fits, key=lambda x: x[:3])
+                taken.update(range(k + first, k + last))
+                out.append((spans[k + first][0], name, -blocks[name][k][0], -share, diff))
         for at, *rest in sorted(out):
             yield (text.count("\n", 0, at), *rest)
 

@@ -527,6 +527,19 @@ def test_license_brute(spark):
     assert rows == sorted((i, *r) for i, v in want.items() for r in v)
 
 
+def test_license_ranking_by_compression(spark):
+    """Templates whose words are alike, and one that is the other's beginning: the bytes saved decide."""
+    own = {"capitals": "THE GADGET IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND", "small": "the gadget is provided as is without warranty of any kind", "longer": "the gadget is provided as is without warranty of any kind and no promise whatsoever is given by its maker to anybody"}
+    texts = [f"one {own['capitals']} two", f"one {own['small']} two", f"one {own['longer']} two"]
+    got = {r.doc_id: r for r in license_scan.licenses(documents(spark, texts), own).collect()}
+    assert [got[i].template for i in range(3)] == ["capitals", "small", "longer"]
+    scanner = license_scan.Scanner(own)
+    for i, said in enumerate(texts[:2]):
+        words = license_scan.words(said)[1:-1]
+        assert all(scanner.confirmed(k, words)[0] == 1 for k in ("capitals", "small")) and got[i].matched == 1
+        assert max(("capitals", "small"), key=lambda k: scanner.saved(k, said)) == got[i].template
+
+
 def test_license_edges(spark):
     """Very long texts, repeated rows and notices, an empty table."""
     mit = license_scan.TEMPLATES["MIT-text"]
