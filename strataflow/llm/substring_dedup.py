@@ -37,7 +37,7 @@ from strataflow.llm.graph import keep
 from strataflow.llm.textops import Words, signed, slices
 
 WINDOW, GRAM = 35, 8
-KEY = "struct<d: long, t: long>"
+KEY = ["d", "t"]
 SCHEMA = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
 
@@ -68,33 +68,33 @@ def contexts(words: Words, window: int, gram: int) -> tuple[np.ndarray, ...]:
 
 
 def find_contexts(docs: DataFrame, window: int, gram: int) -> DataFrame:
-    """docs: key, text. (a, c, docs, lo, hi): contexts with their places; equal ones of one slice of texts are one row."""
+    """docs: d, t, text. (a, c, ds, ts, lo, hi): contexts with their places; equal ones of one slice of texts are one row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
-                a, c, row, lo, hi, _ = contexts(Words(part.column(1)), window, gram)
+            for part in slices(batch, 2):
+                a, c, row, lo, hi, _ = contexts(Words(part.column(2)), window, gram)
                 if not len(a):
                     continue
                 order = np.lexsort((c, a))
                 a, c, row, lo, hi = (x[order] for x in (a, c, row, lo, hi))
                 first = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (c[1:] != c[:-1])))
                 ends = pa.array(np.append(first, len(a)).astype(np.int32))
-                lists = [pa.ListArray.from_arrays(ends, x) for x in (part.column(0).take(pa.array(row)), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32)))]
-                yield pa.RecordBatch.from_arrays([pa.array(signed(a[first])), pa.array(signed(c[first])), *lists], ["a", "c", "docs", "lo", "hi"])
+                lists = [pa.ListArray.from_arrays(ends, x) for x in (part.column(0).take(pa.array(row)), part.column(1).take(pa.array(row)), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32)))]
+                yield pa.RecordBatch.from_arrays([pa.array(signed(a[first])), pa.array(signed(c[first])), *lists], ["a", "c", "ds", "ts", "lo", "hi"])
 
-    return docs.mapInArrow(run, f"a long, c long, docs array<{KEY}>, lo array<int>, hi array<int>")
+    return docs.mapInArrow(run, "a long, c long, ds array<long>, ts array<long>, lo array<int>, hi array<int>")
 
 
 def window_rows(docs: DataFrame, window: int) -> DataFrame:
-    """docs: key, text, spans array<struct<a, lo, hi, n>>. One row per window of the spans; n copies each."""
+    """docs: d, t, text, spans array<struct<a, lo, hi, n>>. One row per window of the spans; n copies each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
-                words = Words(part.column(1))
+            for part in slices(batch, 2):
+                words = Words(part.column(2))
                 total = words.prefix()
-                spans = part.column(2)
+                spans = part.column(3)
                 flat = spans.flatten()
                 row = np.repeat(np.arange(part.num_rows), np.asarray(spans.value_lengths()))
                 lo, hi, n, a = (flat.field(f).to_numpy(zero_copy_only=False) for f in ("lo", "hi", "n", "a"))
@@ -103,9 +103,9 @@ def window_rows(docs: DataFrame, window: int) -> DataFrame:
                 pos = lo[which] + np.arange(len(which)) - np.repeat(np.cumsum(size) - size, size)
                 start = words.first[row[which]] + pos
                 h = words.runs(start, start + window, total)
-                yield pa.RecordBatch.from_arrays([pa.array(a[which]), pa.array(signed(h)), part.column(0).take(pa.array(row[which])), pa.array(pos.astype(np.int32)), pa.array(n[which])], ["a", "w", "key", "pos", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(a[which]), pa.array(signed(h)), *(part.column(k).take(pa.array(row[which])) for k in (0, 1)), pa.array(pos.astype(np.int32)), pa.array(n[which])], ["a", "w", *KEY, "pos", "n"])
 
-    return docs.mapInArrow(run, f"a long, w long, key {KEY}, pos int, n long")
+    return docs.mapInArrow(run, "a long, w long, d long, t long, pos int, n long")
 
 
 def strip_spans(docs: DataFrame, window: int) -> DataFrame:
@@ -145,33 +145,33 @@ def strip_spans(docs: DataFrame, window: int) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """(key, spans): runs of first words of windows that also start elsewhere. docs: key, text."""
+    """(d, t, spans): runs of first words of windows that also start elsewhere. docs: d, t, text."""
     # The index is dealt by anchor once, after equal contexts were combined slice by slice; what only one place has
     # ends here.
     dealt = find_contexts(docs, window, gram).repartition("a")
     by_anchor = Window.partitionBy("a").orderBy("c")
-    index = dealt.withColumn("n", F.sum(F.size("docs")).over(Window.partitionBy("a", "c"))).withColumn("first", ~F.col("c").eqNullSafe(F.lag("c").over(by_anchor)))
+    index = dealt.withColumn("n", F.sum(F.size("ds")).over(Window.partitionBy("a", "c"))).withColumn("first", ~F.col("c").eqNullSafe(F.lag("c").over(by_anchor)))
     index = index.withColumn("kinds", F.sum(F.col("first").cast("long")).over(Window.partitionBy("a"))).where("n > 1 or kinds > 1")
     index = keep(index)
-    asked = index.where("kinds > 1 and first").select(F.col("docs")[0].alias("key"), F.struct("a", F.col("lo")[0].alias("lo"), F.col("hi")[0].alias("hi"), "n").alias("s"))
-    asked = asked.groupBy("key").agg(F.collect_list("s").alias("spans"))
+    asked = index.where("kinds > 1 and first").select(F.col("ds")[0].alias("d"), F.col("ts")[0].alias("t"), F.struct("a", F.col("lo")[0].alias("lo"), F.col("hi")[0].alias("hi"), "n").alias("s"))
+    asked = asked.groupBy(*KEY).agg(F.collect_list("s").alias("spans"))
     # Read twice below; the shuffled texts are one exchange, shared with the last join.
-    windows = window_rows(docs.join(asked, "key").select("key", "text", "spans"), window)
+    windows = window_rows(docs.join(asked, KEY).select(*KEY, "text", "spans"), window)
     # Contexts of several copies are decided; their windows only count for the others.
     twice = windows.groupBy("a", "w").agg(F.sum("n").alias("total"), F.min("n").alias("least")).where("total > 1 and least = 1")
-    inside = windows.where("n = 1").join(twice.select("a", "w"), ["a", "w"], "left_semi").select("key", F.struct(F.col("pos").alias("lo"), F.col("pos").alias("hi")).alias("s"))
-    places = index.where("n > 1").select(F.explode(F.arrays_zip("docs", "lo", "hi")).alias("x"))
-    whole = places.select(F.col("x.docs").alias("key"), F.struct("x.lo", "x.hi").alias("s"))
+    inside = windows.where("n = 1").join(twice.select("a", "w"), ["a", "w"], "left_semi").select(*KEY, F.struct(F.col("pos").alias("lo"), F.col("pos").alias("hi")).alias("s"))
+    places = index.where("n > 1").select(F.explode(F.arrays_zip("ds", "ts", "lo", "hi")).alias("x"))
+    whole = places.select(F.col("x.ds").alias("d"), F.col("x.ts").alias("t"), F.struct("x.lo", "x.hi").alias("s"))
     # A set: equal rows share a key and have the same spans.
-    return whole.union(inside).groupBy("key").agg(F.collect_set("s").alias("spans"))
+    return whole.union(inside).groupBy(*KEY).agg(F.collect_set("s").alias("spans"))
 
 
 def substring_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """Per document: words, words removed and the digest of the words kept."""
-    key = F.struct(F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.lit(7), "text")).alias("d"), F.xxhash64("text").alias("t"))
-    own = docs.select(key.alias("key"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    spans = repeated_spans(own.select("key", "text"), window, gram)
-    return strip_spans(own.join(spans, "key", "left").select("doc_id", "text", "spans"), window)
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("t"))
+    own = own.withColumn("d", F.coalesce("doc_id", F.xxhash64(F.lit(7), "text")))
+    spans = repeated_spans(own.select(*KEY, "text"), window, gram)
+    return strip_spans(own.join(spans, KEY, "left").select("doc_id", "text", "spans"), window)
 
 
 ORACLE = f"""
