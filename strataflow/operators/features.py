@@ -29,38 +29,37 @@ def group_features(df: DataFrame, keys: list[str], value: str, double: bool = Fa
     v = F.col(value).cast("double")
     rows = df.where(F.col(value).isNotNull()).select(*keys, v.alias("__v"), log_value(v).alias("__l"))
     num = "double" if double else "float"
-    median = F.lit(None).cast("double") if large_groups else F.percentile("__l", 0.5)
-    out = rows.groupBy(*keys).agg(
+    out = [
         F.avg("__l").cast(num).alias("mean_log1p"),
         F.when(F.count(F.lit(1)) >= 2, F.stddev_pop("__l")).cast(num).alias("std_log1p"),
-        median.cast(num).alias("median_log1p"),
         F.count(F.lit(1)).cast("int").alias("sample_count"),
         F.avg(F.when(is_zero(F.col("__v")), 1.0).otherwise(0.0)).cast(num).alias("zero_fraction"),
-    )
-    if not large_groups:
-        return out
-    middle = median_of_large(rows, keys, "__l").withColumnsRenamed({k: f"__{k}" for k in keys})
+    ]
+    if large_groups:
+        one = large_with_median(rows, keys, out).withColumn("median_log1p", F.col("__median").cast(num))
+    else:
+        one = rows.groupBy(*keys).agg(*out, F.percentile("__l", 0.5).cast(num).alias("median_log1p"))
+    return one.select(*keys, "mean_log1p", "std_log1p", "median_log1p", "sample_count", "zero_fraction")
+
+
+def large_with_median(rows: DataFrame, keys: list[str], measures: list[Column]) -> DataFrame:
+    """keys, the measures and __median, the exact median of __l with bounded buffers; the rows are read twice. With the
+    measures a sketch gives two values that the median lies between; values below are counted, those inside are counted
+    by value, and the middle is read off the running counts."""
+    edge = F.percentile_approx("__l", [0.5 - 2 / SKETCH, 0.5 + 2 / SKETCH], SKETCH)
+    bracket = rows.groupBy(*keys).agg(F.struct(*measures).alias("__m"), edge.alias("__e"), F.count("__l").alias("__n")).withColumnsRenamed({k: f"__{k}" for k in keys})
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
-    return out.drop("median_log1p").join(middle, same, "left").select(*keys, "mean_log1p", "std_log1p", F.col("__median").cast(num).alias("median_log1p"), "sample_count", "zero_fraction")
-
-
-def median_of_large(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """(keys, __median): exact medians with bounded buffers. A sketch gives two values that the median lies between;
-    values below are counted, those inside are counted by value, and the middle is read off the running counts."""
-    known = rows.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("__x"))
-    edge = F.percentile_approx("__x", [0.5 - 2 / SKETCH, 0.5 + 2 / SKETCH], SKETCH)
-    bracket = known.groupBy(*keys).agg(edge.alias("__e"), F.count(F.lit(1)).alias("__n"))
-    named = bracket.withColumnsRenamed({k: f"__{k}" for k in keys})
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
-    held = known.join(named, same)
+    x = F.col("__l")
+    held = rows.select(*keys, "__l").join(bracket, same).where(x.isNull() | (x <= F.col("__e")[1]))
     # One row below the bracket stands for all of them; each value inside is one row with its count.
-    place = F.when(F.col("__x") < F.col("__e")[0], F.lit(None).cast("double")).otherwise(F.col("__x"))
-    counted = held.where(F.col("__x") <= F.col("__e")[1]).groupBy(*keys, place.alias("__x")).agg(F.count(F.lit(1)).alias("__c"), F.first("__n").alias("__n"))
+    place = F.when(x >= F.col("__e")[0], x)
+    counted = held.groupBy(*keys, place.alias("__x")).agg(F.count("__l").alias("__c"), F.first("__n").alias("__n"), F.first("__m").alias("__m"))
     run = Window.partitionBy(*keys).orderBy(F.col("__x").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     upto = counted.withColumn("__to", F.sum("__c").over(run))
     # Ranks (n + 1) div 2 and n div 2 + 1, from 1: the one middle value or both.
     at = lambda rank: F.min(F.when(F.col("__to") >= rank, F.col("__x")))
-    return upto.groupBy(*keys).agg(at(F.floor((F.col("__n") + 1) / 2)).alias("__a"), at(F.floor(F.col("__n") / 2) + 1).alias("__b")).select(*keys, ((F.col("__a") + F.col("__b")) / 2).alias("__median"))
+    middle = upto.groupBy(*keys).agg(at(F.floor((F.col("__n") + 1) / 2)).alias("__a"), at(F.floor(F.col("__n") / 2) + 1).alias("__b"), F.first("__m").alias("__m"))
+    return middle.select(*keys, "__m.*", ((F.col("__a") + F.col("__b")) / 2).alias("__median"))
 
 
 def reservoir_median(df: DataFrame, keys: list[str], value: str, order: list[Column], size: int = RESERVOIR) -> DataFrame:
