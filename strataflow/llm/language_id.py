@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from strataflow.llm.textops import slices, text_bytes
 
-DIM, PER_LANG, CLUSTERS, ROUNDS, SHARE, SAMPLE = 4096, 400, 4, 12, 0.5, 80_000
+DIM, PER_LANG, CLUSTERS, ROUNDS, SHARE, SAMPLE = 4096, 400, 4, 12, 0.5, 8_000
 #: A cluster holds this share of its language's rows at least.
 FEW = 0.02
 #: Lengths in bytes of the pieces that tell what cosine is usual.
@@ -105,7 +105,7 @@ def pieces(texts: pa.Array, ids: list[str]) -> tuple[list[bytes], list[int]]:
 
 def fit(labelled: DataFrame, per_lang: int = PER_LANG, clusters: int = CLUSTERS) -> Model:
     """labelled: doc_id, text, lang. The bound on what reaches the driver: per_lang rows a language and SAMPLE rows in
-    all, two vectors of DIM float16 each; at least `clusters` rows a language."""
+    all, two vectors of DIM float16 each (128 MB); at least `clusters` rows a language."""
     rows = labelled.where("text is not null and lang is not null").select("doc_id", "text", "lang")
     sizes = rows.groupBy("lang").count().collect()  # one row a language
     few = max(clusters, min(per_lang, SAMPLE // max(1, len(sizes))))

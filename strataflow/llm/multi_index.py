@@ -79,7 +79,7 @@ def cosines(q: np.ndarray, v: np.ndarray) -> np.ndarray:
 def usable(rows: DataFrame) -> DataFrame:
     """(vec_id, v): valid vectors as doubles, one per vec_id. Only ids are shuffled where none repeats."""
     v = rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"))
-    good = "vec_id is not null and v is not null and size(v) > 1 and forall(v, x -> x is not null and not isnan(x) and abs(x) < double('infinity')) and exists(v, x -> x != 0)"
+    good = "vec_id is not null and v is not null and size(v) > 0 and forall(v, x -> x is not null and not isnan(x) and abs(x) < double('infinity')) and exists(v, x -> x != 0)"
     valid = v.where(good)
     twice = keep(valid.groupBy("vec_id").count().where("count > 1").select("vec_id"))
     if twice.isEmpty():
@@ -146,7 +146,12 @@ def search(rows: DataFrame, top: int = TOP, every: int = EVERY, reach: float | N
     if dims is None:
         return spark.createDataFrame([], SCHEMA)
     dim = dims["dim"]
-    valid = keep(valid.where(F.size("v") == dim))
+    valid = valid.where(F.size("v") == dim)
+    if dim == 1:  # a zero more changes no cosine and gives the second half a component
+        pad = F.concat("v", F.array(F.lit(0.0)))
+        valid, dim = valid.withColumn("v", pad), 2
+        queries = queries.withColumn("v", pad) if queries is not None else None
+    valid = keep(valid)
     # Equal vectors are one entry. The rank filter runs before the shuffle too, so copies don't gather.
     order = Window.partitionBy("v").orderBy("vec_id")
     entries = keep(valid.withColumn("at", F.row_number().over(order)).where(F.col("at") <= top + 1).groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")))

@@ -603,6 +603,13 @@ def test_language_rejection(spark):
     assert {r.doc_id for r in language_id.predict(odd, model, ["doc_id"]).where("rejected").collect()} == {1, 2, 4, 5, 6}
 
 
+def test_nearest_of_one_component(spark):
+    rows = [(i, [float(x)]) for i, x in enumerate([3, -1, 0.5, -7, 2, 0])] + [(50, [4.0]), (51, None), (52, [float("nan")])]
+    got = multi_index.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    best = {q: [(r["vec_id"], r["score"]) for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q] for q in (0, 50)}
+    assert best == {0: [(2, 1.0), (4, 1.0), (50, 1.0), (1, -1.0), (3, -1.0)], 50: [(0, 1.0), (2, 1.0), (4, 1.0), (1, -1.0), (3, -1.0)]}
+
+
 def test_language_edges(spark):
     """Clashing columns, long and repeated texts, many languages, one training row, an empty table."""
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang", functions.lit(1).alias("score"), functions.lit("x").alias("lang_pred"), functions.lit(0).alias("rejected"))
