@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from strataflow.functions.scalars import digest, is_zero, null_class, partition_value, share, skew_class, strip
 from strataflow.operators import features, join, keysets, metrics, profiling, quality, reshape, states
-from strataflow.plans import lineage
+from strataflow.plans import lineage, pipeline
 from strataflow.session import shared_folder
 from strataflow.sources import footers, formats, readers, sinks
 from strataflow.sources.readers import table
@@ -148,6 +148,47 @@ def matched_docs(spark, sf):
     return join.attach(docs, table(spark, sf, "labels"), "doc_id")[0]
 
 
+@query(feature_sql("l_suppkey, l_returnflag", "l_tax", "(select * from lineitem where l_orderkey < 0)"))
+def empty_features(spark, sf):
+    """Features of no rows: no groups, the same columns."""
+    return rounded(features.group_features(table(spark, sf, "lineitem").where("l_orderkey < 0"), ["l_suppkey", "l_returnflag"], "l_tax", double=True))
+
+
+@query("""with v as (select event_type, case when event_id % 7 = 0 then 'NaN'::double when event_id % 11 = 0 then null when event_id % 13 = 0 then 0 else value end as x from events)
+  select count(*) row_count, count(*) filter (where event_type is null) nulls_event_type, count(*) filter (where x is null) nulls_value, count(*) filter (where isnan(x)) nan_value, count(*) filter (where x = 0) zero_count,
+  count(distinct event_type) group_count, round(count(*) filter (where x = 0) / count(*)::double, 9) zero_fraction from v""")
+def nan_metrics(spark, sf):
+    """NaN is neither null nor zero."""
+    x = F.when(F.col("event_id") % 7 == 0, F.lit(float("nan"))).when(F.col("event_id") % 11 == 0, None).when(F.col("event_id") % 13 == 0, 0.0).otherwise(F.col("value"))
+    return rounded(metrics.silver(table(spark, sf, "events").select("event_type", x.alias("x")), ["event_type"], "x", "event_type"))
+
+
+@query("""with m as (select count(*) n, count(*) filter (where l_tax = 0) / count(*)::double z, count(*) - count(distinct (l_orderkey, l_linenumber)) d, count(*) filter (where l_comment is null) k from (select *, cast(null as varchar) as l_comment from lineitem))
+  select 'row_count' as name, format('{:,}', n + 1) as expected, format('{:,}', n) as actual, 'difference -1' as detail, format('[FAIL] row_count (critical): expected {:,}, got {:,}', n + 1, n) as summary from m
+  union all select 'duplicates_line', '0', format('{:,}', d), format('difference {:,}', d), format('[{}] duplicates_line (critical): expected 0, got {:,}', case when d = 0 then 'PASS' else 'FAIL' end, d) from m
+  union all select 'nulls_l_comment', '<= 0', format('{:,}', k), '', format('[FAIL] nulls_l_comment (critical): expected <= 0, got {:,}', k) from m
+  union all select 'zero_fraction', '0.9000 +- 0.0500', format('{:.4f}', z), '', format('[FAIL] zero_fraction (warning): expected 0.9000 +- 0.0500, got {:.4f}', z) from m""")
+def check_texts(spark, sf):
+    """What checks say: numbers with separators, shares with their digits, and one line each."""
+    t = table(spark, sf, "lineitem").withColumn("l_comment", F.lit(None).cast("string"))
+    m, d = metrics.silver(t, ["l_comment"], "l_tax", "l_returnflag").first(), profiling.duplicates(t, ["l_orderkey", "l_linenumber"]).first()
+    checks = [quality.row_count(m.row_count, m.row_count + 1), quality.no_duplicates(d["duplicates"], "line"), quality.nulls(m.nulls_l_comment, "l_comment"), quality.near("zero_fraction", m.zero_fraction, 0.9)]
+    return spark.createDataFrame([(c.name, c.expected, c.actual, c.detail, c.summary()) for c in checks], "name string, expected string, actual string, detail string, summary string")
+
+
+@query("""with w as (select 'g' || vec_id as gene_id, 'l' || label as gene_symbol, unnest(embedding) as v, generate_subscripts(embedding, 1) - 1 as i from embeddings)
+  select gene_id, gene_symbol, 's' || i as sample_id, cast(v as float)::double as tpm_value, case when i % 5 > 0 then 't' || i % 5 end as tissue_id, i % 5 = 0 as quarantined from w""")
+def matrix_pipeline(spark, sf):
+    """A matrix with names, made long, joined with its dimension and split into both layers."""
+    t = table(spark, sf, "embeddings")
+    width = t.agg(F.max(F.size("embedding"))).first()[0] or 0
+    wide = t.selectExpr("concat('g', vec_id) as Name", "concat('l', label) as Description", *(f"embedding[{i}] as s{i}" for i in range(width)))
+    dim = spark.createDataFrame([(f"s{i}", f"t{i % 5}") for i in range(width) if i % 5], "sample_id string, tissue_id string")
+    kept, lost = pipeline.long_form(wide, dim)
+    one = kept.withColumn("quarantined", F.lit(False)).unionByName(lost.drop("reason").withColumn("tissue_id", F.lit(None).cast("string")).withColumn("quarantined", F.lit(True)))
+    return one.withColumn("tpm_value", F.col("tpm_value").cast("double"))
+
+
 @query("select user_id, event_type from (select user_id, event_type, row_number() over (partition by user_id order by event_id desc) seq from events) where seq = 1")
 def dim_last_wins(spark, sf):
     return readers.last_wins(table(spark, sf, "events"), "user_id", "event_type", "event_id")
