@@ -5,7 +5,8 @@ follow another only if the merges would not have joined across them; that is rea
 filled as pairs occur. Where no shorter token fits, the last token is taken back and the place is closed, so each place
 is visited a bounded number of times. Pieces are cut beforehand by the tokenizer's own pattern, as the library does.
 
-Nulls are empty texts: no ids, empty decoding. Repeated rows give repeated rows; other columns are left out.
+Nulls are empty texts: no ids, empty decoding. Repeated rows give repeated rows, as do rows of a null doc_id; other
+columns are left out.
 """
 
 from __future__ import annotations

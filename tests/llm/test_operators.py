@@ -273,6 +273,14 @@ def test_bpe(spark):
     assert bpe.encode_decode(documents(spark, texts).limit(0), tokenizer_path()).count() == 0
 
 
+def test_bpe_of_null_and_repeated_rows(spark):
+    """A row of null doc_id and each of several equal rows give their row."""
+    rows = [(None, "some text"), (None, None), (1, "some text"), (1, "some text"), (1, "other")]
+    got = bpe.encode_decode(spark.createDataFrame(rows, "doc_id long, text string"), tokenizer_path()).collect()
+    plain = {r.ids_sha256 for r in got if r.decoded_sha256 == hashlib.sha256(b"some text").hexdigest()}
+    assert Counter((r.doc_id, r.n_tokens > 0) for r in got) == {(None, True): 1, (None, False): 1, (1, True): 3} and len(plain) == 1
+
+
 def test_language_id(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
     odd = spark.createDataFrame([(-1, None, None), (-2, "", "en"), (-3, "123 !!", None)], "doc_id long, text string, lang string")
