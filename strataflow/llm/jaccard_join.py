@@ -37,9 +37,9 @@ from strataflow.llm.textops import Words, mix, shingle_sets, signed, slices
 
 K, NUM, DEN = 5, 75, 100
 #: Shingles that one task of the tree join holds for a side.
-LIMIT = 2_000_000
+LIMIT = 600_000
 #: Shingles gathered before packed arrays are sent, and characters of text for one shard.
-FLUSH, SHARD_CHARS = 500_000, 12_000_000
+FLUSH, SHARD_CHARS = 500_000, 8_000_000
 #: Hot shingles: those counted for one HOT-th part of all shingles at least, so there are no more than so many.
 HOT = 200_000
 
