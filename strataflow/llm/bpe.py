@@ -1,9 +1,10 @@
 """Operator 5: byte-level BPE by backtracking over longest matches, and decoding with an offset table.
 
-One walk of an Aho-Corasick automaton of the vocabulary over a piece gives the longest token at each place. A token may
-follow another only if the merges would not have joined across them; that is read from a table of compatible pairs,
-filled as pairs occur. Where no shorter token fits, the last token is taken back and the place is closed, so each place
-is visited a bounded number of times. Pieces are cut beforehand by the tokenizer's own pattern, as the library does.
+One walk of an Aho-Corasick automaton of the vocabulary over a piece gives the longest tokens one after the other. A token
+may follow another only if the merges would not have joined across them; that is read from a table of compatible pairs,
+filled as pairs occur. From the first pair that does not fit on, a second walk gives the longest token at each place, and
+shorter ones are tried. Where none fits, the last token is taken back and the place is closed, so each place is visited a
+bounded number of times. Pieces are cut beforehand by the tokenizer's own pattern, as the library does.
 
 Nulls are empty texts: no ids, empty decoding. Repeated rows give repeated rows, as do rows of a null doc_id; other
 columns are left out.
@@ -13,7 +14,8 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Iterator
+import struct
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -21,9 +23,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-#: Entries of one worker's caches of pieces and of compatible pairs, about 70 MB in all. Of pieces the older half goes when
+#: Entries of one worker's caches of pieces and of compatible pairs, about 120 MB in all. Of pieces the older half goes when
 #: the newer one is full, of pairs all; results do not depend on it.
-CACHE, PAIRS = 160_000, 300_000
+CACHE, PAIRS = 400_000, 300_000
 #: Fixed value: the pre-tokenizer's public pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -36,6 +38,24 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in shown else chr(next(spare)) for b in range(256)]
 
 
+class Pieces(dict):
+    """Ids of pieces as bytes, made where they are missing. Holds the newer half of the cache, `older` the other one."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        self.make, self.older = make, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        got = self.older.get(piece)
+        if got is None:
+            got = self.make(piece)
+        if len(piece) <= 64:
+            if len(self) >= CACHE // 2:
+                self.older = dict(self)
+                self.clear()
+            self[piece] = got
+        return got
+
+
 class Bpe:
     def __init__(self, path: str):
         import ahocorasick
@@ -57,8 +77,8 @@ class Bpe:
             self.rank.setdefault((left, right), (r, made))
             self.parts.setdefault(made, (left, right, r))
         self.trie = ahocorasick.Automaton()
-        for b in self.id_of:
-            self.trie.add_word(b.decode("latin-1"), len(b))
+        for b, i in self.id_of.items():
+            self.trie.add_word(b.decode("latin-1"), i)
         self.trie.make_automaton()
         self.cut = regex.compile(PATTERN)
         self.marks = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
@@ -68,18 +88,12 @@ class Bpe:
             table[i] = text.encode()
         self.blob = np.frombuffer(b"".join(table), np.uint8)
         self.offset = np.zeros(size + 1, np.int64)
-        np.cumsum([len(b) for b in table], out=self.offset[1:])
+        self.size_of = [len(b) for b in table]
+        np.cumsum(self.size_of, out=self.offset[1:])
+        #: The next shorter token that a token begins with, else -1.
+        self.shorter_of = [next((self.id_of[b[:n]] for n in range(len(b) - 1, 0, -1) if b[:n] in self.id_of), -1) for b in table]
         self.fits: dict[int, bool] = {}
-        self.shorter_of: dict[int, int | None] = {}
-        self.pieces: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def shorter(self, token: int) -> int | None:
-        """The next shorter token that token begins with."""
-        if token not in self.shorter_of:
-            b = self.bytes_of[token]
-            self.shorter_of[token] = next((self.id_of[b[:n]] for n in range(len(b) - 1, 0, -1) if b[:n] in self.id_of), None)
-        return self.shorter_of[token]
+        self.pieces = Pieces(self.made)
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether left then right is what the merges make of their bytes: undo the younger token's last merge step by
@@ -110,53 +124,57 @@ class Bpe:
         """Ids of one piece. Each token of the vocabulary is what merging its own bytes gives."""
         if data in self.id_of:
             return [self.id_of[data]]
-        n, longest = len(data), self.longest(data)
-        closed, out, at = bytearray(n + 1), [], 0
-        token = longest[0] if n else None
-        while token is not None:
-            while token is not None:
-                end = at + len(self.bytes_of[token])
-                if not closed[end] and (not out or self.compatible(out[-1], token)):
+        if not data:
+            return []
+        text, size, known, shorter = data.decode("latin-1"), self.size_of, self.fits.get, self.shorter_of
+        tokens, out, left = [i for _, i in self.trie.iter_long(text)], [], -1
+        for token in tokens:
+            if left >= 0 and not (self.compatible(left, token) if (fit := known(left << 32 | token)) is None else fit):
+                break
+            out.append(token)
+            left = token
+        else:
+            return out
+        # Up to here the longest tokens fit; the next one does not.
+        n, at, longest, closed = len(data), sum([size[i] for i in out]), self.longest(text), bytearray(len(data) + 1)
+        token = shorter[token]
+        while True:
+            while token >= 0:
+                if not closed[at + size[token]] and (left < 0 or (self.compatible(left, token) if (fit := known(left << 32 | token)) is None else fit)):
                     break
-                token = self.shorter(token)
-            if token is None:  # nothing fits here: take the last token back
+                token = shorter[token]
+            if token < 0:  # nothing fits here: take the last token back
                 closed[at] = 1
                 token = out.pop()
-                at -= len(self.bytes_of[token])
+                at -= size[token]
+                left = out[-1] if out else -1
                 continue
             out.append(token)
-            at = end
-            token = longest[at] if at < n else None
+            left = token
+            at += size[token]
+            if at == n:
+                return out
+            token = longest[at]
+
+    def longest(self, text: str) -> list[int]:
+        """The longest token that starts at each byte: one walk of the automaton, which names all tokens by their end, so
+        that of one start the longest comes last."""
+        out, size = [0] * len(text), self.size_of
+        for end, token in self.trie.iter(text):
+            out[end + 1 - size[token]] = token
         return out
 
-    def longest(self, data: bytes) -> list[int]:
-        """The longest token that starts at each byte: one walk of the automaton, which names all tokens by their end."""
-        size = [1] * len(data)
-        for end, n in self.trie.iter(data.decode("latin-1")):
-            start = end - n + 1
-            if n > size[start]:
-                size[start] = n
-        return [self.id_of[data[at : at + n]] for at, n in enumerate(size)]
-
-    def coded(self, piece: str) -> bytes:
-        got = self.pieces.get(piece)
-        if got is None:
-            got = self.older.get(piece)
-            if got is None:
-                got = np.asarray(self.piece(piece.encode()), "<u4").tobytes()
-            if len(piece) <= 64:
-                if len(self.pieces) >= CACHE // 2:
-                    self.older, self.pieces = self.pieces, {}
-                self.pieces[piece] = got
-        return got
+    def made(self, piece: str) -> bytes:
+        ids = self.piece(piece.encode())
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> np.ndarray:
         out, at = [], 0
         for m in self.marks.finditer(text) if self.marks else ():
-            out += map(self.coded, self.cut.findall(text[at : m.start()]))
+            out += map(self.pieces.__getitem__, self.cut.findall(text[at : m.start()]))
             out.append(np.asarray([self.special[m[0]]], "<u4").tobytes())
             at = m.end()
-        out += map(self.coded, self.cut.findall(text[at:] if at else text))
+        out += map(self.pieces.__getitem__, self.cut.findall(text[at:] if at else text))
         return np.frombuffer(b"".join(out), "<u4")
 
     def decode(self, ids: np.ndarray) -> str:

@@ -632,3 +632,23 @@ def test_language_edges(spark):
     one = language_id.fit(many.limit(1))
     long = spark.createDataFrame([(1, own[0][1] * 20_000)], "doc_id long, text string")
     assert [(r.lang_pred, r.rejected) for r in language_id.predict(long, one, ["doc_id"]).collect()] == [("l0", False)]
+
+
+def test_bpe_takes_the_second_walk_only_where_longest_tokens_do_not_fit(monkeypatch):
+    """The cost of a piece: one walk where the longest tokens fit each other; a cached piece none."""
+    b, walks, made = bpe.Bpe(tokenizer_path()), [], []
+    longest, make = b.longest, b.pieces.make
+    monkeypatch.setattr(b, "longest", lambda text: walks.append(text) or longest(text))
+    b.pieces.make = lambda piece: made.append(piece) or make(piece)
+    words = [x + y for x in ("ing", "tion", " und", " Wald", "qu", "ß", " zz") for y in ("er", "xq", "ação", "9", "ingly", "tt")]
+    for word in words:
+        ids = b.piece(word.encode())
+        assert b"".join(b.bytes_of[i] for i in ids) == word.encode()
+        greedy, at = [], 0
+        while at < len(word.encode()):
+            greedy.append(max((t for t in b.id_of if word.encode().startswith(t, at)), key=len))
+            at += len(greedy[-1])
+        assert (ids == [b.id_of[t] for t in greedy]) == (word.encode().decode("latin-1") not in walks)
+    assert len(walks) < len(words)
+    text = " ".join(words)
+    assert (b.encode(text) == b.encode(text)).all() and len(made) == len(set(made))
