@@ -158,6 +158,33 @@ def test_overlaps_equal_semi_joins(spark):
     assert keysets.overlaps(df.limit(0), "g", "k").count() == 0
 
 
+def test_overlaps_of_many_groups_need_no_table_of_all_pairs(spark):
+    """40,000 groups in one bucket of keys: a matrix of all of them would take 12.8 GB."""
+    df = spark.range(80_000).selectExpr("id div 2 as g", "(id + 1) div 2 as k")
+    got = keysets.overlaps(df, "g", "k")
+    assert got.agg(F.expr("count_if(a = b and n = 2)"), F.expr("count_if(b = a + 1 and n = 1)"), F.count("n")).first() == (40_000, 39_999, 79_999)
+
+
+@pytest.mark.parametrize("kind", ["string", "long"])
+def test_overlaps_by_lists_equal_bitmaps(spark, monkeypatch, kind):
+    """With few pairs a task, so that blocks are many, and a group of all keys and a key of all groups, so that some are split."""
+    rng = np.random.default_rng(8)
+    rows = [(int(g), int(k)) for g, k in rng.integers(0, (70, 900), (3_000, 2))] + [(0, k) for k in range(900)] + [(g, 17) for g in range(70)] + [(None, 1), (3, None), (5, 17), (5, 17)]
+    df = spark.createDataFrame(rows, "g long, k long").select(F.col("g").cast(kind).alias("g"), F.when(F.col("k") == 1, float("nan")).otherwise(F.col("k")).alias("k"))
+    rows = lambda: sorted(tuple(r) for r in keysets.overlaps(df, "g", "k").collect())
+    want = rows()
+    for name, value in (("DENSE", 0), ("PAIRS", 800), ("FLUSH", 400)):
+        monkeypatch.setattr(keysets, name, value)
+    jobs = []
+    real = keysets.dealt
+    monkeypatch.setattr(keysets, "dealt", lambda lists, width, split, heavy: jobs.append(split) or real(lists, width, split, heavy))
+    for told in (keysets.TOLD, 0):
+        monkeypatch.setattr(keysets, "TOLD", told)
+        assert rows() == want and len(want) > 2_000
+    assert max(jobs[0].values()) > 1 and len(jobs) == 4
+    assert keysets.overlaps(df.limit(0), "g", "k").count() == 0
+
+
 def test_publish_keeps_the_old_layer(spark, tmp_path):
     path, df = f"{tmp_path}/layer", spark.createDataFrame([("a", 1), ("01", 2)], "k string, v int")
     wider = spark.createDataFrame([], "v long, k string").schema
