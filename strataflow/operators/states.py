@@ -7,11 +7,14 @@ aggregation, so the work of an update follows what is new and the number of keys
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from strataflow.functions.scalars import is_zero, log_value
+from strataflow.operators.reshape import quoted
 from strataflow.sources import versions
 
 #: Parameter of the KLL sketches. Medians of groups of up to so many rows are exact; beyond, their rank is within
@@ -58,11 +61,31 @@ def features_of(states: DataFrame, keys: list[str], double: bool = False, sketch
     )
 
 
+def exact_distinct(df: DataFrame, column: str, by: list[str]) -> DataFrame:
+    """by, in_file: the exact number of distinct values of a column that are not null. Of whole numbers, 64 neighbours
+    are one row with a bit each, so that tasks send words of bits, not values; others are sent once a task."""
+    v, whole = F.col(quoted(column)), isinstance(df.schema[column].dataType, IntegralType)
+    word = F.shiftright(v.cast("long"), 6) if whole else v
+    bit = F.expr(f"shiftleft(1L, cast({quoted(column)} & 63 as int))") if whole else F.lit(1).cast("long")
+    words = df.where(v.isNotNull()).select(*by, word.alias("__word"), bit.alias("__bit")).groupBy(*by, "__word").agg(F.bit_or("__bit").alias("__bits"))
+    return words.groupBy(*by).agg(F.sum(F.bit_count("__bits")).cast("long").alias("in_file"))
+
+
+def exact_distincts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """column, exact_count: distinct values that are not null, of each column by itself."""
+    one = [exact_distinct(df, c, []).select(F.lit(c).alias("column"), F.coalesce("in_file", F.lit(0)).alias("exact_count")) for c in columns]
+    return reduce(DataFrame.unionByName, one)
+
+
 def distinct_states(df: DataFrame, columns: list[str], lg: int = HLL) -> DataFrame:
-    """file, column, known (rows that are not null), in_file (exact distinct values), sketch, per file and column."""
-    by_file = df.select(F.col("_metadata.file_path").alias("__file"), *columns).groupBy(F.col("__file").alias("file"))
-    one = by_file.agg(*(F.struct(F.lit(c).alias("column"), F.count(c).alias("known"), F.count_distinct(c).alias("in_file"), F.hll_sketch_agg(c, F.lit(lg)).alias("sketch")).alias(f"s{i}") for i, c in enumerate(columns)))
-    return one.select("file", F.inline(F.array(*(f"s{i}" for i in range(len(columns))))))
+    """file, column, known (rows that are not null), in_file (exact distinct values), sketch, per file and column. Files
+    are told apart by a 64-bit hash of their path where their values are counted."""
+    name = F.col("_metadata.file_path")
+    rows = df.select(name.alias("__file"), F.xxhash64(name).alias("__at"), *map(quoted, columns))
+    one = rows.groupBy("__at", "__file").agg(*(F.struct(F.lit(c).alias("column"), F.count(quoted(c)).alias("known"), F.hll_sketch_agg(quoted(c), F.lit(lg)).alias("sketch")).alias(f"s{i}") for i, c in enumerate(columns)))
+    one = one.select("__at", F.col("__file").alias("file"), F.inline(F.array(*(f"s{i}" for i in range(len(columns))))))
+    exact = reduce(DataFrame.unionByName, [exact_distinct(rows, c, ["__at"]).withColumn("column", F.lit(c)) for c in columns])
+    return one.join(exact, ["__at", "column"], "left").select("file", "column", "known", F.coalesce("in_file", F.lit(0)).alias("in_file"), "sketch")
 
 
 def distinct_estimates(states: DataFrame) -> DataFrame:

@@ -123,6 +123,24 @@ def test_distinct_sketches_union_without_a_scan(spark, tmp_path):
         assert got[c].known == known and abs(got[c].estimate - exact) <= 0.033 * exact and got[c].least <= exact
 
 
+def test_exact_distinct_counts_send_words_not_values(spark, tmp_path):
+    """100,000 values of one file leave the tasks as some 1,600 words; with null, negative, repeated and text values."""
+    df = spark.range(100_000, numPartitions=2).selectExpr("id - 50000 as a", "if(id % 3 = 0, null, cast(id % 1000 - 500 as int)) as `b.c`", "if(id < 9, concat('t', id div 2), null) as d", "cast(null as int) as e")
+    df = df.unionByName(df.limit(500)).unionByName(spark.sql("select cast('-9223372036854775808' as bigint) a, -128 `b.c`, '' d, cast(null as int) e"))
+    df.coalesce(1).write.parquet(f"{tmp_path}/in")
+    back = spark.read.parquet(f"{tmp_path}/in")
+    want = {c: back.select(F.count_distinct(f"`{c}`")).first()[0] for c in back.columns}
+    assert {r.column: r.exact_count for r in states.exact_distincts(back, back.columns).collect()} == want
+    kept = states.distinct_states(back, back.columns)
+    assert {r.column: (r.known, r.in_file) for r in kept.collect()} == {c: (back.where(f"`{c}` is not null").count(), n) for c, n in want.items()}
+    assert "Expand" not in kept._jdf.queryExecution().toString()
+    words = states.exact_distinct(back, "a", [])
+    words.collect()
+    plan = words._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("hashpartitioning") == 1 and "__word" in plan.split("hashpartitioning")[1].split(")")[0]
+    assert back.selectExpr("shiftright(a, 6) w").distinct().count() < 1_600
+
+
 KEYS_DDL = "a string, b int"
 
 
