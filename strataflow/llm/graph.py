@@ -24,7 +24,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
     Rounds of minimum over neighbours, from the third on with a jump to the label's own label; the aggregations combine
     before their shuffle, and a hub's edges are dealt over parts, each with a copy of its label, so that no task holds
-    them all. Ends when no label changes. Null nodes take no part; loops and repeated edges have no effect; no edges give
+    them all. Joins are by merging: tables of a round that are small enough to broadcast would each pass through the driver,
+    round after round. Ends when no label changes. Null nodes take no part; loops and repeated edges have no effect; no edges give
     no rows.
     """
     edges = edges.where("a is not null and b is not null and a != b").select("a", "b")
@@ -34,17 +35,17 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     labels = keep(both.groupBy("a").agg(F.min("b").alias("m"), degree).select(F.col("a").alias("node"), F.least("a", "m").alias("label"), "parts"))
     hubs = labels.where("parts > 1").select(F.col("node").alias("b"), "parts")
     part = F.coalesce(F.pmod(F.xxhash64("a"), F.col("parts")), F.lit(0)).cast("int").alias("part")
-    both = keep(both.join(hubs, "b", "left").select("a", "b", part))
+    both = keep(both.join(hubs.hint("merge"), "b", "left").select("a", "b", part))
     for i in range(rounds):
         told = labels.select(F.col("node").alias("b"), "label", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-        near = both.join(told, ["b", "part"]).groupBy(F.col("a").alias("node")).agg(F.min("label").alias("n"))
-        new = labels.join(near, "node").select("node", "parts", F.col("label").alias("old"), F.least("label", "n").alias("label"))
+        near = both.join(told.hint("merge"), ["b", "part"]).groupBy(F.col("a").alias("node")).agg(F.min("label").alias("n"))
+        new = labels.join(near.hint("merge"), "node").select("node", "parts", F.col("label").alias("old"), F.least("label", "n").alias("label"))
         if i > 1:  # stars have settled by now; chains are halved by jumps
             # Labels that have a smaller label themselves, each for all parts, since many nodes share a label.
             asked = new.select("label").distinct()
-            up = asked.join(new.select(F.col("node").alias("label"), F.col("label").alias("up")), "label").where("up != label")
+            up = asked.hint("merge").join(new.select(F.col("node").alias("label"), F.col("label").alias("up")), "label").where("up != label")
             up = up.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(JUMP - 1))))
-            new = new.withColumn("part", F.pmod(F.xxhash64("node"), F.lit(JUMP)).cast("int")).join(up, ["label", "part"], "left")
+            new = new.withColumn("part", F.pmod(F.xxhash64("node"), F.lit(JUMP)).cast("int")).join(up.hint("merge"), ["label", "part"], "left")
             new = new.select("node", "parts", "old", F.coalesce("up", "label").alias("label"))
         new = keep(new)
         changed = new.where("old != label").limit(1).count()

@@ -652,3 +652,17 @@ def test_bpe_takes_the_second_walk_only_where_longest_tokens_do_not_fit(monkeypa
     assert len(walks) < len(words)
     text = " ".join(words)
     assert (b.encode(text) == b.encode(text)).all() and len(made) == len(set(made))
+
+
+def test_components_broadcast_nothing_through_the_driver(spark, monkeypatch):
+    plans, real = [], graph.keep
+
+    def keep(df):
+        out = real(df)
+        plans.append(df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0])
+        return out
+
+    monkeypatch.setattr(graph, "keep", keep)
+    edges = spark.createDataFrame([(i, i + 1) for i in range(1, 60)] + [(100, 101), (101, 102)], "a long, b long")
+    assert {tuple(r) for r in graph.components(edges).collect()} == {(i, 1) for i in range(1, 61)} | {(100 + i, 100) for i in range(3)}
+    assert len(plans) > 5 and sum(p.count("SortMergeJoin") for p in plans) >= 10 and not any("Broadcast" in p for p in plans)
