@@ -666,3 +666,25 @@ def test_components_broadcast_nothing_through_the_driver(spark, monkeypatch):
     edges = spark.createDataFrame([(i, i + 1) for i in range(1, 60)] + [(100, 101), (101, 102)], "a long, b long")
     assert {tuple(r) for r in graph.components(edges).collect()} == {(i, 1) for i in range(1, 61)} | {(100 + i, 100) for i in range(3)}
     assert len(plans) > 5 and sum(p.count("SortMergeJoin") for p in plans) >= 10 and not any("Broadcast" in p for p in plans)
+
+
+def test_components_of_long_chains_in_few_rounds_with_bounded_estimates(spark, monkeypatch):
+    kept, real = [], graph.keep
+    monkeypatch.setattr(graph, "keep", lambda df: kept.append(1) or real(df))
+    n = 400
+    rng = random.Random(5)
+    edges = [((i * 181) % n, (i + 1) * 181 % n) for i in range(n - 1)] + [(1000 + rng.randrange(90), 1000 + rng.randrange(90)) for _ in range(60)]
+    out = graph.components(spark.createDataFrame(edges, "a long, b long"))
+    label = {x: x for e in edges for x in e if e[0] != e[1]}
+    for _ in range(len(label)):
+        new = dict(label)
+        for a, b in edges:
+            if a != b:
+                new[a] = new[b] = min(new[a], new[b])
+        if new == label:
+            break
+        label = new
+    assert {r.node: r.component for r in out.collect()} == label
+    assert len(kept) <= 12
+    # The planner's size estimate of a round must not be the product of all rounds before.
+    assert out._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < 2**200
